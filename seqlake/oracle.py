@@ -125,3 +125,309 @@ ORACLE: dict[str, str] = {
     "analysis_ok": _w(ANALYSIS, "SELECT * EXCLUDE (ok) FROM flagged WHERE ok"),
     "analysis_missing": _w(ANALYSIS, "SELECT * EXCLUDE (ok) FROM flagged WHERE NOT ok"),
 }
+
+# ------------------------------------------------------- read export
+NEW_READS = META_ALT + """,
+nr AS (
+  SELECT concat(id, '_', CASE WHEN contains(file, 'R1') THEN 'R1' ELSE 'R2' END, '.fastq.gz') AS dest_name,
+         current AS source, TRY_CAST(trim(timestamp) AS BIGINT) AS ts, timestamp AS ts_text
+  FROM meta_fastq
+  WHERE contains(file, '_R1') OR contains(file, 'R2')),
+nr_now AS (
+  SELECT dest_name, source, ts FROM nr
+  WHERE regexp_full_match(ts_text, '\\s*[+-]?\\d+\\s*') AND ts > 999993600 - 30 * 86400),
+nr_prev AS (
+  SELECT dest_name, source, ts FROM nr
+  WHERE regexp_full_match(ts_text, '\\s*[+-]?\\d+\\s*') AND ts > 999993600 - 15 * 86400 - 30 * 86400
+    AND ts <= 999993600 - 15 * 86400),
+nr_latest AS (
+  SELECT dest_name, source, ts FROM (
+    SELECT *, row_number() OVER (PARTITION BY dest_name ORDER BY ts DESC NULLS LAST, source) AS rn
+    FROM nr_now) WHERE rn = 1)"""
+
+ORACLE["new_reads"] = _w(NEW_READS, "SELECT * FROM nr_now")
+ORACLE["new_reads_latest"] = _w(NEW_READS, "SELECT * FROM nr_latest")
+ORACLE["new_reads_pending"] = _w(NEW_READS, """
+    SELECT * FROM nr_latest WHERE dest_name NOT IN (SELECT dest_name FROM nr_prev)""")
+
+# ------------------------------------------------------- submissions
+SUBS = """
+subs AS (
+  SELECT CAST(event_id AS VARCHAR) AS submission_id, event_type AS method,
+         concat('entity_', CAST(user_id % 50 AS VARCHAR), CASE WHEN event_id % 3 = 0 THEN '_set' ELSE '' END) AS entity_raw,
+         ts AS submission_date,
+         CASE WHEN event_id % 4 = 0 THEN 'Aborted' ELSE 'Done' END AS status,
+         CASE WHEN event_id % 5 = 0 THEN '{"Failed":1}' ELSE '{"Succeeded":1}' END AS workflow_statuses,
+         user_id
+  FROM events),
+etypes AS (
+  SELECT DISTINCT concat('entity_', CAST(user_id % 50 AS VARCHAR)) AS entity_type FROM events WHERE user_id % 50 < 45),
+cands AS (
+  SELECT submission_id, method, regexp_replace(entity_raw, '_set$', '') AS entity_type, submission_date
+  FROM subs
+  WHERE status = 'Done' AND json_exists(workflow_statuses, '$.Succeeded')
+    AND regexp_replace(entity_raw, '_set$', '') IN (SELECT entity_type FROM etypes)),
+best AS (
+  SELECT entity_type, method, submission_date FROM (
+    SELECT *, row_number() OVER (PARTITION BY entity_type ORDER BY submission_date DESC, submission_id) AS rn
+    FROM cands) WHERE rn = 1),
+newest AS (
+  SELECT c.* FROM cands c
+  WHERE EXISTS (SELECT 1 FROM best b WHERE b.entity_type = c.entity_type AND b.method = c.method
+                AND b.submission_date = c.submission_date)),
+ledger AS (SELECT CAST(event_id AS VARCHAR) AS submission_id FROM events WHERE event_id % 7 = 0),
+fresh AS (SELECT * FROM newest WHERE submission_id NOT IN (SELECT submission_id FROM ledger)),
+capped AS (
+  SELECT * FROM fresh WHERE (SELECT count(*) FROM fresh) <= 10
+  UNION ALL
+  SELECT * FROM (SELECT * FROM fresh ORDER BY submission_date, submission_id LIMIT 19)
+  WHERE (SELECT count(*) FROM fresh) > 10),
+summary AS (
+  SELECT 'proj' AS project, CASE WHEN user_id % 2 = 0 THEN 'ws_a' ELSE 'ws_b' END AS workspace,
+         submission_id AS submissionId, method AS methodConfigurationName,
+         concat(entity_raw, ':', 'name_', CAST(user_id AS VARCHAR)) AS submissionEntity,
+         submission_date AS submissionDate, status, workflow_statuses AS workflowStatuses
+  FROM subs),
+wsheet AS (
+  SELECT 'proj' AS project, CASE WHEN n_nationkey % 2 = 0 THEN 'ws_a' ELSE 'ws_b' END AS workspace,
+         concat('wf_', lower(n_name)) AS workflow, CAST(NULL AS VARCHAR) AS run
+  FROM nation WHERE n_nationkey < 4
+  UNION ALL
+  SELECT 'proj', CASE WHEN n_nationkey % 2 = 0 THEN 'ws_a' ELSE 'ws_b' END,
+         concat('wf_', lower(n_name)), concat('entity_', CAST(n_nationkey AS VARCHAR))
+  FROM nation WHERE n_nationkey BETWEEN 4 AND 5),
+wcache AS (
+  SELECT project, workspace, submissionId FROM summary WHERE CAST(submissionId AS BIGINT) % 7 = 0),
+asked AS (
+  SELECT * FROM summary s
+  WHERE EXISTS (SELECT 1 FROM wsheet w WHERE (w.run IS NULL OR w.run = '')
+                AND w.project = s.project AND w.workspace = s.workspace)),
+retained AS (
+  SELECT project, workspace, split_part(submissionEntity, ':', 1) AS entity, submissionId FROM asked
+  WHERE status = 'Done' AND contains(workflowStatuses, 'Succeeded')
+    AND NOT contains(split_part(submissionEntity, ':', 1), '_set')),
+sdiff AS (
+  SELECT DISTINCT project, workspace, entity FROM retained r
+  WHERE NOT EXISTS (SELECT 1 FROM wcache c WHERE c.project = r.project AND c.workspace = r.workspace
+                    AND c.submissionId = r.submissionId))"""
+
+ORACLE["submission_candidates"] = _w(SUBS, "SELECT * FROM cands")
+ORACLE["latest_submission"] = _w(SUBS, "SELECT * FROM newest")
+ORACLE["new_submissions"] = _w(SUBS, "SELECT * FROM fresh")
+ORACLE["capped_submissions"] = _w(SUBS, "SELECT * FROM capped")
+ORACLE["job_rows"] = _w(SUBS, """
+    SELECT 'proj' AS project, 'ws' AS workspace, submission_id, method AS workflow, entity_type AS entity,
+           's3://results' AS outdir, concat_ws('_', 'proj', 'ws', submission_id) AS job_name
+    FROM capped""")
+ORACLE["submission_diff"] = _w(SUBS, "SELECT * FROM sdiff")
+ORACLE["submission_tables"] = _w(SUBS, """
+    SELECT d.project, d.workspace, d.entity AS entity_table, w.workflow
+    FROM sdiff d JOIN wsheet w ON w.project = d.project AND w.workspace = d.workspace
+    UNION ALL
+    SELECT project, workspace, run, workflow FROM wsheet WHERE run IS NOT NULL AND run <> ''""")
+
+# --------------------------------------------------------- retention
+RETENTION = """
+manifest AS (
+  SELECT concat('run_', CAST(c_nationkey AS VARCHAR)) AS run, c_name AS sample, c_custkey,
+         concat('/reads/', c_name, '_R1.fastq.gz') AS fastq_1,
+         CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('/reads/', c_name, '_R2.fastq.gz') END AS fastq_2
+  FROM customer),
+rules(workflow, kind, pattern) AS (VALUES
+  ('phoenix', 'run_files', '/Phoenix_Summary.tsv'),
+  ('phoenix', 'run_files', '/versions.yml'),
+  ('phoenix', 'sample_files', '/<sample>/<sample>.synopsis'),
+  ('phoenix', 'sample_files', '/<sample>/<sample>.tax'),
+  ('phoenix', 'sample_files', '/<sample>/assembly/<sample>.scaffolds.fa.gz')),
+mruns AS (SELECT DISTINCT run, 'phoenix' AS workflow, 's3://prod/runs/' || run AS run_path FROM manifest),
+expanded AS (
+  SELECT m.run, r.workflow, m.sample, r.run_path || replace(p.pattern, '<sample>', m.sample) AS file
+  FROM manifest m JOIN mruns r ON r.run = m.run JOIN rules p ON p.workflow = r.workflow AND p.kind = 'sample_files'
+  UNION ALL
+  SELECT r.run, r.workflow, CAST(NULL AS VARCHAR), r.run_path || p.pattern
+  FROM mruns r JOIN rules p ON p.workflow = r.workflow AND p.kind = 'run_files'
+  UNION ALL
+  SELECT m.run, r.workflow, m.sample, m.fastq_1 FROM manifest m JOIN mruns r ON r.run = m.run
+  UNION ALL
+  SELECT m.run, r.workflow, m.sample, m.fastq_2 FROM manifest m JOIN mruns r ON r.run = m.run
+  WHERE m.fastq_2 IS NOT NULL),
+listing AS (
+  SELECT 's3://prod/runs/' || r.run || p.pattern AS path
+  FROM mruns r JOIN rules p ON p.kind = 'run_files'
+  UNION ALL
+  SELECT 's3://prod/runs/' || m.run || replace(p.pattern, '<sample>', m.sample)
+  FROM manifest m JOIN rules p ON p.kind = 'sample_files' WHERE m.c_custkey % 3 <> 0
+  UNION ALL
+  SELECT fastq_1 FROM manifest WHERE c_custkey % 3 <> 0
+  UNION ALL
+  SELECT fastq_2 FROM manifest WHERE c_custkey % 3 <> 0 AND fastq_2 IS NOT NULL),
+kept AS (SELECT * FROM expanded WHERE file IN (SELECT path FROM listing))"""
+
+ORACLE["retention_candidates"] = _w(RETENTION, "SELECT * FROM expanded")
+ORACLE["retention_expand"] = _w(RETENTION, "SELECT * FROM kept")
+ORACLE["retention_infer"] = _w(RETENTION + """,
+files AS (
+  SELECT DISTINCT regexp_extract(path, '^s3://prod/runs/([^/]+)', 1) AS run,
+         substr(path, length('s3://prod/runs/' || regexp_extract(path, '^s3://prod/runs/([^/]+)', 1)) + 1) AS rel
+  FROM listing WHERE starts_with(path, 's3://prod/runs/')),
+hits AS (
+  SELECT f.run, f.rel, m.sample, m.c_custkey FROM files f JOIN manifest m ON m.run = f.run AND contains(f.rel, m.sample)),
+nfound AS (
+  SELECT f.run, f.rel, count(DISTINCT h.sample) AS n_found
+  FROM files f LEFT JOIN hits h ON h.run = f.run AND h.rel = f.rel GROUP BY f.run, f.rel),
+nsamp AS (SELECT run, count(DISTINCT sample) AS n FROM manifest GROUP BY run)""", """
+    SELECT DISTINCT * FROM (
+      SELECT 'run_files' AS kind, n.rel AS pattern FROM nfound n LEFT JOIN nsamp s ON s.run = n.run
+      WHERE n.n_found < coalesce(s.n, 0)
+      UNION ALL
+      SELECT 'sample_files', list_reduce(list(sample ORDER BY c_custkey), lambda acc, x: replace(acc, x, '<sample>'), rel)
+      FROM hits GROUP BY run, rel)""")
+
+# ------------------------------------------------------ run transfers
+TRANSFER = RETENTION + """,
+rfold AS (
+  SELECT 's3://prod/runs/run_' || CAST(n_nationkey AS VARCHAR) AS path,
+         (978307200 + CAST(n_nationkey AS BIGINT) * 2592000) * 1000 + CAST(n_nationkey AS BIGINT) * 250 AS modified_ms,
+         n_regionkey <> 4 AS is_dir
+  FROM nation),
+rman AS (SELECT 's3://prod/runs/run_' || CAST(n_nationkey AS VARCHAR) || '/manifest.csv' AS path FROM nation
+         WHERE n_regionkey <> 3),
+win AS (
+  SELECT path AS run_path, CAST(CAST(modified_ms AS DECIMAL(20,0)) / 1000 AS DECIMAL(18,3)) AS seconds,
+         regexp_extract(path, '([^/]+)/*$', 1) AS run
+  FROM rfold
+  WHERE is_dir AND CAST(CAST(modified_ms AS DECIMAL(20,0)) / 1000 AS DECIMAL(18,3)) BETWEEN 983404800 AND 1022889600
+    AND path IN (SELECT regexp_replace(path, '/manifest\\.csv$', '') FROM rman)),
+wexp AS (
+  SELECT m.run, 'phoenix' AS workflow, m.sample, w.run_path || replace(p.pattern, '<sample>', m.sample) AS file, w.seconds
+  FROM manifest m JOIN win w ON w.run = m.run JOIN rules p ON p.kind = 'sample_files'
+  UNION ALL
+  SELECT w.run, 'phoenix', CAST(NULL AS VARCHAR), w.run_path || p.pattern, w.seconds
+  FROM win w JOIN rules p ON p.kind = 'run_files'
+  UNION ALL
+  SELECT m.run, 'phoenix', m.sample, m.fastq_1, w.seconds FROM manifest m JOIN win w ON w.run = m.run
+  UNION ALL
+  SELECT m.run, 'phoenix', m.sample, m.fastq_2, w.seconds FROM manifest m JOIN win w ON w.run = m.run
+  WHERE m.fastq_2 IS NOT NULL),
+wkept AS (SELECT * FROM wexp WHERE file IN (SELECT path FROM listing)),
+plan0 AS (
+  SELECT run, workflow, sample, file AS origin, regexp_extract(file, '([^/]+)/*$', 1) AS file,
+         regexp_replace(regexp_replace(CAST(seconds AS VARCHAR), '(\\.\\d*?)0+$', '\\1'), '\\.$', '') AS timestamp
+  FROM wkept),
+plan AS (
+  SELECT DISTINCT *, concat_ws('/', 's3://results', 'data', 'id=' || coalesce(sample, 'null'), 'workflow=' || workflow,
+                               'run=' || run, 'file=' || file, 'timestamp=' || timestamp, file) AS dest
+  FROM plan0),
+pending AS (
+  SELECT * FROM plan
+  WHERE dest NOT IN (SELECT dest FROM plan WHERE CAST(regexp_extract(run, 'run_(\\d+)', 1) AS INTEGER) % 3 = 0))"""
+
+ORACLE["run_window"] = _w(TRANSFER, """
+    SELECT run_path, run,
+           regexp_replace(regexp_replace(CAST(seconds AS VARCHAR), '(\\.\\d*?)0+$', '\\1'), '\\.$', '') AS timestamp
+    FROM win""")
+ORACLE["transfer_plan"] = _w(TRANSFER, "SELECT * FROM plan")
+ORACLE["transfer_pending"] = _w(TRANSFER, "SELECT * FROM pending")
+ORACLE["transfer_batches"] = _w(TRANSFER, """
+    SELECT dest, CAST((row_number() OVER (ORDER BY dest) - 1) // 20 AS BIGINT) AS batch FROM pending""")
+ORACLE["run_summary"] = _w(TRANSFER, """
+    SELECT run, timestamp, count(*) AS files FROM pending GROUP BY run, timestamp""")
+ORACLE["transfer_catalog"] = _w(TRANSFER, """
+    SELECT coalesce(sample, 'null') AS id, workflow, run, file, timestamp, origin, dest AS current FROM pending""")
+
+# -------------------------------------------------- workspace tables
+WIDE = """
+wide AS (
+  SELECT concat('S', CAST(p_partkey AS VARCHAR)) AS id,
+         CASE WHEN p_size % 2 = 0 THEN concat('gs://bkt/', CAST(p_partkey AS VARCHAR), '.fa.gz') ELSE p_brand END AS c1,
+         CASE WHEN p_size % 3 = 0 THEN concat('gs://bkt/', CAST(p_partkey AS VARCHAR), '_R1.fastq.gz') ELSE NULL END AS c2,
+         p_type AS c3
+  FROM part)"""
+
+ORACLE["wide_uris"] = _w(WIDE, """
+    SELECT * FROM (
+      SELECT id AS sample, 'id' AS attribute, id AS uri FROM wide
+      UNION ALL SELECT id, 'c1', c1 FROM wide
+      UNION ALL SELECT id, 'c2', c2 FROM wide
+      UNION ALL SELECT id, 'c3', c3 FROM wide) WHERE contains(uri, 'gs://')""")
+ORACLE["wide_uris_text"] = _w(WIDE + """,
+lines AS (SELECT concat_ws(chr(9), id, coalesce(c1, ''), coalesce(c2, ''), coalesce(c3, '')) AS value FROM wide),
+cells AS (SELECT string_split(translate(value, chr(9) || ' ', ',_'), ',') AS c FROM lines)""", """
+    SELECT id, uri FROM (SELECT c[1] AS id, unnest(c) AS uri FROM cells) WHERE contains(uri, 'gs://')""")
+ORACLE["entity_pages"] = """
+    SELECT s_name AS supplier_id, CAST(s_nationkey AS VARCHAR) AS nation, CAST(s_suppkey AS VARCHAR) AS suppkey,
+           CASE WHEN s_suppkey % 7 = 0 THEN ''
+                ELSE concat('gs://bkt/suppliers/', CAST(s_suppkey AS VARCHAR), '.tsv') END AS report
+    FROM supplier"""
+
+# ----------------------------------------------------------- id text
+ORACLE["normalize_ids"] = _w(META + """,
+ids AS (
+  SELECT DISTINCT id, workflow, run FROM meta
+  UNION
+  SELECT concat('X', CAST(year(l_shipdate) AS VARCHAR), 'JQ-', lpad(CAST(l_orderkey % 100000 AS VARCHAR), 5, '0'),
+                '-WA', CAST(l_linenumber AS VARCHAR)), 'legacy', concat('run_', CAST(l_suppkey % 20 AS VARCHAR))
+  FROM lineitem),
+s1 AS (SELECT *, regexp_replace(id, '-WA.*', '') AS a FROM ids),
+s2 AS (SELECT *, coalesce(nullif(regexp_extract(a, 'WA\\d{7}'), ''), a) AS b FROM s1)""", """
+    SELECT id, coalesce(nullif(regexp_extract(b, '\\d{4}JQ-\\d{5}'), ''), b) AS id_norm,
+           translate(concat(workflow, ', ', run), ', ', ';_') AS label
+    FROM s2""")
+ORACLE["extract_last_pattern"] = _w(META, """
+    SELECT file, coalesce(nullif(regexp_extract(file, 'WA\\d{7}'), ''),
+                          nullif(regexp_extract(file, '_R[12]_\\d{3}'), ''), 'None') AS match
+    FROM (SELECT DISTINCT file FROM meta)""")
+ORACLE["resolve_headers"] = """
+    WITH e AS (
+      SELECT event_id, event_type AS et, json_extract_string(props, '$.k') AS k,
+             concat('WA', lpad(CAST(user_id AS VARCHAR), 7, '0'), CASE WHEN event_id % 2 = 0 THEN '-WA2' ELSE '' END) AS sid,
+             CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 = 0 THEN 'FAIL'
+                  WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 = 1 THEN 'PASS' ELSE '' END AS qc,
+             CASE event_id % 4 WHEN 0 THEN 'Escherichia coli' WHEN 1 THEN 'Klebsiella pneumoniae' WHEN 2 THEN ''
+                  ELSE 'Candida auris, clade I' END AS sp
+      FROM events),
+    n AS (SELECT *, regexp_replace(sid, '-WA.*', '') AS a FROM e),
+    n2 AS (SELECT *, coalesce(nullif(regexp_extract(a, 'WA\\d{7}'), ''), a) AS b FROM n)
+    SELECT event_id, coalesce(nullif(regexp_extract(b, '\\d{4}JQ-\\d{5}'), ''), b) AS id,
+           translate(CASE WHEN et IN ('click', 'view', 'purchase') THEN nullif(qc, '') END, ', ', ';_') AS qc,
+           translate(nullif(sp, ''), ', ', ';_') AS species,
+           translate(CASE WHEN et IN ('click', 'view', 'purchase') THEN nullif(k, '') END, ', ', ';_') AS read_depth
+    FROM n2"""
+
+# ------------------------------------------------------- samplesheet
+SHEET = """
+sheet AS (
+  SELECT o_orderkey AS line, concat('cust ', CAST(o_custkey AS VARCHAR)) AS sample,
+         concat('r', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 50 = 0 THEN '.bam' ELSE '_1.fastq.gz' END) AS fastq_1,
+         CASE WHEN o_orderkey % 10 = 0 THEN '' WHEN o_orderkey % 33 = 0 THEN concat('r', CAST(o_orderkey AS VARCHAR), '_2.fq.gz')
+              ELSE concat('r', CAST(o_orderkey AS VARCHAR), '_2.fastq.gz') END AS fastq_2
+  FROM orders),
+chk AS (
+  SELECT *, coalesce(fastq_1, '') AS f1, coalesce(fastq_2, '') AS f2 FROM sheet)"""
+
+
+def _sfx(c: str) -> str:
+    return f"regexp_extract(regexp_extract({c}, '([^/]*)$', 1), '(\\.[^.]*){{1,2}}$', 0)"
+
+
+ORACLE["sheet_errors"] = _w(SHEET, f"""
+    SELECT line, error FROM (
+      SELECT line,
+             CASE WHEN length(coalesce(sample, '')) <= 0 THEN 'Sample input is required.'
+                  WHEN length(f1) <= 0 THEN 'At least the first FASTQ file is required.'
+                  WHEN NOT (ends_with(f1, '.fq.gz') OR ends_with(f1, '.fastq.gz'))
+                       THEN 'The FASTQ file has an unrecognized extension: ' || f1
+                  WHEN length(f2) > 0 AND NOT (ends_with(f2, '.fq.gz') OR ends_with(f2, '.fastq.gz'))
+                       THEN 'The FASTQ file has an unrecognized extension: ' || f2
+                  WHEN length(f2) > 0 AND {_sfx('f1')} <> {_sfx('f2')}
+                       THEN 'FASTQ pairs must have the same file extensions.'
+             END AS error
+      FROM chk) WHERE error IS NOT NULL""")
+ORACLE["sheet_valid"] = _w(SHEET, """
+    SELECT concat(replace(sample, ' ', '_'), '_T',
+                  CAST(row_number() OVER (PARTITION BY replace(sample, ' ', '_') ORDER BY line) AS VARCHAR)) AS sample,
+           NOT (length(f1) > 0 AND length(f2) > 0) AS single_end, line, fastq_1, fastq_2
+    FROM chk""")
+ORACLE["sheet_duplicates"] = _w(SHEET, """
+    SELECT replace(sample, ' ', '_') AS sample, fastq_1, count(*) AS n FROM sheet
+    GROUP BY 1, 2 HAVING count(*) > 1""")

@@ -99,3 +99,239 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The analysis table: catalog clean-up, latest passing result, read
     pairs and assemblies in one plan."""
     return _analysis(spark, sf_dir).withColumn("complete", an.complete())
+
+
+# -------------------------------------------------------- read export
+def _fastq(spark, sf):
+    return cat.read_files(_meta_alt(spark, sf))
+
+
+@query("new_reads")
+def new_reads(spark, sf):
+    from .plans.export_reads import new_reads as nr
+    return nr(_fastq(spark, sf), d.NOW)
+
+
+@query("new_reads_latest")
+def new_reads_latest(spark, sf):
+    from .plans import export_reads as ex
+    return ex.one_per_destination(ex.new_reads(_fastq(spark, sf), d.NOW))
+
+
+@query("new_reads_pending")
+def new_reads_pending(spark, sf):
+    """Second export 15 days after a first one: only names the first did
+    not upload."""
+    from .plans import export_reads as ex
+    from .functions.timefmt import whole_seconds
+    fastq = _fastq(spark, sf)
+    then = d.NOW - 15 * ex.DAY
+    existed = fastq.where(whole_seconds("timestamp") <= then)
+    earlier = ex.one_per_destination(ex.new_reads(existed, then)).select(F.col("dest_name").alias("key"))
+    return ex.pending_uploads(ex.new_reads(fastq, d.NOW), earlier)
+
+
+# -------------------------------------------------------- submissions
+def _cands(spark, sf):
+    from .plans import submissions as sub
+    return sub.candidates(d.submissions(spark, sf), d.entity_types(spark, sf))
+
+
+def _fresh(spark, sf):
+    from .plans import submissions as sub
+    return sub.not_in_ledger(sub.newest_per_entity(_cands(spark, sf)), d.ledger(spark, sf))
+
+
+@query("submission_candidates")
+def submission_candidates(spark, sf):
+    return _cands(spark, sf)
+
+
+@query("latest_submission")
+def latest_submission(spark, sf):
+    from .plans import submissions as sub
+    return sub.newest_per_entity(_cands(spark, sf))
+
+
+@query("new_submissions")
+def new_submissions(spark, sf):
+    return _fresh(spark, sf)
+
+
+@query("capped_submissions")
+def capped_submissions(spark, sf):
+    from .plans import submissions as sub
+    return sub.capped(_fresh(spark, sf))
+
+
+@query("job_rows")
+def job_rows(spark, sf):
+    from .plans import submissions as sub
+    return sub.job_rows(sub.capped(_fresh(spark, sf)), "proj", "ws", d.LAKE_ROOT)
+
+
+@query("submission_diff")
+def submission_diff(spark, sf):
+    from .operators.joins import present_in
+    from .functions.predicates import absent
+    from .plans import submissions as sub
+    sheet = d.workspace_sheet(spark, sf)
+    asked = present_in(d.monitor_summary(spark, sf), sheet.where(absent("run")), ["project", "workspace"])
+    return sub.submission_diff(asked, d.workspace_cache(spark, sf))
+
+
+@query("submission_tables")
+def submission_tables(spark, sf):
+    from .plans import submissions as sub
+    return sub.tables_to_export(d.workspace_sheet(spark, sf), d.monitor_summary(spark, sf),
+                                d.workspace_cache(spark, sf))
+
+
+# ---------------------------------------------------------- retention
+def _expanded(spark, sf):
+    from .operators.retention import expand_rules
+    m = d.manifest(spark, sf)
+    runs = m.select("run").distinct().select(
+        "run", F.lit("phoenix").alias("workflow"), F.concat(F.lit(d.RUN_ROOT + "/"), "run").alias("run_path"))
+    return expand_rules(runs, m, d.rules(spark))
+
+
+@query("retention_candidates")
+def retention_candidates(spark, sf):
+    return _expanded(spark, sf)
+
+
+@query("retention_expand")
+def retention_expand(spark, sf):
+    from .operators.retention import existing_files
+    return existing_files(_expanded(spark, sf), d.source_listing(spark, sf))
+
+
+@query("retention_infer")
+def retention_infer(spark, sf):
+    from .functions.paths import relative_to
+    from .operators.retention import infer_rules
+    listing = d.source_listing(spark, sf).where(F.startswith("path", F.lit(d.RUN_ROOT + "/")))
+    run = F.regexp_extract("path", "^" + d.RUN_ROOT + "/([^/]+)", 1)
+    files = listing.select(run.alias("run"), "path").select(
+        "run", relative_to("path", F.concat(F.lit(d.RUN_ROOT + "/"), "run")).alias("rel"))
+    samples = d.manifest(spark, sf).select("run", "sample", F.col("c_custkey").alias("ord"))
+    return infer_rules(files, samples)
+
+
+# ------------------------------------------------------ run transfers
+def _window():
+    from .plans.ingest_runs import time_window
+    return time_window(start=d.WINDOW_START, end=d.WINDOW_END)
+
+
+def _plan(spark, sf):
+    from .plans.ingest_runs import plan_runs
+    return plan_runs(d.run_folders(spark, sf), d.run_manifests(spark, sf), d.manifest_rows(spark, sf),
+                     d.rules(spark), d.source_listing(spark, sf), d.run_workflows(spark, sf), _window(), d.LAKE_ROOT)
+
+
+def _pending(spark, sf):
+    from .plans.ingest_runs import pending_transfers
+    plan = _plan(spark, sf)
+    # The lake already holds the runs of every third nation.
+    done = plan.where(F.regexp_extract("run", r"run_(\d+)", 1).cast("int") % 3 == 0).select(F.col("dest").alias("path"))
+    return pending_transfers(plan, done)
+
+
+@query("run_window")
+def run_window(spark, sf):
+    from .functions.timefmt import seconds_text
+    from .plans.ingest_runs import runs_in_window
+    runs = runs_in_window(d.run_folders(spark, sf), d.run_manifests(spark, sf), _window())
+    return runs.select("run_path", "run", seconds_text("seconds").alias("timestamp"))
+
+
+@query("transfer_plan")
+def transfer_plan(spark, sf):
+    return _plan(spark, sf)
+
+
+@query("transfer_pending")
+def transfer_pending(spark, sf):
+    return _pending(spark, sf)
+
+
+@query("transfer_batches")
+def transfer_batches(spark, sf):
+    from .plans.ingest_runs import transfer_batches as tb
+    return tb(_pending(spark, sf)).select("dest", "batch")
+
+
+@query("run_summary")
+def run_summary(spark, sf):
+    from .plans.ingest_runs import run_summary as rs
+    return rs(_pending(spark, sf))
+
+
+@query("transfer_catalog")
+def transfer_catalog(spark, sf):
+    from .plans.ingest_runs import catalog_rows
+    return catalog_rows(_pending(spark, sf))
+
+
+# ---------------------------------------------------- workspace tables
+@query("wide_uris")
+def wide_uris(spark, sf):
+    from .operators.reshape import uri_cells
+    return uri_cells(d.wide(spark, sf), "id")
+
+
+@query("wide_uris_text")
+def wide_uris_text(spark, sf):
+    from .operators.reshape import uri_cells_from_lines
+    return uri_cells_from_lines(d.wide_lines(spark, sf))
+
+
+@query("entity_pages")
+def entity_pages(spark, sf):
+    from .operators.reshape import entity_attributes, entity_table
+    id_name, attrs, _ = entity_attributes(d.entity_type_meta(spark, sf), "supplier")
+    return entity_table(d.entity_pages(spark, sf), id_name, attrs)
+
+
+# ------------------------------------------------------------ id text
+@query("normalize_ids")
+def normalize_ids(spark, sf):
+    from .functions.ids import normalize_sample_id, sanitize
+    ids = d.meta(spark, sf).select("id", "workflow", "run").unionByName(d.legacy_ids(spark, sf)).distinct()
+    return ids.select("id", normalize_sample_id("id").alias("id_norm"),
+                      sanitize(F.concat("workflow", F.lit(", "), "run")).alias("label"))
+
+
+@query("extract_last_pattern")
+def extract_last_pattern(spark, sf):
+    from .functions.ids import extract_last_match
+    files = d.meta(spark, sf).select("file").distinct()
+    return files.select("file", extract_last_match("file", [r"_R[12]_\d{3}", r"WA\d{7}"]).alias("match"))
+
+
+@query("resolve_headers")
+def resolve_headers(spark, sf):
+    from .operators.headers import ALTERNATIVES, resolve_results
+    alts = {k: ALTERNATIVES[k] for k in ("qc", "species", "read_depth")}
+    return resolve_results(d.header_rows(spark, sf), alternatives=alts, keep=["event_id"])
+
+
+# -------------------------------------------------------- samplesheet
+@query("sheet_errors")
+def sheet_errors(spark, sf):
+    from .operators.samplesheet import sheet_errors as se
+    return se(d.sheet(spark, sf))
+
+
+@query("sheet_valid")
+def sheet_valid(spark, sf):
+    from .operators.samplesheet import sheet_valid as sv
+    return sv(d.sheet(spark, sf))
+
+
+@query("sheet_duplicates")
+def sheet_duplicates(spark, sf):
+    from .operators.samplesheet import sheet_duplicates as sd
+    return sd(d.sheet(spark, sf))

@@ -261,7 +261,8 @@ def entity_pages(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -
     ent = s.select(F.floor(key / page_size).alias("page"), key.alias("_k"),
                    F.struct(F.col("s_name").alias("name"), attrs.alias("attributes")).alias("e"))
     # A page holds at most page_size entities, so collecting one page is bounded.
-    pages = ent.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("_k", "e"))).alias("items"))
+    by_key = lambda a, b: F.when(a["_k"] < b["_k"], -1).when(a["_k"] > b["_k"], 1).otherwise(0)
+    pages = ent.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("_k", "e")), by_key).alias("items"))
     return pages.select(F.col("page"), F.to_json(F.struct(F.transform("items", lambda x: x["e"]).alias("results")))
                         .alias("json"))
 
@@ -305,3 +306,37 @@ def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(et == "error", arr(sid, F.lit(""), qc, sp))
              .otherwise(arr(sid, sp, F.lit("other"))))
     return e.select(eid.alias("event_id"), header.alias("header"), cells.alias("cells"))
+
+
+def workspace_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-workspace cache of seen submission ids (every 7th id)."""
+    s = monitor_summary(spark, sf_dir)
+    return s.where(F.col("submissionId").cast("bigint") % LEDGER_EVERY == 0).select(
+        "project", "workspace", "submissionId")
+
+
+# Time window of the derived production ingest: 2001-03-01 .. 2002-06-01.
+WINDOW_START = 983404800
+WINDOW_END = 1022889600
+
+
+def run_workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run samplesheet ``(run_path, workflow)``: every run is phoenix."""
+    return run_folders(spark, sf_dir).select(F.col("path").alias("run_path"), F.lit("phoenix").alias("workflow"))
+
+
+def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest rows keyed by their run folder."""
+    m = manifest(spark, sf_dir)
+    return m.select(F.concat(F.lit(RUN_ROOT + "/"), "run").alias("run_path"), "sample", "fastq_1", "fastq_2")
+
+
+def legacy_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older lab ids (``X<year>JQ-<5 digits>-WA<n>``) with workflow and run."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(F.lit("X"), _s(F.year("l_shipdate")), F.lit("JQ-"), F.lpad(_s(F.col("l_orderkey") % 100000), 5, "0"),
+                 F.lit("-WA"), _s(F.col("l_linenumber"))).alias("id"),
+        F.lit("legacy").alias("workflow"),
+        F.concat(F.lit("run_"), _s(F.col("l_suppkey") % 20)).alias("run"),
+    )
