@@ -12,18 +12,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a side is broadcast after an explicit size check.
-BROADCAST_ROWS = 200_000
+# Plan-size bound (bytes) up to which a join side is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's size statistic of ``df`` (planning only, no job).
 
-    The check reads at most ``max_rows + 1`` rows.  Larger inputs are
-    returned unchanged so the planner (and AQE at run time) picks a
-    shuffle join.
+    Without column statistics the estimate of a filter or aggregate is
+    its input's size, so it over-states the result: a value under the
+    limit bounds the real size.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when the plan's size bound is under
+    ``max_bytes``.  Otherwise ``df`` is returned as is: the planner picks
+    a shuffle join, and AQE can still switch to a broadcast at run time
+    once the real size is measured."""
+    if plan_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -15,8 +15,6 @@ from ..functions.paths import fill_sample
 from .joins import broadcast_if_small, present_in
 
 RULE_SCHEMA = "workflow string, kind string, pattern string"
-# A rule file holds about a thousand rows; refuse to broadcast beyond this.
-MAX_RULES = 100_000
 
 
 def expand_rules(runs: DataFrame, manifest: DataFrame, rules: DataFrame) -> DataFrame:
@@ -28,7 +26,7 @@ def expand_rules(runs: DataFrame, manifest: DataFrame, rules: DataFrame) -> Data
     cross product); run patterns to the run; read files come from the
     manifest.  An unknown workflow keeps only its reads.
     """
-    r = broadcast_if_small(rules.select("workflow", "kind", "pattern"), MAX_RULES)
+    r = broadcast_if_small(rules.select("workflow", "kind", "pattern"))
     samples = manifest.select("run", "sample", "fastq_1", "fastq_2").join(runs.select("run", "workflow", "run_path"), "run")
     sample_files = samples.join(r.where(F.col("kind") == "sample_files"), "workflow").select(
         "run", "workflow", "sample", F.concat("run_path", fill_sample("pattern", "sample")).alias("file"))

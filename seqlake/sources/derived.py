@@ -9,6 +9,8 @@ oracle SQL repeats them as CTEs.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ NOW = 999993600                    # fixed "now" for the read export
 KNOWN_ENTITY_TYPES = 45            # entity_0 .. entity_44 exist
 LEDGER_EVERY = 7                   # submission ids already processed
 PAGE_SIZE = 1000                   # workspace entity page size
+SPREAD_SMALL_INPUTS = os.environ.get("SEQLAKE_SPREAD", "1") != "0"
 # Retention rules used with the derived manifests (workflow phoenix).
 FIXTURE_RULES = [
     ("phoenix", "run_files", "/Phoenix_Summary.tsv"),
@@ -36,7 +39,37 @@ FIXTURE_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
+    """Round-robin a mid-sized input over all task slots.
+
+    A file written as one row group is scanned by one task however many
+    splits it is cut into, so the row-wise work after the scan would run
+    on one core.  Inputs of at least ``min_bytes`` but smaller than one
+    full split per slot are redistributed (a bounded shuffle of at most
+    ``slots * maxPartitionBytes``).  Larger inputs -- any real table --
+    are split by the scan itself and returned untouched, as are tiny ones.
+    The size is Catalyst's file-size statistic (no job is run).
+    """
+    if not SPREAD_SMALL_INPUTS:
+        return df
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if min_bytes <= size < slots * split:
+        return df.repartition(slots)
+    return df
+
+
+def _bytes(text: str) -> int:
+    t = str(text).strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in mult:
+        return int(float(t[:-1]) * mult[t[-1]])
+    return int(t)
 
 
 def _s(c: Column) -> Column:
