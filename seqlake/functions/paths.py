@@ -43,6 +43,14 @@ def uri_text(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), r"^file:(//)?(?=/)", "")
 
 
+def local_path(p: str) -> str:
+    """Driver-side form of :func:`uri_text` for one path string."""
+    for prefix in ("file://", "file:"):
+        if p.startswith(prefix) and p[len(prefix):].startswith("/"):
+            return p[len(prefix):]
+    return p
+
+
 def relative_to(c: Column | str, root: Column | str) -> Column:
     """Strip a root prefix (``f.toString().replace(root, '')``)."""
     c, root = _c(c), (F.lit(root) if isinstance(root, str) else root)

@@ -81,3 +81,23 @@ def infer_rules(files: DataFrame, samples: DataFrame, mode: str = "reference") -
     return (run_files.select(F.lit("run_files").alias("kind"), F.col("rel").alias("pattern"))
             .unionByName(sample_files.select(F.lit("sample_files").alias("kind"), "pattern"))
             .distinct())
+
+
+def infer_retention_rules(spark, run_dir: str, workflow: str, mode: str = "reference") -> DataFrame:
+    """JOB8 on one example run folder: ``(workflow, kind, pattern)``."""
+    from ..sources.files import list_files, read_csv
+
+    root = run_dir.rstrip("/")
+    files = list_files(spark, root).select(F.lit("run").alias("run"), F.col("path"))
+    files = files.select("run", F.regexp_replace("path", r"^.*?" + _re_escape(root.split("://")[-1].lstrip("/")), "")
+                         .alias("rel"))
+    manifest = read_csv(spark, f"{root}/manifest.csv")
+    from .ranking import global_index
+    samples = global_index(manifest.select("sample").withColumn("_src", F.monotonically_increasing_id()),
+                           ["_src"], out="ord").select(F.lit("run").alias("run"), "sample", "ord")
+    return infer_rules(files, samples, mode).select(F.lit(workflow).alias("workflow"), "kind", "pattern")
+
+
+def _re_escape(s: str) -> str:
+    import re
+    return re.escape(s)

@@ -65,3 +65,44 @@ def sheet_valid(sheet: DataFrame, line: str = "line") -> DataFrame:
     s = s.withColumn("single_end", single_end())
     rest = [c for c in sheet.columns if c != "sample"]
     return s.select("sample", "single_end", *rest)
+
+
+# ---------------------------------------------------------------- runner
+class SamplesheetError(ValueError):
+    pass
+
+
+def validate_samplesheet(spark, path: str, out_path: str | None = None) -> DataFrame:
+    """JOB7 on one samplesheet file (any of ``, \t ; |``).
+
+    Raises :class:`SamplesheetError` listing every bad line (line numbers
+    count the header as line 1) or the missing columns; otherwise returns
+    the transformed sheet and writes it as CSV when ``out_path`` is given.
+    """
+    from ..sinks.writers import write_csv
+    from ..sources.files import read_csv, sniff_delimiters
+
+    sep = sniff_delimiters(spark, path).first()["sep"]
+    if sep is None:
+        raise SamplesheetError(f"could not detect the delimiter of {path}")
+    text = spark.read.text(path)
+    # Line numbers need file order: one file, numbered by a zipWithIndex
+    # over the text lines (dense, unlike monotonically_increasing_id).
+    lines = text.rdd.zipWithIndex().map(lambda x: (x[1] + 1, x[0][0])).toDF("line long, value string")
+    sheet = read_csv(spark, path, sep=sep)
+    header = sheet.columns
+    missing = missing_columns(header)
+    if missing:
+        raise SamplesheetError("The sample sheet must contain these column headers: " + ", ".join(REQUIRED_COLUMNS))
+    parsed = lines.where(F.col("line") > 1).select(
+        "line", F.from_csv("value", ", ".join(f"`{c}` string" for c in header), {"sep": sep}).alias("r"))
+    parsed = parsed.where(F.length(F.col("r").cast("string")) > 0).select("line", "r.*")
+    errors = sheet_errors(parsed).orderBy("line").collect()
+    if errors:
+        raise SamplesheetError("\n".join(f"{e['error']} On line {e['line']}." for e in errors[:50]))
+    if sheet_duplicates(parsed).limit(1).count():
+        raise SamplesheetError("The pair of sample name and FASTQ must be unique.")
+    valid = sheet_valid(parsed).orderBy("line").drop("line")
+    if out_path:
+        write_csv(valid, out_path, single_file=True)
+    return valid

@@ -66,3 +66,37 @@ def export_analysis(spark: SparkSession, table: DataFrame, out_dir: str) -> dict
     write_csv(ok.orderBy("id"), paths["gba"])
     write_csv(miss.orderBy("id"), paths["gba.miss"])
     return paths
+
+
+# ---------------------------------------------------------------- runner
+def build_analysis_table_from_files(spark: SparkSession, data_dir: str) -> dict[str, str]:
+    """JOB4 on the catalog exports of JOB3 in ``data_dir``.
+
+    Result tables listed in ``meta.gba.csv`` that exist are read with
+    their own headers, fields resolved, ids normalised; then the newest
+    passing row per sample is joined with read pairs and assemblies and
+    ``gba.csv`` / ``gba.miss.csv`` are written.
+    """
+    from ..functions.paths import uri_text
+    from ..operators.headers import resolve_results
+    from ..sources import files as src
+
+    d = data_dir.rstrip("/")
+    gba = src.read_catalog(spark, f"{d}/meta.gba.csv", with_id_alt=True).distinct()
+    gba = gba.where(F.col("id") == "null")
+    wanted = [r[0] for r in gba.select("current").distinct().collect()]  # one summary per run
+    if wanted:
+        dirs = sorted({w.rsplit("/", 1)[0] for w in wanted})
+        present = src.list_files(spark, dirs, recursive=False).select(uri_text("path").alias("current"))
+        gba = gba.withColumn("current", uri_text("current")).join(present, "current", "left_semi")
+        paths = [r[0] for r in gba.select("current").distinct().collect()]
+    else:
+        paths = []
+    rows = src.read_tables_with_header(spark, paths).withColumn("current", uri_text("file_path"))
+    rows = rows.join(gba.select("current", "workflow", "timestamp"), "current")
+    results = resolve_results(rows, keep=["workflow", "timestamp", "current", "line_no"])
+    fastq = src.read_catalog(spark, f"{d}/meta.fastq.csv", with_id_alt=True)
+    fasta = src.read_catalog(spark, f"{d}/meta.fasta.csv", with_id_alt=True)
+    table = analysis_table(results, fastq, fasta, tiebreak=("current", "line_no"))
+    table = table.select(*ANALYSIS_COLUMNS)
+    return export_analysis(spark, table, d)

@@ -40,3 +40,29 @@ def one_per_destination(reads: DataFrame) -> DataFrame:
 def pending_uploads(reads: DataFrame, destination: DataFrame, key: str = "key") -> DataFrame:
     """Drop names the destination already has (full listing, every page)."""
     return missing_from(one_per_destination(reads), destination, ["dest_name"], [key])
+
+
+def export_new_reads(spark, fastq_csv: str, dest_root: str, now: int, lookback_days: int = 30, copier=None,
+                     status_path: str | None = None) -> dict:
+    """JOB5 against files: read ``meta.fastq.csv``, pick new reads, skip
+    names already at ``dest_root``, copy the rest as ``<dest_root>/<name>``."""
+    from ..sinks.copy import copy_files, local_copy
+    from ..sources import files as src
+
+    fastq = src.read_catalog(spark, fastq_csv, with_id_alt=True)
+    reads = new_reads(fastq, now, lookback_days)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(dest_root)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        listing = src.list_files(spark, dest_root).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("key"))
+    else:
+        listing = spark.createDataFrame([], "key string")
+    todo = pending_uploads(reads, listing).withColumn(
+        "dest", F.concat(F.lit(dest_root.rstrip("/") + "/"), F.col("dest_name")))
+    status = copy_files(todo.select(F.col("source").alias("origin"), "dest"), copier or local_copy)
+    if status_path:
+        status.write.mode("overwrite").parquet(status_path)
+        status = spark.read.parquet(status_path)
+    rows = status.collect() if not status_path else None
+    ok = sum(1 for r in rows if r["ok"]) if rows is not None else status.where("ok").count()
+    return {"copied": ok, "skipped_rows": skipped_rows(fastq).count()}

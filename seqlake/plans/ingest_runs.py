@@ -116,3 +116,80 @@ def plan_runs(run_listing: DataFrame, manifests_listing: DataFrame, manifest_row
     kept = existing_files(expanded, source_listing)
     kept = kept.join(runs.select("run", "seconds"), "run")
     return transfer_plan(kept, out)
+
+
+# ---------------------------------------------------------------- runner
+def ingest_runs(spark, samplesheet: str, rules_path: str, outdir: str, window: Window,
+                copier=None, run_id: str | None = None, rules_format: str = "config") -> dict:
+    """Run the whole production ingest against real folders.
+
+    ``samplesheet``: CSV with ``workflow`` and either ``path`` (a folder of
+    runs) or ``run`` (one run folder).  Steps: list runs, keep those in the
+    window with a manifest, expand the rules, keep files that exist, plan
+    versioned destinations, drop those already in the lake, write the
+    plan, copy, then append catalog rows of the files that copied.
+    """
+    import uuid
+
+    from ..sinks.copy import copy_files, local_copy
+    from ..sinks.writers import append_if_any, write_table
+    from ..sources import files as src
+
+    out = outdir.rstrip("/")
+    run_id = run_id or f"{int(time.time())}-{uuid.uuid4()}"
+    sheet = src.read_csv(spark, samplesheet)
+    for c in ("path", "run"):
+        if c not in sheet.columns:
+            sheet = sheet.withColumn(c, F.lit(None).cast("string"))
+    rows = sheet.select("workflow", "path", "run").collect()  # the samplesheet: a handful of lines
+    parents = [r["path"] for r in rows if r["path"]]
+    singles = [r["run"] for r in rows if not r["path"] and r["run"]]
+    listing = src.list_children(spark, parents).select("parent", "path", "modified_ms", "is_dir")
+    single = src.path_status(spark, singles).withColumn("parent", F.lit(None).cast("string"))
+    wf_by_parent = spark.createDataFrame([(r["path"], r["workflow"]) for r in rows if r["path"]] or [],
+                                         "parent string, workflow string")
+    wf_by_run = spark.createDataFrame([(r["run"], r["workflow"]) for r in rows if not r["path"] and r["run"]] or [],
+                                      "path string, workflow string")
+    cands = (listing.join(wf_by_parent, "parent").select("path", "modified_ms", "is_dir", "workflow")
+             .unionByName(single.join(wf_by_run, "path").select("path", "modified_ms", "is_dir", "workflow")))
+    cands = cands.withColumn("path", F.regexp_replace("path", "/+$", ""))
+    dirs = [r["path"] for r in cands.where("is_dir").select("path").distinct().collect()]  # run folder names
+    manifests = (src.list_files(spark, dirs, recursive=False, glob="manifest.csv").select("path")
+                 if dirs else spark.createDataFrame([], "path string"))
+    runs = runs_in_window(cands.select("path", "modified_ms", "is_dir"), manifests, window)
+    runs = runs.join(cands.select(F.col("path").alias("run_path"), "workflow"), "run_path")
+    run_dirs = [r["run_path"] for r in runs.select("run_path").collect()]
+    if not run_dirs:
+        return {"run_id": run_id, "files": 0, "catalog": None}
+    m = src.read_manifests(spark, run_dirs).join(runs.select("run_path", "run"), "run_path")
+    rules = src.read_rules_config(spark, rules_path) if rules_format == "config" else src.read_rules(spark, rules_path)
+    expanded = expand_rules(runs.select("run", "workflow", "run_path"),
+                            m.select("run", "sample", "fastq_1", "fastq_2"), rules)
+    read_dirs = [r[0] for r in expanded.select(F.regexp_replace("file", "/[^/]+$", "")).distinct().collect()]
+    present = src.list_files(spark, read_dirs, recursive=False).select(
+        uri_text("path").alias("path"))  # listing of the folders that hold candidates
+    kept = existing_files(expanded.withColumn("file", uri_text("file")), present)
+    plan = transfer_plan(kept.join(runs.select("run", "seconds"), "run"), out)
+    lake = _lake_listing(spark, f"{out}/data")
+    pending = pending_transfers(plan, lake)
+    plan_path = f"{out}/plans/{run_id}"
+    write_table(pending, f"{plan_path}/plan")           # the plan is computed once
+    pending = spark.read.parquet(f"{plan_path}/plan")
+    status = copy_files(pending, copier or local_copy)
+    write_table(status, f"{plan_path}/status")          # copies run once, here
+    status = spark.read.parquet(f"{plan_path}/status")
+    moved = pending.join(status.where("ok").select("dest"), "dest", "left_semi")
+    wrote = append_if_any(catalog_rows(moved), f"{out}/meta/{run_id}.csv")
+    n = moved.count()
+    return {"run_id": run_id, "files": n, "failed": status.where("NOT ok").count(),
+            "catalog": f"{out}/meta/{run_id}.csv" if wrote else None,
+            "runs": [r.asDict() for r in run_summary(moved).orderBy("run").collect()]}
+
+
+def _lake_listing(spark, root: str) -> DataFrame:
+    from ..sources import files as src
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], "path string")
+    return src.list_files(spark, root).select(uri_text("path").alias("path"))

@@ -92,3 +92,38 @@ def tables_to_export(sheet: DataFrame, summary: DataFrame, cache: DataFrame) ->
         "project", "workspace", F.col("entity").alias("entity_table"), "workflow")
     explicit = sheet.where(present("run")).select("project", "workspace", F.col("run").alias("entity_table"), "workflow")
     return from_monitor.unionByName(explicit)
+
+
+# ---------------------------------------------------------------- runner
+SUBMISSION_SCHEMA = ("array<struct<submissionId:string, methodConfigurationName:string, "
+                     "submissionEntity:struct<entityType:string, entityName:string>, submissionDate:string, "
+                     "status:string, workflowStatuses:map<string,bigint>>>")
+
+
+def submissions_from_json(docs: DataFrame) -> DataFrame:
+    """Submission list documents (``(file_path, json)``) -> flat rows."""
+    from ..functions.timefmt import parse_iso
+    rows = docs.select(F.explode(F.from_json("json", SUBMISSION_SCHEMA)).alias("s"))
+    return rows.select(
+        F.col("s.submissionId").alias("submission_id"), F.col("s.methodConfigurationName").alias("method"),
+        F.col("s.submissionEntity.entityType").alias("entity_raw"),
+        parse_iso(F.col("s.submissionDate")).alias("submission_date"), F.col("s.status").alias("status"),
+        F.col("s.workflowStatuses").alias("workflow_statuses"))
+
+
+def entity_types_from_json(docs: DataFrame) -> DataFrame:
+    """Entity type metadata documents -> ``(entity_type)``."""
+    m = F.from_json("json", "map<string, struct<count:bigint, idName:string>>")
+    return docs.select(F.explode(F.map_keys(m)).alias("entity_type")).distinct()
+
+
+def check_submissions(spark, submissions_json: str, entity_types_json: str, ledger_path: str,
+                      project: str, workspace: str, outdir: str) -> DataFrame:
+    """JOB6 against files: the work items for new submissions (nothing is
+    started; append their ids to the ledger once the ingest succeeded)."""
+    from ..sinks.ledger import read_ledger
+    from ..sources.files import read_json_docs
+    subs = submissions_from_json(read_json_docs(spark, submissions_json))
+    et = entity_types_from_json(read_json_docs(spark, entity_types_json))
+    fresh = not_in_ledger(newest_per_entity(candidates(subs, et)), read_ledger(spark, ledger_path, ["submission_id"]))
+    return job_rows(capped(fresh), project, workspace, outdir)
