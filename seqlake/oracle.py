@@ -431,3 +431,9 @@ ORACLE["sheet_valid"] = _w(SHEET, """
 ORACLE["sheet_duplicates"] = _w(SHEET, """
     SELECT replace(sample, ' ', '_') AS sample, fastq_1, count(*) AS n FROM sheet
     GROUP BY 1, 2 HAVING count(*) > 1""")
+
+# ---------------------------------------------------------- streaming
+ORACLE["stream_new_ids"] = _w(SUBS, """
+    SELECT * FROM cands WHERE submission_id NOT IN (SELECT submission_id FROM ledger)""")
+ORACLE["stream_windowed_dedupe"] = _w(SUBS, """
+    SELECT DISTINCT submission_id, method, entity_raw, submission_date, status, workflow_statuses FROM subs""")

@@ -335,3 +335,20 @@ def sheet_valid(spark, sf):
 def sheet_duplicates(spark, sf):
     from .operators.samplesheet import sheet_duplicates as sd
     return sd(d.sheet(spark, sf))
+
+
+# ----------------------------------------------------------- streaming
+@query("stream_new_ids")
+def stream_new_ids(spark, sf):
+    """Submissions landed as files and streamed through the ledger sink;
+    equals the batch ``candidates - ledger``."""
+    from .streaming.ingest import stream_new_submissions
+    return stream_new_submissions(spark, d.submissions(spark, sf), d.entity_types(spark, sf), d.ledger(spark, sf))
+
+
+@query("stream_windowed_dedupe")
+def stream_windowed_dedupe(spark, sf):
+    """Every submission landed twice, deduplicated within a 30-day
+    watermark; equals the distinct submissions."""
+    from .streaming.ingest import stream_deduped_submissions
+    return stream_deduped_submissions(spark, d.submissions(spark, sf))
