@@ -75,3 +75,10 @@ def entity_table(pages: DataFrame, id_name: str, attributes: Sequence[str], json
         F.col("e.name").alias(id_name),
         *[F.coalesce(F.col("e.attributes")[a], F.lit("")).alias(a) for a in attributes],
     )
+
+
+def entity_page(table: DataFrame, id_name: str, page: int, page_size: int, ascending: bool = True) -> DataFrame:
+    """One page of entities in name order (LIM5) -- a preview; full reads
+    use every landed page as a partition."""
+    order = F.col(id_name).asc() if ascending else F.col(id_name).desc()
+    return table.orderBy(order).offset((page - 1) * page_size).limit(page_size)

@@ -64,3 +64,17 @@ def build_catalog(spark: SparkSession, meta: DataFrame, out_dir: str, table_form
         paths[name] = f"{out}/{name}.csv"
         write_csv(df, paths[name])
     return paths
+
+
+# ------------------------------------------------- ordered SQL statements
+def run_sql_steps(spark: SparkSession, steps: list[str], views: dict[str, DataFrame] | None = None) -> list[DataFrame]:
+    """Run SQL statements in order (SNK16), after registering ``views``.
+
+    Whitespace is collapsed first (statements are logged on one line);
+    a failing statement raises at once instead of being ignored.  The
+    results of ``SELECT`` steps are returned lazily, one per statement.
+    """
+    import re
+    for name, df in (views or {}).items():
+        df.createOrReplaceTempView(name)
+    return [spark.sql(re.sub(r"\s+", " ", q).strip()) for q in steps]

@@ -92,6 +92,16 @@ def transfer_batches(pending: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     return batch_number(pending, ["dest"], size)
 
 
+def observed(moved: DataFrame, name: str = "transfer"):
+    """Attach run counters (files moved, run-level files among them) that
+    are filled in by the action that consumes ``moved`` (AGG14, SNK11):
+    no second pass over the data."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    run_level = F.sum(F.when(F.col("sample").isNull(), 1).otherwise(0)) if "sample" in moved.columns else F.lit(0)
+    return moved.observe(obs, F.count(F.lit(1)).alias("files"), run_level.alias("run_level")), obs
+
+
 def run_summary(pending: DataFrame) -> DataFrame:
     """Runs being transferred with their version and file count."""
     return pending.groupBy("run", "timestamp").agg(F.count(F.lit(1)).alias("files"))

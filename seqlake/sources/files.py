@@ -237,3 +237,20 @@ def read_json_docs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     parse with ``from_json`` and the operator's schema."""
     return spark.read.text(_paths(paths), wholetext=True).select(
         uri_text("_metadata.file_path").alias("file_path"), F.col("value").alias("json"))
+
+
+# ------------------------------------------------- lake partition paths
+LAKE_KEYS = ["id", "workflow", "run", "file", "timestamp"]
+
+
+def lake_catalog(spark: SparkSession, root: str) -> DataFrame:
+    """Catalog rows rebuilt from the lake's own layout (SRC15): every
+    object under ``<root>/data`` yields ``id, workflow, run, file,
+    timestamp`` from its ``key=value`` folders and ``current`` = its path.
+
+    Values stay text (``id=0001`` stays ``0001``, ``id=null`` stays
+    ``null``); the listing runs in parallel and reads no file content.
+    """
+    files = list_files(spark, f"{root.rstrip('/')}/data")
+    cols = [F.regexp_extract("path", f"/{k}=([^/]*)/", 1).alias(k) for k in LAKE_KEYS]
+    return files.select(*cols, F.lit(None).cast("string").alias("origin"), F.col("path").alias("current"))
