@@ -288,26 +288,27 @@ TRANSFER = RETENTION + """,
 rfold AS (
   SELECT 's3://prod/runs/run_' || CAST(n_nationkey AS VARCHAR) AS path,
          (978307200 + CAST(n_nationkey AS BIGINT) * 2592000) * 1000 + CAST(n_nationkey AS BIGINT) * 250 AS modified_ms,
-         n_regionkey <> 4 AS is_dir
+         n_regionkey <> 4 AS is_dir,
+         CASE WHEN n_regionkey = 2 THEN 'mycosnp' ELSE 'phoenix' END AS workflow
   FROM nation),
 rman AS (SELECT 's3://prod/runs/run_' || CAST(n_nationkey AS VARCHAR) || '/manifest.csv' AS path FROM nation
          WHERE n_regionkey <> 3),
 win AS (
   SELECT path AS run_path, CAST(CAST(modified_ms AS DECIMAL(20,0)) / 1000 AS DECIMAL(18,3)) AS seconds,
-         regexp_extract(path, '([^/]+)/*$', 1) AS run
+         regexp_extract(path, '([^/]+)/*$', 1) AS run, workflow
   FROM rfold
   WHERE is_dir AND CAST(CAST(modified_ms AS DECIMAL(20,0)) / 1000 AS DECIMAL(18,3)) BETWEEN 983404800 AND 1022889600
     AND path IN (SELECT regexp_replace(path, '/manifest\\.csv$', '') FROM rman)),
 wexp AS (
-  SELECT m.run, 'phoenix' AS workflow, m.sample, w.run_path || replace(p.pattern, '<sample>', m.sample) AS file, w.seconds
-  FROM manifest m JOIN win w ON w.run = m.run JOIN rules p ON p.kind = 'sample_files'
+  SELECT m.run, w.workflow, m.sample, w.run_path || replace(p.pattern, '<sample>', m.sample) AS file, w.seconds
+  FROM manifest m JOIN win w ON w.run = m.run JOIN rules p ON p.kind = 'sample_files' AND p.workflow = w.workflow
   UNION ALL
-  SELECT w.run, 'phoenix', CAST(NULL AS VARCHAR), w.run_path || p.pattern, w.seconds
-  FROM win w JOIN rules p ON p.kind = 'run_files'
+  SELECT w.run, w.workflow, CAST(NULL AS VARCHAR), w.run_path || p.pattern, w.seconds
+  FROM win w JOIN rules p ON p.kind = 'run_files' AND p.workflow = w.workflow
   UNION ALL
-  SELECT m.run, 'phoenix', m.sample, m.fastq_1, w.seconds FROM manifest m JOIN win w ON w.run = m.run
+  SELECT m.run, w.workflow, m.sample, m.fastq_1, w.seconds FROM manifest m JOIN win w ON w.run = m.run
   UNION ALL
-  SELECT m.run, 'phoenix', m.sample, m.fastq_2, w.seconds FROM manifest m JOIN win w ON w.run = m.run
+  SELECT m.run, w.workflow, m.sample, m.fastq_2, w.seconds FROM manifest m JOIN win w ON w.run = m.run
   WHERE m.fastq_2 IS NOT NULL),
 wkept AS (SELECT * FROM wexp WHERE file IN (SELECT path FROM listing)),
 plan0 AS (

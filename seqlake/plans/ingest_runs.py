@@ -156,10 +156,10 @@ def ingest_runs(spark, samplesheet: str, rules_path: str, outdir: str, window: W
     singles = [r["run"] for r in rows if not r["path"] and r["run"]]
     listing = src.list_children(spark, parents).select("parent", "path", "modified_ms", "is_dir")
     single = src.path_status(spark, singles).withColumn("parent", F.lit(None).cast("string"))
-    wf_by_parent = spark.createDataFrame([(r["path"], r["workflow"]) for r in rows if r["path"]] or [],
-                                         "parent string, workflow string")
-    wf_by_run = spark.createDataFrame([(r["run"], r["workflow"]) for r in rows if not r["path"] and r["run"]] or [],
-                                      "path string, workflow string")
+    wf_by_parent = src.local_table(spark, [(r["path"], r["workflow"]) for r in rows if r["path"]],
+                                   ["parent", "workflow"])
+    wf_by_run = src.local_table(spark, [(r["run"], r["workflow"]) for r in rows if not r["path"] and r["run"]],
+                                ["path", "workflow"])
     cands = (listing.join(wf_by_parent, "parent").select("path", "modified_ms", "is_dir", "workflow")
              .unionByName(single.join(wf_by_run, "path").select("path", "modified_ms", "is_dir", "workflow")))
     cands = cands.withColumn("path", F.regexp_replace("path", "/+$", ""))

@@ -190,10 +190,7 @@ def submission_tables(spark, sf):
 # ---------------------------------------------------------- retention
 def _expanded(spark, sf):
     from .operators.retention import expand_rules
-    m = d.manifest(spark, sf)
-    runs = m.select("run").distinct().select(
-        "run", F.lit("phoenix").alias("workflow"), F.concat(F.lit(d.RUN_ROOT + "/"), "run").alias("run_path"))
-    return expand_rules(runs, m, d.rules(spark))
+    return expand_rules(d.manifest_runs(spark, sf), d.manifest(spark, sf), d.rules(spark))
 
 
 @query("retention_candidates")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import lake_path
+from .files import local_table
 from ..functions.timefmt import epoch_seconds
 
 # Fixed values of the derived shapes.
@@ -203,7 +204,16 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FIXTURE_RULES, "workflow string, kind string, pattern string")
+    return local_table(spark, FIXTURE_RULES, ["workflow", "kind", "pattern"])
+
+
+def manifest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the derived manifests with their workflow and folder; every
+    run that has a nation is a phoenix run."""
+    c = table(spark, sf_dir, "customer")
+    runs = c.select(F.concat(F.lit("run_"), _s(F.col("c_nationkey"))).alias("run"),
+                    F.when(F.col("c_nationkey").isNotNull(), F.lit("phoenix")).alias("workflow")).distinct()
+    return runs.withColumn("run_path", F.concat(F.lit(RUN_ROOT + "/"), "run"))
 
 
 def run_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,10 +245,10 @@ def source_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules, and sample and read files of customers with ``c_custkey % 3 <> 0``."""
     m = manifest(spark, sf_dir)
     r = rules(spark)
-    runs = m.select("run").distinct().withColumn("workflow", F.lit("phoenix"))
+    runs = manifest_runs(spark, sf_dir)
     run_level = runs.join(F.broadcast(r.where(F.col("kind") == "run_files")), "workflow").select(
         F.concat(F.lit(RUN_ROOT + "/"), "run", "pattern").alias("path"))
-    kept = m.where(F.col("c_custkey") % 3 != 0).withColumn("workflow", F.lit("phoenix"))
+    kept = m.where(F.col("c_custkey") % 3 != 0).join(runs.select("run", "workflow"), "run")
     sample_level = kept.join(F.broadcast(r.where(F.col("kind") == "sample_files")), "workflow").select(
         F.concat(F.lit(RUN_ROOT + "/"), "run", F.replace("pattern", F.lit("<sample>"), F.col("sample"))).alias("path"))
     reads = kept.select(F.explode(F.array("fastq_1", "fastq_2")).alias("path")).where(F.col("path").isNotNull())
@@ -354,8 +364,11 @@ WINDOW_END = 1022889600
 
 
 def run_workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run samplesheet ``(run_path, workflow)``: every run is phoenix."""
-    return run_folders(spark, sf_dir).select(F.col("path").alias("run_path"), F.lit("phoenix").alias("workflow"))
+    """Run samplesheet ``(run_path, workflow)``: runs of region 2 come from
+    a workflow without retention rules (mycosnp), the others are phoenix."""
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.concat(F.lit(RUN_ROOT + "/run_"), _s(F.col("n_nationkey"))).alias("run_path"),
+                    F.when(F.col("n_regionkey") == 2, F.lit("mycosnp")).otherwise(F.lit("phoenix")).alias("workflow"))
 
 
 def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

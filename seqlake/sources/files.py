@@ -23,6 +23,18 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], columns: list[str], types: list[str] | None = None) -> DataFrame:
+    """A small literal table as a local relation, so the planner knows its
+    size (an RDD-backed frame has none and is never broadcast)."""
+    import pandas as pd
+    types = types or ["string"] * len(columns)
+    pdf = pd.DataFrame(rows, columns=columns)
+    for c, t in zip(columns, types):
+        if t == "string":
+            pdf[c] = pdf[c].astype("object").where(pdf[c].notna(), None)
+    return spark.createDataFrame(pdf, ", ".join(f"`{c}` {t}" for c, t in zip(columns, types)))
+
+
 def string_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
@@ -103,7 +115,8 @@ def list_children(spark: SparkSession, parents: str | Sequence[str]) -> DataFram
         for st in fs.listStatus(p):
             path = st.getPath().toString()
             rows.append((parent, path, st.getPath().getName(), int(st.getModificationTime()), bool(st.isDirectory())))
-    df = spark.createDataFrame(rows, "parent string, path string, name string, modified_ms long, is_dir boolean")
+    df = local_table(spark, rows, ["parent", "path", "name", "modified_ms", "is_dir"],
+                     ["string", "string", "string", "bigint", "boolean"])
     return df.withColumn("path", uri_text("path"))
 
 
@@ -118,7 +131,7 @@ def path_status(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         if fs.exists(p):
             st = fs.getFileStatus(p)
             rows.append((st.getPath().toString(), int(st.getModificationTime()), bool(st.isDirectory())))
-    df = spark.createDataFrame(rows, "path string, modified_ms long, is_dir boolean")
+    df = local_table(spark, rows, ["path", "modified_ms", "is_dir"], ["string", "bigint", "boolean"])
     return df.withColumn("path", uri_text("path"))
 
 
