@@ -52,18 +52,18 @@ def strip_set(c: Column | str) -> Column:
 
 
 def last_two_suffixes(c: Column | str) -> Column:
-    """``pathlib.Path(x).suffixes[-2:]`` as an array of strings.
+    """``"".join(pathlib.Path(x).suffixes[-2:])`` as text.
 
-    Only the last path segment counts; leading dots are not suffix
-    separators; a name ending in ``.`` has no suffixes.
+    Only the last path segment counts, leading dots are not suffix
+    separators, and a name ending in ``.`` has no suffixes.  Every suffix
+    starts with its only dot, so equal texts mean equal suffix lists.
+    Built from regular expressions only (no array lambdas), so it stays
+    in generated code.
     """
     name = F.regexp_extract(_c(c), r"([^/]*)$", 1)
-    parts = F.split(F.regexp_replace(name, r"^\.+", ""), r"\.", -1)
-    n = F.size(parts)
-    # parts[2..n] are the suffixes; keep at most the last two.
-    start = F.greatest(F.lit(2), n - 1)
-    sfx = F.transform(F.slice(parts, start, F.greatest(n - start + 1, F.lit(0))), lambda s: F.concat(F.lit("."), s))
-    return F.when(name.endswith("."), F.array().cast("array<string>")).otherwise(sfx)
+    stem_free = F.regexp_extract(F.regexp_replace(name, r"^\.+", ""), r"^[^.]*(.*)$", 1)
+    last_two = F.regexp_extract(stem_free, r"((?:\.[^.]*){0,2})$", 1)
+    return F.when(name.endswith("."), F.lit("")).otherwise(last_two)
 
 
 def ends_with_any(c: Column | str, endings: Sequence[str]) -> Column:

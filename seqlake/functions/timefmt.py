@@ -28,9 +28,18 @@ def round_seconds(sec: Column | str) -> Column:
     return F.round(_c(sec).cast(SECONDS_TYPE), 0).cast("bigint")
 
 
+def epoch_micros(ts: Column | str) -> Column:
+    """Epoch microseconds of a timestamp, local (NTZ) or instant (LTZ),
+    without going through the session time zone: whole seconds from
+    ``unix_timestamp`` plus the fraction of the seconds field."""
+    c = _c(ts)
+    frac = (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint") % F.lit(1_000_000)
+    return F.unix_timestamp(c).cast("bigint") * F.lit(1_000_000) + frac
+
+
 def timestamp_seconds(ts: Column | str) -> Column:
     """Timestamp column -> decimal seconds, keeping milliseconds."""
-    return (F.unix_micros(_c(ts).cast("timestamp")).cast("decimal(24,0)") / F.lit(1_000_000)).cast(SECONDS_TYPE)
+    return (epoch_micros(ts).cast("decimal(24,0)") / F.lit(1_000_000)).cast(SECONDS_TYPE)
 
 
 def seconds_text(sec: Column | str) -> Column:

@@ -16,19 +16,20 @@ def read_pairs(files: DataFrame, key: str = "id_alt", file: str = "file", uri: s
     The first mate is the smallest ``(file, uri)`` whose name fully
     matches ``.*_R1.*.fastq.gz``; its mate is the file named like it with
     every ``R1`` turned into ``R2``, taking the smallest URI of that name.
-    Both steps are aggregates keyed by sample (partial on the map side),
-    joined on ``(sample, mate name)``.  Run-level rows (``'null'``) have no
+
+    One partial aggregate gives the smallest URI of every (sample, file);
+    both the first-mate choice and the mate lookup read that one shuffled
+    table, and the final join is on (sample, mate name).  Duplicate input
+    rows do not change the result.  Run-level rows (``'null'``) have no
     sample and are left out before any grouping.
     """
     reads = (files.where(is_original_read(file) & (F.col(key) != "null"))
-             .select(F.col(key).alias("_k"), F.col(file).alias("_f"), F.col(uri).alias("_u")))
+             .groupBy(F.col(key).alias("_k"), F.col(file).alias("_f")).agg(F.min(uri).alias("_u")))
     first = (reads.where(is_first_mate("_f"))
              .groupBy("_k").agg(F.min(F.struct("_f", "_u")).alias("_r1"))
              .select("_k", F.col("_r1._u").alias("fastq_1"),
                      F.replace(F.col("_r1._f"), F.lit("R1"), F.lit("R2")).alias("_f")))
-    mates = (reads.where(F.contains("_f", F.lit("R2")))
-             .groupBy("_k", "_f").agg(F.min("_u").alias("fastq_2")))
-    return (first.join(mates, ["_k", "_f"], "inner")
+    return (first.join(reads.withColumnRenamed("_u", "fastq_2"), ["_k", "_f"], "inner")
             .select(F.col("_k").alias(key), "fastq_1", "fastq_2"))
 
 

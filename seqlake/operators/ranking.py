@@ -57,7 +57,9 @@ def global_index(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataF
     the high bits, position in the low 33 bits); per-partition counts are a
     table of one row per partition, whose prefix sums are joined back.
     """
+    from ..session import checkpoint_root
     order = list(order)
+    checkpoint_root(df.sparkSession)          # the cluster's folder; a private one only if unset
     fixed = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
     tagged = fixed.withColumn("_part", F.shiftright(mid, 33)).withColumn("_pos", mid.bitwiseAND((1 << 33) - 1))

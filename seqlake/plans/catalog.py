@@ -18,12 +18,18 @@ CATALOG_COLUMNS = ["id", "workflow", "run", "file", "timestamp", "origin", "curr
 CLEAN_COLUMNS = CATALOG_COLUMNS + ["id_alt"]
 
 
-def clean_catalog(meta: DataFrame) -> DataFrame:
-    """``meta_alt``: distinct rows, workflow family names, ``id_alt``."""
+def clean_rows(meta: DataFrame) -> DataFrame:
+    """Catalog rows with workflow family names and ``id_alt`` (duplicates
+    kept: consumers that only take minima or arg-maxima need no distinct)."""
     return meta.select(
         "id", normalize_workflow("workflow").alias("workflow"), "run", "file", "timestamp", "origin", "current",
         strip_suffix("id").alias("id_alt"),
-    ).distinct()
+    )
+
+
+def clean_catalog(meta: DataFrame) -> DataFrame:
+    """``meta_alt``: distinct rows, workflow family names, ``id_alt``."""
+    return clean_rows(meta).distinct()
 
 
 def result_tables(meta_alt: DataFrame) -> DataFrame:

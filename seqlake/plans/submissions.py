@@ -12,6 +12,7 @@ from pyspark.sql.types import MapType, StringType
 
 from ..functions.predicates import absent, present, summary_retained
 from ..functions.text import entity_name, strip_set
+from ..functions.timefmt import epoch_micros
 from ..operators.joins import broadcast_if_small, missing_from, present_in
 from ..operators.latest import cap_rows, rows_matching_latest
 
@@ -39,7 +40,7 @@ def newest_per_entity(cands: DataFrame) -> DataFrame:
     """Rows equal in (method, entity, date) to the newest submission of
     their entity; the newest is the latest date, first id on ties."""
     return rows_matching_latest(
-        cands.withColumn("_t", F.unix_micros(F.col("submission_date").cast("timestamp"))),
+        cands.withColumn("_t", epoch_micros("submission_date")),
         keys=["entity_type"], match=["method", "submission_date"], newest_first=["_t"],
         then_ascending=["submission_id"]).drop("_t")
 

@@ -63,21 +63,27 @@ def latest_passing(spark, sf):
     return an.latest_passing(d.results(spark, sf))
 
 
+def _catalog_rows(spark, sf):
+    """``meta_alt`` before its distinct: pairing and newest-assembly only
+    take minima / arg-maxima, which duplicates cannot change."""
+    return cat.clean_rows(d.meta(spark, sf))
+
+
 @query("read_pairs")
 def read_pairs(spark, sf):
     from .operators.pairs import read_pairs as pairs
-    return pairs(cat.read_files(_meta_alt(spark, sf)))
+    return pairs(cat.read_files(_catalog_rows(spark, sf)))
 
 
 @query("latest_assembly")
 def latest_assembly(spark, sf):
     from .operators.pairs import newest_assembly
-    return newest_assembly(cat.assembly_files(_meta_alt(spark, sf)))
+    return newest_assembly(cat.assembly_files(_catalog_rows(spark, sf)))
 
 
 def _analysis(spark, sf):
-    meta_alt = _meta_alt(spark, sf)
-    return an.analysis_table(d.results(spark, sf), cat.read_files(meta_alt), cat.assembly_files(meta_alt))
+    rows = _catalog_rows(spark, sf)
+    return an.analysis_table(d.results(spark, sf), cat.read_files(rows), cat.assembly_files(rows))
 
 
 @query("analysis_table")

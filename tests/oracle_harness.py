@@ -97,7 +97,13 @@ def main(argv):
     from seqlake.registry import QUERIES
     from seqlake.session import build_session
     names = argv[2:] or list(QUERIES)
-    spark = build_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.session.timeZone", os.environ.get("PLAIN_TZ", "America/Los_Angeles"))
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", 8)
     con = duck(sf_dir)
     bad = [n for n in names if not compare(spark, con, n, sf_dir)]
     print("FAILED:", bad if bad else "none")

@@ -48,9 +48,9 @@ def test_last_two_suffixes_equal_pathlib(spark, name):
     from seqlake.functions.text import last_two_suffixes
     if name.endswith("/") or name in ("", ".", ".."):
         return
-    want = Path(name).suffixes[-2:]
+    want = "".join(Path(name).suffixes[-2:])
     got = one(spark, last_two_suffixes("v"), name)
-    assert list(got) == want, name
+    assert got == want, name
 
 
 def test_seconds_text_and_whole_seconds(spark):
@@ -87,3 +87,18 @@ def test_predicates(spark):
     # asymmetric read test: '_R1' or 'R2'
     assert one(spark, looks_like_read("v"), "xR1.fq") is False
     assert one(spark, looks_like_read("v"), "xR2.fq") is True
+
+
+def test_epoch_micros_ignores_session_zone(spark):
+    import datetime as dt
+
+    from seqlake.functions.timefmt import epoch_micros
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 0, 123456),)], "t timestamp_ntz")
+    want = int((dt.datetime(2024, 3, 10, 2, 30, 0, 123456) - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert df.select(epoch_micros("t")).first()[0] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
