@@ -79,3 +79,21 @@ def batch_number(df: DataFrame, order: Sequence[str], size: int, out: str = "bat
     """Batches of ``size`` consecutive rows in ``order`` (``collate(size)``)."""
     idx = global_index(df, order, out="_idx")
     return idx.withColumn(out, F.floor(F.col("_idx") / F.lit(size)).cast("bigint")).drop("_idx")
+
+
+def line_numbers(df: DataFrame, out: str = "line", start: int = 1) -> DataFrame:
+    """Dense numbers in the input's own order (lines of one text file).
+
+    A text scan yields its splits in file order and lines in order within
+    a split, and repeats that exactly on recomputation, so no sort and no
+    checkpoint is needed: position inside the partition plus the count of
+    all earlier partitions (a one-row-per-partition table).
+    """
+    mid = F.monotonically_increasing_id()
+    tagged = df.withColumn("_part", F.shiftright(mid, 33)).withColumn("_pos", mid.bitwiseAND((1 << 33) - 1))
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(counts.select("_part", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off")))
+    return (tagged.join(offsets, "_part")
+            .withColumn(out, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint"))
+            .drop("_part", "_pos", "_off"))

@@ -85,10 +85,8 @@ def validate_samplesheet(spark, path: str, out_path: str | None = None) -> DataF
     sep = sniff_delimiters(spark, path).first()["sep"]
     if sep is None:
         raise SamplesheetError(f"could not detect the delimiter of {path}")
-    text = spark.read.text(path)
-    # Line numbers need file order: one file, numbered by a zipWithIndex
-    # over the text lines (dense, unlike monotonically_increasing_id).
-    lines = text.rdd.zipWithIndex().map(lambda x: (x[1] + 1, x[0][0])).toDF("line long, value string")
+    from .ranking import line_numbers
+    lines = line_numbers(spark.read.text(path))          # 1 = the header line
     sheet = read_csv(spark, path, sep=sep)
     header = sheet.columns
     missing = missing_columns(header)
@@ -97,9 +95,9 @@ def validate_samplesheet(spark, path: str, out_path: str | None = None) -> DataF
     parsed = lines.where(F.col("line") > 1).select(
         "line", F.from_csv("value", ", ".join(f"`{c}` string" for c in header), {"sep": sep}).alias("r"))
     parsed = parsed.where(F.length(F.col("r").cast("string")) > 0).select("line", "r.*")
-    errors = sheet_errors(parsed).orderBy("line").collect()
+    errors = sheet_errors(parsed).orderBy("line").limit(50).collect()   # first bad lines only
     if errors:
-        raise SamplesheetError("\n".join(f"{e['error']} On line {e['line']}." for e in errors[:50]))
+        raise SamplesheetError("\n".join(f"{e['error']} On line {e['line']}." for e in errors))
     if sheet_duplicates(parsed).limit(1).count():
         raise SamplesheetError("The pair of sample name and FASTQ must be unique.")
     valid = sheet_valid(parsed).orderBy("line").drop("line")

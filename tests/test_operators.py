@@ -137,3 +137,15 @@ def test_time_window_rules():
         time_window(now=100, start=1)
     with pytest.raises(ValueError):
         time_window(now=100, start=5, end=1)
+
+
+def test_line_numbers_follow_file_order(spark, tmp_path):
+    from seqlake.operators.ranking import line_numbers
+    p = tmp_path / "f.txt"
+    p.write_text("".join(f"row{i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = line_numbers(spark.read.text(str(p))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r["line"], r["value"]) for r in got) == [(i + 1, f"row{i}") for i in range(5000)]
