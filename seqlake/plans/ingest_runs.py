@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import base_name, lake_path, null_text, uri_text
+from ..functions.paths import base_name, lake_path, local_path, null_text, uri_text
 from ..functions.predicates import within
 from ..functions.timefmt import ms_to_seconds, round_seconds, seconds_text
 from ..operators.joins import missing_from, present_in
@@ -129,12 +129,12 @@ def plan_runs(run_listing: DataFrame, manifests_listing: DataFrame, manifest_row
 
 
 # ---------------------------------------------------------------- runner
-def ingest_runs(spark, samplesheet: str, rules_path: str, outdir: str, window: Window,
+def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window,
                 copier=None, run_id: str | None = None, rules_format: str = "config") -> dict:
     """Run the whole production ingest against real folders.
 
-    ``samplesheet``: CSV with ``workflow`` and either ``path`` (a folder of
-    runs) or ``run`` (one run folder).  Steps: list runs, keep those in the
+    ``samplesheet``: CSV path or DataFrame with ``workflow`` and either
+    ``path`` (a folder of runs) or ``run`` (one run folder).  Steps: list runs, keep those in the
     window with a manifest, expand the rules, keep files that exist, plan
     versioned destinations, drop those already in the lake, write the
     plan, copy, then append catalog rows of the files that copied.
@@ -147,7 +147,7 @@ def ingest_runs(spark, samplesheet: str, rules_path: str, outdir: str, window: W
 
     out = outdir.rstrip("/")
     run_id = run_id or f"{int(time.time())}-{uuid.uuid4()}"
-    sheet = src.read_csv(spark, samplesheet)
+    sheet = samplesheet if isinstance(samplesheet, DataFrame) else src.read_csv(spark, samplesheet)
     for c in ("path", "run"):
         if c not in sheet.columns:
             sheet = sheet.withColumn(c, F.lit(None).cast("string"))
@@ -155,11 +155,12 @@ def ingest_runs(spark, samplesheet: str, rules_path: str, outdir: str, window: W
     parents = [r["path"] for r in rows if r["path"]]
     singles = [r["run"] for r in rows if not r["path"] and r["run"]]
     listing = src.list_children(spark, parents).select("parent", "path", "modified_ms", "is_dir")
-    single = src.path_status(spark, singles).withColumn("parent", F.lit(None).cast("string"))
+    single = (src.path_status(spark, singles).withColumn("parent", F.lit(None).cast("string"))
+              .withColumn("path", F.regexp_replace("path", "/+$", "")))
     wf_by_parent = src.local_table(spark, [(r["path"], r["workflow"]) for r in rows if r["path"]],
                                    ["parent", "workflow"])
-    wf_by_run = src.local_table(spark, [(r["run"], r["workflow"]) for r in rows if not r["path"] and r["run"]],
-                                ["path", "workflow"])
+    wf_by_run = src.local_table(spark, [(local_path(r["run"]).rstrip("/"), r["workflow"])
+                                        for r in rows if not r["path"] and r["run"]], ["path", "workflow"])
     cands = (listing.join(wf_by_parent, "parent").select("path", "modified_ms", "is_dir", "workflow")
              .unionByName(single.join(wf_by_run, "path").select("path", "modified_ms", "is_dir", "workflow")))
     cands = cands.withColumn("path", F.regexp_replace("path", "/+$", ""))
@@ -203,3 +204,13 @@ def _lake_listing(spark, root: str) -> DataFrame:
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return spark.createDataFrame([], "path string")
     return src.list_files(spark, root).select(uri_text("path").alias("path"))
+
+
+def run_jobs(spark, run_list: str, outdir: str) -> DataFrame:
+    """Headerless ``workflow,run_uri`` lines -> one ingest work item per
+    run with its job name (SRC6, PRJ7, PRJ8); nothing is submitted."""
+    from ..functions.paths import job_name
+    from ..sources.files import read_csv
+    runs = read_csv(spark, run_list, header=False, columns=["workflow", "run"])
+    return runs.select("workflow", "run", job_name("workflow", "run").alias("job_name"),
+                       F.lit(outdir).alias("outdir"))

@@ -120,12 +120,13 @@ def seed_ledger(ids: DataFrame, ledger_path: str, key: str) -> None:
 
 
 # --------------------------------------------------------- uploads (STR1)
-def upload_triggers(events: DataFrame, target: str | None = None) -> DataFrame:
-    """Object-created events -> run folders to ingest.  Only uploads of the
-    run summary start an ingest; everything else is ignored."""
+def upload_triggers(events: DataFrame, target: str | None = None, scheme: str = "s3") -> DataFrame:
+    """Object-created events ``(bucket, key, eventTime)`` -> run folders to
+    ingest.  Only uploads of the run summary start an ingest; everything
+    else is ignored."""
     ok = is_trigger_upload("key") if target is None else is_trigger_upload("key", target)
     return events.where(ok).select(
-        F.concat(F.lit("s3://"), F.col("bucket"), F.lit("/"), parent_dir("key")).alias("run"),
+        F.concat(F.lit(f"{scheme}://"), F.col("bucket"), F.lit("/"), parent_dir("key")).alias("run"),
         F.lit("phoenix").alias("workflow"), "eventTime")
 
 

@@ -102,3 +102,11 @@ def test_epoch_micros_ignores_session_zone(spark):
             assert df.select(epoch_micros("t")).first()[0] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_collapse_ws_and_entity_name(spark):
+    from seqlake.functions.text import collapse_ws, entity_name, strip_set
+    assert one(spark, collapse_ws("v"), "  SELECT *\n\t FROM  t ") == "SELECT * FROM t"
+    assert one(spark, entity_name("v"), "sample_set:abc:d") == "sample_set"
+    assert one(spark, strip_set("v"), "sample_set") == "sample"
+    assert one(spark, strip_set("v"), "set_sample") == "set_sample"

@@ -110,3 +110,38 @@ def test_catalog_and_analysis_table_from_files(spark, tmp):
     assert [r["id"] for r in ok] == ["WA0000002"] and ok[0]["assembly"] == "s3://l/2.fa"
     assert ok[0]["species"] == "K_p" and ok[0]["fastq_2"] == "s3://l/2_R2"
     assert miss == []
+
+
+def test_run_list_to_jobs(spark, tmp):
+    from seqlake.plans.ingest_runs import run_jobs
+    write(f"{tmp}/runs.txt", "phoenix,s3://bkt/runs/2024.01.02/\nphoenix,s3://bkt/runs/r2/\n")
+    got = sorted(r["job_name"] for r in run_jobs(spark, f"{tmp}/runs.txt", "s3://out").collect())
+    assert got == ["phoenix_2024-01-02", "phoenix_r2"]
+
+
+def test_upload_events_stream_into_ingest(spark, tmp):
+    import json
+
+    from seqlake.plans.ingest_runs import ingest_runs, time_window
+    from seqlake.sources.files import local_table
+    from seqlake.streaming.ingest import UPLOAD_EVENT_SCHEMA, file_stream, ingest_on_upload, run, upload_triggers
+    now = _lab(tmp)
+    out = f"{tmp}/lake"
+    w = time_window(now=now + 60, delta=3600)
+    seen = []
+
+    def ingest(runs):
+        seen.extend(runs)
+        ingest_runs(spark, local_table(spark, runs, ["workflow", "run"]), f"{tmp}/rules.config", out, w)
+
+    key = f"{tmp.lstrip('/')}/src/runs/run_a"
+    events = [{"bucket": "", "key": f"{key}/Phoenix_Summary.tsv", "eventTime": "2024-01-01T00:00:00Z"},
+              {"bucket": "", "key": f"{key}/other.txt", "eventTime": "2024-01-01T00:00:01Z"}]
+    write(f"{tmp}/events/e1.json", "\n".join(json.dumps(e) for e in events))
+    stream = upload_triggers(file_stream(spark, f"{tmp}/events", UPLOAD_EVENT_SCHEMA, fmt="json"), scheme="file")
+    run(stream, f"{tmp}/ckpt", sink=ingest_on_upload(spark, ingest))
+    assert seen == [("phoenix", f"file:///{key}")]
+    moved = [p for p in os.popen(f"find {out}/data -type f").read().split() if "run=run_a" in p]
+    assert len(moved) == 6   # summary + 2 tax + S1 R1/R2 + S2 R1
+    run(stream, f"{tmp}/ckpt", sink=ingest_on_upload(spark, ingest))   # nothing new landed
+    assert len(seen) == 1

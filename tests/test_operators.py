@@ -149,3 +149,14 @@ def test_line_numbers_follow_file_order(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted((r["line"], r["value"]) for r in got) == [(i + 1, f"row{i}") for i in range(5000)]
+
+
+def test_explode_list_and_newest_file(spark):
+    from seqlake.operators.reshape import explode_list
+    from seqlake.sources.files import newest_file_per_key
+    df = spark.createDataFrame([("p", "ws1, ws2,ws3")], "project string, workspaces string")
+    assert [r["workspaces"] for r in explode_list(df, "workspaces").collect()] == ["ws1", "ws2", "ws3"]
+    listing = spark.createDataFrame([("p", "w", "/c/1", 5), ("p", "w", "/c/2", 9), ("p", "w", "/c/0", 9), ("q", "w", "/c/3", 1)],
+                                    "project string, workspace string, path string, modified_ms long")
+    got = {(r["project"], r["path"]) for r in newest_file_per_key(listing, ["project", "workspace"]).collect()}
+    assert got == {("p", "/c/0"), ("q", "/c/3")}
