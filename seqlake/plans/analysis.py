@@ -39,9 +39,19 @@ def complete() -> Column:
 
 
 def analysis_table(results: DataFrame, reads: DataFrame, assemblies: DataFrame, key: str = "id",
-                   ts: str = "timestamp", tiebreak: Sequence[str | Column] = ("row_id",)) -> DataFrame:
+                   ts: str = "timestamp", tiebreak: Sequence[str | Column] = ("row_id",),
+                   normalize_files: bool = False) -> DataFrame:
     """Latest passing results left-joined with read pairs and assemblies
-    (``reads`` / ``assemblies`` are catalog rows with ``id_alt``)."""
+    (``reads`` / ``assemblies`` are catalog rows with ``id_alt``).
+
+    The file side's ``id_alt`` only drops the re-sequence suffix, while
+    result ids are also reduced to the accession; ``normalize_files``
+    applies the full id normalisation to the file side as well.
+    """
+    if normalize_files:
+        from ..functions.ids import normalize_sample_id
+        reads = reads.withColumn("id_alt", normalize_sample_id("id"))
+        assemblies = assemblies.withColumn("id_alt", normalize_sample_id("id"))
     base = latest_passing(results, key, ts, tiebreak)
     pairs = read_pairs(reads).withColumnRenamed("id_alt", key)
     asm = newest_assembly(assemblies).withColumnRenamed("id_alt", key)

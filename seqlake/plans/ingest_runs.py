@@ -130,7 +130,8 @@ def plan_runs(run_listing: DataFrame, manifests_listing: DataFrame, manifest_row
 
 # ---------------------------------------------------------------- runner
 def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window,
-                copier=None, run_id: str | None = None, rules_format: str = "config") -> dict:
+                copier=None, run_id: str | None = None, rules_format: str = "config",
+                version_by: str = "run") -> dict:
     """Run the whole production ingest against real folders.
 
     ``samplesheet``: CSV path or DataFrame with ``workflow`` and either
@@ -138,7 +139,11 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     window with a manifest, expand the rules, keep files that exist, plan
     versioned destinations, drop those already in the lake, write the
     plan, copy, then append catalog rows of the files that copied.
+    ``version_by='run'`` versions every file by its run folder's time (the
+    production ingest); ``'file'`` by the file's own rounded time.
     """
+    if version_by not in ("run", "file"):
+        raise ValueError("version_by must be 'run' or 'file'")
     import uuid
 
     from ..sinks.copy import copy_files, local_copy
@@ -178,9 +183,10 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
                             m.select("run", "sample", "fastq_1", "fastq_2"), rules)
     read_dirs = [r[0] for r in expanded.select(F.regexp_replace("file", "/[^/]+$", "")).distinct().collect()]
     present = src.list_files(spark, read_dirs, recursive=False).select(
-        uri_text("path").alias("path"))  # listing of the folders that hold candidates
+        uri_text("path").alias("path"), "modified_ms")  # listing of the folders that hold candidates
     kept = existing_files(expanded.withColumn("file", uri_text("file")), present)
-    plan = transfer_plan(kept.join(runs.select("run", "seconds"), "run"), out)
+    plan = transfer_plan(kept.join(runs.select("run", "seconds"), "run"), out,
+                         file_times=present if version_by == "file" else None)
     lake = _lake_listing(spark, f"{out}/data")
     pending = pending_transfers(plan, lake)
     plan_path = f"{out}/plans/{run_id}"

@@ -24,17 +24,24 @@ from .ingest_runs import catalog_rows, pending_transfers, transfer_plan
 from .submissions import tables_to_export
 
 
-def table_uris(tables: DataFrame, marker: str = "gs://") -> DataFrame:
+def table_uris(tables: DataFrame, marker: str = "gs://", explode_lists: bool = False) -> DataFrame:
     """Exported table rows ``(workflow, run, file_path, header, cells)`` ->
     ``(workflow, run, sample, file)`` for every cell holding an object URI.
 
     The sample id is the row's ``<run>_id`` column (each table is named
     after its entity type, the run); every cell of the row is a candidate,
-    the id cell included.
+    the id cell included.  A list-valued attribute is exported as list
+    text (``['gs://a', 'gs://b']``); with ``explode_lists`` its items become
+    candidates one by one, otherwise the whole text is one candidate (and
+    never exists as an object).
     """
     pos = F.array_position("header", F.concat("run", F.lit("_id"))).cast("int")
     with_id = tables.withColumn("sample", F.when(pos > 0, F.try_element_at("cells", pos)))
     cells = with_id.select("workflow", "run", "sample", F.explode("cells").alias("file"))
+    if explode_lists:
+        as_json = F.regexp_replace(F.col("file"), "'", '"')
+        items = F.when(F.col("file").rlike(r"^\s*\[.*\]\s*$"), F.from_json(as_json, "array<string>"))
+        cells = cells.withColumn("file", F.explode(F.coalesce(items, F.array(F.col("file")))))
     return cells.where(has_uri("file", marker))
 
 

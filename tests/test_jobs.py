@@ -145,3 +145,14 @@ def test_upload_events_stream_into_ingest(spark, tmp):
     assert len(moved) == 6   # summary + 2 tax + S1 R1/R2 + S2 R1
     run(stream, f"{tmp}/ckpt", sink=ingest_on_upload(spark, ingest))   # nothing new landed
     assert len(seen) == 1
+
+
+def test_ingest_versions_by_file(spark, tmp):
+    from seqlake.plans.ingest_runs import ingest_runs, time_window
+    from seqlake.sources.files import read_catalog
+    now = _lab(tmp)
+    w = time_window(now=now + 60, delta=3600)
+    res = ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", f"{tmp}/lake", w, version_by="file")
+    cat = read_catalog(spark, res["catalog"]).collect()
+    assert res["files"] == 10
+    assert all("." not in r["timestamp"] for r in cat)      # whole seconds per file

@@ -54,3 +54,27 @@ def test_observed_counters(spark):
     moved, obs = observed(df)
     moved.write.format("noop").mode("overwrite").save()
     assert obs.get == {"files": 3, "run_level": 1}
+
+
+def test_list_cells_explode_on_request(spark):
+    from seqlake.plans.ingest_workspace import table_uris
+    df = spark.createDataFrame([("wf", "sample", ["sample_id", "reads"], ["S1", "['gs://b/1.fq', 'gs://b/2.fq']"])],
+                               "workflow string, run string, header array<string>, cells array<string>")
+    assert [r["file"] for r in table_uris(df).collect()] == ["['gs://b/1.fq', 'gs://b/2.fq']"]
+    got = sorted((r["sample"], r["file"]) for r in table_uris(df, explode_lists=True).collect())
+    assert got == [("S1", "gs://b/1.fq"), ("S1", "gs://b/2.fq")]
+
+
+def test_analysis_normalize_files_option(spark):
+    from seqlake.plans.analysis import analysis_table
+    res = spark.createDataFrame([(1, "WA0000001", 10, "PASS", "E")],
+                                "row_id long, id string, timestamp long, qc string, species string")
+    files = spark.createDataFrame([
+        ("LABWA0000001-WA2", "LABWA0000001", "LABWA0000001-WA2_R1_1.fastq.gz", "10", "s3://r1"),
+        ("LABWA0000001-WA2", "LABWA0000001", "LABWA0000001-WA2_R2_1.fastq.gz", "10", "s3://r2"),
+        ("LABWA0000001-WA2", "LABWA0000001", "LABWA0000001-WA2.scaffolds.fa.gz", "10", "s3://a"),
+    ], "id string, id_alt string, file string, timestamp string, current string")
+    plain = analysis_table(res, files, files).first()
+    assert plain["fastq_1"] is None and plain["assembly"] is None
+    norm = analysis_table(res, files, files, normalize_files=True).first()
+    assert (norm["fastq_1"], norm["fastq_2"], norm["assembly"]) == ("s3://r1", "s3://r2", "s3://a")
