@@ -136,25 +136,42 @@ def path_status(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------ header-per-file tables
-def read_tables_with_header(spark: SparkSession, paths: str | Sequence[str], sep: str = "\t") -> DataFrame:
-    """Many small delimited files, each with its own header (SRC3).
+def read_tables_with_header(spark: SparkSession, paths: str | Sequence[str], sep: str = "\t",
+                            whole_files: bool = True) -> DataFrame:
+    """Many delimited files, each with its own header (SRC3).
 
     Returns ``(file_path, line_no, header, cells)``: one row per data line,
-    next to the header array of the file it came from.  Each file is read
-    whole (``wholetext``); these are per-run summary tables.  Cells are
-    split on the separator (quoted separators are not supported).
+    next to the header array of the file it came from.  Cells are split on
+    the separator (quoted separators are not supported).
+
+    ``whole_files=True`` reads each file as one value (per-run summary
+    tables are small).  ``whole_files=False`` is for large files: lines
+    are read split by split, the header of a file is the first line of
+    its split that starts at byte 0, and headers (one row per file) are
+    joined back by path; ``line_no`` is then increasing, not dense.
     """
     files = _paths(paths)
     if not files:
-        return spark.createDataFrame([], "file_path string, line_no int, header array<string>, cells array<string>")
-    raw = spark.read.text(files, wholetext=True).select(
+        return spark.createDataFrame([], "file_path string, line_no long, header array<string>, cells array<string>")
+    if whole_files:
+        raw = spark.read.text(files, wholetext=True).select(
+            uri_text("_metadata.file_path").alias("file_path"),
+            F.split(F.regexp_replace("value", "\r", ""), "\n", -1).alias("lines"))
+        raw = raw.select("file_path", F.split(F.col("lines")[0], sep, -1).alias("header"),
+                         F.posexplode(F.slice("lines", 2, 1 << 30)).alias("line_no", "line"))
+        return (raw.where(F.length("line") > 0)
+                .select("file_path", (F.col("line_no") + 2).cast("long").alias("line_no"), "header",
+                        F.split("line", sep, -1).alias("cells")))
+    lines = spark.read.text(files).select(
         uri_text("_metadata.file_path").alias("file_path"),
-        F.split(F.regexp_replace("value", "\r", ""), "\n", -1).alias("lines"))
-    raw = raw.select("file_path", F.split(F.col("lines")[0], sep, -1).alias("header"),
-                     F.posexplode(F.slice("lines", 2, 1 << 30)).alias("line_no", "line"))
-    return (raw.where(F.length("line") > 0)
-            .select("file_path", (F.col("line_no") + 2).alias("line_no"), "header",
-                    F.split("line", sep, -1).alias("cells")))
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("line_no"),
+        F.regexp_replace("value", "\r", "").alias("line"))
+    firsts = (lines.where(F.col("_block") == 0).groupBy("file_path")
+              .agg(F.min_by("line", "line_no").alias("_h"), F.min("line_no").alias("_hno")))
+    body = lines.join(firsts, "file_path").where((F.col("line_no") != F.col("_hno")) & (F.length("line") > 0))
+    return body.select("file_path", "line_no", F.split("_h", sep, -1).alias("header"),
+                       F.split("line", sep, -1).alias("cells"))
 
 
 def newest_file_per_key(listing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -99,3 +99,19 @@ def test_sniff_delimiter(spark, tmp):
     write(f"{tmp}/b.tsv", "a\tb\n1\t2\n")
     got = {os.path.basename(r["file_path"]): r["sep"] for r in sniff_delimiters(spark, [f"{tmp}/a.csv", f"{tmp}/b.tsv"]).collect()}
     assert got == {"a.csv": ";", "b.tsv": "\t"}
+
+
+def test_header_per_file_large_mode_matches_whole(spark, tmp):
+    from seqlake.sources.files import read_tables_with_header
+    body = "".join(f"S{i}\t{i}\n" for i in range(3000))
+    write(f"{tmp}/a.tsv", "ID\tn\n" + body)
+    write(f"{tmp}/b.tsv", "sample\tm\nX\t1\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        big = read_tables_with_header(spark, [f"{tmp}/a.tsv", f"{tmp}/b.tsv"], whole_files=False).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    whole = read_tables_with_header(spark, [f"{tmp}/a.tsv", f"{tmp}/b.tsv"]).collect()
+    key = lambda r: (r["file_path"], tuple(r["header"]), tuple(r["cells"]))
+    assert sorted(map(key, big)) == sorted(map(key, whole))
+    assert len(big) == 3001
