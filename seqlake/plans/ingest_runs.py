@@ -220,3 +220,31 @@ def run_jobs(spark, run_list: str, outdir: str) -> DataFrame:
     runs = read_csv(spark, run_list, header=False, columns=["workflow", "run"])
     return runs.select("workflow", "run", job_name("workflow", "run").alias("job_name"),
                        F.lit(outdir).alias("outdir"))
+
+
+def reconcile_catalog(spark, outdir: str, run_id: str | None = None) -> dict:
+    """Catalog lake objects that no catalog file lists yet.
+
+    A run that dies after copying but before writing its catalog rows
+    leaves files in the lake that later runs skip (they exist).  The lake
+    layout carries every catalog field except the origin, so such files
+    are found by an anti join of the lake listing with the catalog and
+    appended as one more catalog file.
+    """
+    import uuid
+
+    from ..sinks.writers import append_if_any
+    from ..sources import files as src
+
+    out = outdir.rstrip("/")
+    lake = src.lake_catalog(spark, out)
+    jvm = spark.sparkContext._jvm
+    meta = jvm.org.apache.hadoop.fs.Path(f"{out}/meta")
+    if meta.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(meta):
+        known = src.read_catalog(spark, f"{out}/meta").select(uri_text("current").alias("current"))
+        lake = lake.join(known, "current", "left_anti")
+    run_id = run_id or f"{int(time.time())}-reconcile-{uuid.uuid4().hex[:8]}"
+    orphans = lake.select(*["id", "workflow", "run", "file", "timestamp", "origin", "current"])
+    path = f"{out}/meta/{run_id}.csv"
+    wrote = append_if_any(orphans, path)
+    return {"catalog": path if wrote else None, "files": orphans.count() if wrote else 0}

@@ -40,16 +40,19 @@ def string_schema(names: Sequence[str]) -> StructType:
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", header: bool = True,
-             columns: Sequence[str] | None = None) -> DataFrame:
+             columns: Sequence[str] | None = None, recursive: bool = False) -> DataFrame:
     """CSV/TSV with every column as text (SRC1, SRC2, SRC5, SRC6).
 
     With ``columns`` the schema is positional (a header row, if any, is
     skipped); without, names come from the header.  Quotes are ``"`` and
     doubled quotes escape.  Empty cells are NULL, the text ``null`` stays
-    text.
+    text.  ``recursive`` reads every file below the given folders (each
+    export is itself a folder of part files).
     """
     r = (spark.read.option("header", header).option("sep", sep).option("quote", '"').option("escape", '"')
          .option("inferSchema", False).option("mode", "PERMISSIVE"))
+    if recursive:
+        r = r.option("recursiveFileLookup", True)
     if columns is not None:
         r = r.schema(string_schema(columns))
     return r.csv(_paths(paths))
@@ -57,9 +60,10 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", he
 
 def read_catalog(spark: SparkSession, paths: str | Sequence[str], with_id_alt: bool = False) -> DataFrame:
     """Catalog files ``id,workflow,run,file,timestamp,origin,current``
-    (``meta_alt`` exports carry ``id_alt`` too)."""
+    (``meta_alt`` exports carry ``id_alt`` too); a folder is read with
+    everything below it (one sub-folder per ingest run)."""
     cols = CATALOG_COLUMNS + (["id_alt"] if with_id_alt else [])
-    return read_csv(spark, paths, columns=cols)
+    return read_csv(spark, paths, columns=cols, recursive=True)
 
 
 def read_manifests(spark: SparkSession, run_paths: DataFrame | Sequence[str], name: str = "manifest.csv") -> DataFrame:

@@ -156,3 +156,21 @@ def test_ingest_versions_by_file(spark, tmp):
     cat = read_catalog(spark, res["catalog"]).collect()
     assert res["files"] == 10
     assert all("." not in r["timestamp"] for r in cat)      # whole seconds per file
+
+
+def test_reconcile_catalog_after_lost_catalog_write(spark, tmp):
+    import shutil
+
+    from seqlake.plans.ingest_runs import ingest_runs, reconcile_catalog, time_window
+    from seqlake.sources.files import read_catalog
+    now = _lab(tmp)
+    out = f"{tmp}/lake"
+    w = time_window(now=now + 60, delta=3600)
+    first = ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w, run_id="r1")
+    shutil.rmtree(first["catalog"])            # the catalog write was lost
+    assert ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w)["files"] == 0
+    fixed = reconcile_catalog(spark, out)
+    assert fixed["files"] == 10
+    cat = read_catalog(spark, f"{out}/meta").collect()
+    assert len(cat) == 10 and sorted({r["id"] for r in cat})[-1] == "null"
+    assert reconcile_catalog(spark, out)["files"] == 0
