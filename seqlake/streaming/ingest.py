@@ -60,21 +60,46 @@ def dedupe_within(df: DataFrame, key: list[str], event_time: str, lookback: str
             .drop("_event_time"))
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run(query_df: DataFrame, checkpoint: str, sink: Callable | None = None, path: str | None = None,
-        available_now: bool = True, interval: str | None = None):
+        available_now: bool = True, interval: str | None = None, state_partitions: int | None = None,
+        rocksdb_state: bool = False):
     """Start a stream into ``foreachBatch(sink)`` or a parquet ``path``.
 
     ``available_now`` processes what has landed, in as many micro-batches as
     the source options ask for, then stops (a scheduled run); otherwise a
     ``processingTime`` trigger of ``interval`` keeps it running.
+
+    ``state_partitions`` and ``rocksdb_state`` only matter for stateful
+    queries: they are applied while the query starts (Spark then keeps
+    them in the checkpoint for every restart) and the session's own
+    settings are restored.  RocksDB keeps large dedupe state off the heap.
     """
-    w = query_df.writeStream.option("checkpointLocation", checkpoint)
-    if sink is not None:
-        w = w.foreachBatch(sink)
-    else:
-        w = w.format("parquet").option("path", path).outputMode("append")
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "10 seconds")
-    q = w.start()
+    confs = {}
+    if state_partitions:
+        confs["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if rocksdb_state:
+        confs["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    spark = query_df.sparkSession
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        w = query_df.writeStream.option("checkpointLocation", checkpoint)
+        if sink is not None:
+            w = w.foreachBatch(sink)
+        else:
+            w = w.format("parquet").option("path", path).outputMode("append")
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "10 seconds")
+        q = w.start()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     if available_now:
         q.awaitTermination()
     return q
@@ -172,5 +197,6 @@ def stream_deduped_submissions(spark: SparkSession, submissions: DataFrame, look
     land(submissions, src, files)
     land(submissions, src, files)        # the redelivery
     stream = file_stream(spark, src, submissions.schema)
-    run(dedupe_within(stream, ["submission_id"], "submission_date", lookback), f"{root}/checkpoint", path=out)
+    run(dedupe_within(stream, ["submission_id"], "submission_date", lookback), f"{root}/checkpoint", path=out,
+        state_partitions=spark.sparkContext.defaultParallelism, rocksdb_state=True)
     return spark.read.parquet(out)
