@@ -131,7 +131,7 @@ def plan_runs(run_listing: DataFrame, manifests_listing: DataFrame, manifest_row
 # ---------------------------------------------------------------- runner
 def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window,
                 copier=None, run_id: str | None = None, rules_format: str = "config",
-                version_by: str = "run") -> dict:
+                version_by: str = "run", lake_index: str = "listing") -> dict:
     """Run the whole production ingest against real folders.
 
     ``samplesheet``: CSV path or DataFrame with ``workflow`` and either
@@ -141,7 +141,14 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     plan, copy, then append catalog rows of the files that copied.
     ``version_by='run'`` versions every file by its run folder's time (the
     production ingest); ``'file'`` by the file's own rounded time.
+    ``lake_index`` says how "already in the lake" is decided: ``'listing'``
+    lists the lake (exact, storage is the truth); ``'catalog'`` reads the
+    ``current`` column of the catalog instead, which is far cheaper than
+    listing billions of objects (run :func:`reconcile_catalog` after a lost
+    catalog write).
     """
+    if lake_index not in ("listing", "catalog"):
+        raise ValueError("lake_index must be 'listing' or 'catalog'")
     if version_by not in ("run", "file"):
         raise ValueError("version_by must be 'run' or 'file'")
     import uuid
@@ -187,7 +194,7 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     kept = existing_files(expanded.withColumn("file", uri_text("file")), present)
     plan = transfer_plan(kept.join(runs.select("run", "seconds"), "run"), out,
                          file_times=present if version_by == "file" else None)
-    lake = _lake_listing(spark, f"{out}/data")
+    lake = _lake_listing(spark, f"{out}/data") if lake_index == "listing" else _catalog_index(spark, out)
     pending = pending_transfers(plan, lake)
     plan_path = f"{out}/plans/{run_id}"
     write_table(pending, f"{plan_path}/plan")           # the plan is computed once
@@ -203,6 +210,16 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
             "runs": [r.asDict() for r in run_summary(moved).orderBy("run").collect()]}
 
 
+def _catalog_index(spark, out: str) -> DataFrame:
+    """Destinations the catalog already lists (one pruned column)."""
+    from ..sources import files as src
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{out}/meta")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], "path string")
+    return src.read_catalog(spark, f"{out}/meta").select(uri_text("current").alias("path"))
+
+
 def _lake_listing(spark, root: str) -> DataFrame:
     from ..sources import files as src
     jvm = spark.sparkContext._jvm

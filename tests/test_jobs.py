@@ -174,3 +174,12 @@ def test_reconcile_catalog_after_lost_catalog_write(spark, tmp):
     cat = read_catalog(spark, f"{out}/meta").collect()
     assert len(cat) == 10 and sorted({r["id"] for r in cat})[-1] == "null"
     assert reconcile_catalog(spark, out)["files"] == 0
+
+
+def test_ingest_with_catalog_index(spark, tmp):
+    from seqlake.plans.ingest_runs import ingest_runs, time_window
+    now = _lab(tmp)
+    out = f"{tmp}/lake"
+    w = time_window(now=now + 60, delta=3600)
+    assert ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w, lake_index="catalog")["files"] == 10
+    assert ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w, lake_index="catalog")["files"] == 0
