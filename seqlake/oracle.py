@@ -438,3 +438,23 @@ ORACLE["stream_new_ids"] = _w(SUBS, """
     SELECT * FROM cands WHERE submission_id NOT IN (SELECT submission_id FROM ledger)""")
 ORACLE["stream_windowed_dedupe"] = _w(SUBS, """
     SELECT DISTINCT submission_id, method, entity_raw, submission_date, status, workflow_statuses FROM subs""")
+
+# ---------------------------------------------------- events and URIs
+ORACLE["upload_trigger_runs"] = _w(META, """
+    SELECT DISTINCT concat('s3://', regexp_extract(origin, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)/?(.*)$', 2), '/',
+                           regexp_replace(regexp_extract(origin, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)/?(.*)$', 3),
+                                          '/*[^/]+/*$', '')) AS run,
+           'phoenix' AS workflow
+    FROM meta
+    WHERE regexp_extract(origin, '([^/]*)$', 1) = 'Phoenix_Summary.tsv'""")
+ORACLE["uri_parts"] = _w(META, """
+    SELECT current,
+           regexp_extract(current, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)/?(.*)$', 1) AS scheme,
+           regexp_extract(current, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)/?(.*)$', 2) AS bucket,
+           regexp_extract(current, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)/?(.*)$', 3) AS key,
+           regexp_extract(current, '([^/]+)/*$', 1) AS name,
+           regexp_replace(current, '/*[^/]+/*$', '') AS parent
+    FROM (SELECT DISTINCT current FROM meta)""")
+ORACLE["run_job_names"] = _w(META, """
+    SELECT workflow, run, concat_ws('_', workflow, replace(string_split(run, '/')[-2], '.', '-')) AS job_name
+    FROM (SELECT DISTINCT workflow, concat('s3://prod/', run, '/') AS run FROM meta)""")

@@ -355,3 +355,33 @@ def stream_windowed_dedupe(spark, sf):
     watermark; equals the distinct submissions."""
     from .streaming.ingest import stream_deduped_submissions
     return stream_deduped_submissions(spark, d.submissions(spark, sf))
+
+
+# ----------------------------------------------------- events and URIs
+@query("upload_trigger_runs")
+def upload_trigger_runs(spark, sf):
+    """Catalog origins seen as object-created events; only summary uploads
+    name a run to ingest (batch form of the upload trigger)."""
+    from .functions.paths import uri_bucket, uri_key
+    from .streaming.ingest import upload_triggers
+    m = d.meta(spark, sf).select(F.col("origin"))
+    events = m.select(uri_bucket("origin").alias("bucket"), uri_key("origin").alias("key"),
+                      F.lit(None).cast("timestamp").alias("eventTime"))
+    return upload_triggers(events).select("run", "workflow").distinct()
+
+
+@query("uri_parts")
+def uri_parts(spark, sf):
+    from .functions.paths import base_name, parent_dir, uri_bucket, uri_key, uri_scheme
+    m = d.meta(spark, sf).select("current").distinct()
+    return m.select("current", uri_scheme("current").alias("scheme"), uri_bucket("current").alias("bucket"),
+                    uri_key("current").alias("key"), base_name("current").alias("name"),
+                    parent_dir("current").alias("parent"))
+
+
+@query("run_job_names")
+def run_job_names(spark, sf):
+    """Run list ``workflow,run_uri/`` built from the catalog -> job names."""
+    from .functions.paths import job_name
+    runs = d.meta(spark, sf).select("workflow", F.concat(F.lit(d.SOURCE_ROOT + "/"), "run", F.lit("/")).alias("run"))
+    return runs.distinct().select("workflow", "run", job_name("workflow", "run").alias("job_name"))
