@@ -5,7 +5,6 @@ Usage: python tests/oracle_harness.py [sf_dir] [name ...]
 
 from __future__ import annotations
 
-import datetime as dt
 import decimal
 import math
 import os

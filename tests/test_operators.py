@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 
 def test_latest_by_ties_and_nulls(spark):
