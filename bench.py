@@ -39,6 +39,7 @@ HEADLINE = [
     "resolve_headers",
     "sheet_valid",
     "sheet_errors",
+    "sheet_valid_skewed",
 ]
 
 

@@ -25,9 +25,10 @@ MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
 def group_row_number(df: DataFrame, keys: Sequence[str], order_col: str, out: str = "n",
-                     span: int = DEFAULT_SPAN) -> DataFrame:
+                     span: int = DEFAULT_SPAN, tiebreak: Sequence[str] = ()) -> DataFrame:
     """1-based position of each row within its ``keys`` group, in
-    ``order_col`` order (an integer, unique within the group).
+    ``order_col`` order (an integer), then ``tiebreak`` columns when the
+    order value repeats.
 
     The group is cut into ranges of ``span`` consecutive order values.
     Range sizes are counted with a partial aggregate, prefix-summed per
@@ -40,7 +41,7 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order_col: str, out: st
     sizes = tagged.groupBy(*keys, "_rng").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_rng", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy(*keys, "_rng").orderBy(order_col)
+    inner = Window.partitionBy(*keys, "_rng").orderBy(order_col, *tiebreak)
     numbered = tagged.withColumn("_pos", F.row_number().over(inner))
     return (numbered.join(offsets, on=keys + ["_rng"], how="inner")
             .withColumn(out, (F.col("_off") + F.col("_pos")).cast("bigint"))

@@ -55,12 +55,13 @@ def sheet_duplicates(sheet: DataFrame) -> DataFrame:
             .where(F.col("n") > 1))
 
 
-def sheet_valid(sheet: DataFrame, line: str = "line") -> DataFrame:
+def sheet_valid(sheet: DataFrame, line: str = "line", tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """Transformed sheet: sample sanitised and suffixed ``_T{n}`` (n-th
     occurrence in line order), ``single_end`` inserted as column two, other
-    columns kept in order."""
+    columns kept in order.  ``tiebreak`` orders lines that share a number
+    (never the case in a file; derived sheets may repeat numbers)."""
     s = sheet.withColumn("sample", F.replace(F.col("sample"), F.lit(" "), F.lit("_")))
-    s = group_row_number(s, ["sample"], line, out="_n")
+    s = group_row_number(s, ["sample"], line, out="_n", tiebreak=tiebreak)
     s = s.withColumn("sample", F.concat(F.col("sample"), F.lit("_T"), F.col("_n").cast("string")))
     s = s.withColumn("single_end", single_end())
     rest = [c for c in sheet.columns if c != "sample"]

@@ -458,3 +458,21 @@ ORACLE["uri_parts"] = _w(META, """
 ORACLE["run_job_names"] = _w(META, """
     SELECT workflow, run, concat_ws('_', workflow, replace(string_split(run, '/')[-2], '.', '-')) AS job_name
     FROM (SELECT DISTINCT workflow, concat('s3://prod/', run, '/') AS run FROM meta)""")
+
+SKEWED_SHEET = """
+ssheet AS (
+  SELECT l_orderkey * 8 + l_linenumber AS line,
+         CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE concat('S ', CAST(l_orderkey % 1000 AS VARCHAR)) END AS sample,
+         concat('r', CAST(l_partkey % 500 AS VARCHAR), '_1.fastq.gz') AS fastq_1,
+         CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE concat('r', CAST(l_partkey % 500 AS VARCHAR), '_2.fastq.gz') END AS fastq_2
+  FROM lineitem)"""
+ORACLE["sheet_valid_skewed"] = _w(SKEWED_SHEET, """
+    SELECT concat(replace(sample, ' ', '_'), '_T',
+                  CAST(row_number() OVER (PARTITION BY replace(sample, ' ', '_')
+                                          ORDER BY line, fastq_1, fastq_2) AS VARCHAR)) AS sample,
+           NOT (length(coalesce(fastq_1, '')) > 0 AND length(coalesce(fastq_2, '')) > 0) AS single_end,
+           line, fastq_1, fastq_2
+    FROM ssheet""")
+ORACLE["sheet_duplicates_skewed"] = _w(SKEWED_SHEET, """
+    SELECT replace(sample, ' ', '_') AS sample, fastq_1, count(*) AS n FROM ssheet
+    GROUP BY 1, 2 HAVING count(*) > 1""")

@@ -385,3 +385,17 @@ def run_job_names(spark, sf):
     from .functions.paths import job_name
     runs = d.meta(spark, sf).select("workflow", F.concat(F.lit(d.SOURCE_ROOT + "/"), "run", F.lit("/")).alias("run"))
     return runs.distinct().select("workflow", "run", job_name("workflow", "run").alias("job_name"))
+
+
+@query("sheet_valid_skewed")
+def sheet_valid_skewed(spark, sf):
+    """``_T{n}`` numbering when one sample holds a third of the lines.
+    Derived line numbers repeat, so the reads break ties."""
+    from .operators.samplesheet import sheet_valid as sv
+    return sv(d.skewed_sheet(spark, sf), tiebreak=("fastq_1", "fastq_2"))
+
+
+@query("sheet_duplicates_skewed")
+def sheet_duplicates_skewed(spark, sf):
+    from .operators.samplesheet import sheet_duplicates as sd
+    return sd(d.skewed_sheet(spark, sf))

@@ -386,3 +386,18 @@ def legacy_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("legacy").alias("workflow"),
         F.concat(F.lit("run_"), _s(F.col("l_suppkey") % 20)).alias("run"),
     )
+
+
+def skewed_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read samplesheet from lineitem with one hot sample: a third of all
+    lines belong to ``HOT``; reads repeat, so (sample, fastq_1) pairs recur."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    sample = F.when(k % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S "), _s(k % 1000)))
+    return li.select(
+        (k * 8 + F.col("l_linenumber")).alias("line"),
+        sample.alias("sample"),
+        F.concat(F.lit("r"), _s(F.col("l_partkey") % 500), F.lit("_1.fastq.gz")).alias("fastq_1"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.lit(""))
+         .otherwise(F.concat(F.lit("r"), _s(F.col("l_partkey") % 500), F.lit("_2.fastq.gz"))).alias("fastq_2"),
+    )
