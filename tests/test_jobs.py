@@ -183,3 +183,18 @@ def test_ingest_with_catalog_index(spark, tmp):
     w = time_window(now=now + 60, delta=3600)
     assert ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w, lake_index="catalog")["files"] == 10
     assert ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w, lake_index="catalog")["files"] == 0
+
+
+def test_arrow_copier_matches_local_copier(spark, tmp):
+    from seqlake.sinks.copy import arrow_copy, copy_files
+    from seqlake.sources.files import local_table
+    write(f"{tmp}/a/x.txt", "hello")
+    write(f"{tmp}/a/y.txt", "world!")
+    plan = local_table(spark, [(f"{tmp}/a/x.txt", f"{tmp}/b/1/x.txt"), (f"{tmp}/a/y.txt", f"{tmp}/b/2/y.txt"),
+                               (f"{tmp}/a/missing", f"{tmp}/b/3/z")], ["origin", "dest"])
+    got = {r["dest"]: (r["ok"], r["bytes"]) for r in copy_files(plan, arrow_copy).collect()}
+    assert got[f"{tmp}/b/1/x.txt"] == (True, 5) and got[f"{tmp}/b/2/y.txt"] == (True, 6)
+    assert got[f"{tmp}/b/3/z"][0] is False
+    assert open(f"{tmp}/b/2/y.txt").read() == "world!"
+    again = {r["dest"]: r["ok"] for r in copy_files(plan, arrow_copy).collect()}
+    assert again[f"{tmp}/b/1/x.txt"] is True
