@@ -50,3 +50,31 @@ def test_read_pairs_equals_python(spark, rows):
     df = spark.createDataFrame(rows, "id_alt string, file string, current string")
     got = {r["id_alt"]: (r["fastq_1"], r["fastq_2"]) for r in read_pairs(df).collect()}
     assert got == _pairs_python(rows)
+
+
+def _infer_python(files, samples, mode):
+    out = set()
+    names = [s for s, _ in sorted(samples, key=lambda x: x[1])]
+    for f in set(files):
+        found = [s for s in names if s in f]
+        if (mode == "reference" and len(found) < len(set(names))) or (mode == "disjoint" and not found):
+            out.add(("run_files", f))
+        if found:
+            p = f
+            for s in names:          # the lab folds over every sample of the manifest, in order
+                p = p.replace(s, "<sample>")
+            out.add(("sample_files", p))
+    return out
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet="XY01/_.", min_size=1, max_size=9), min_size=1, max_size=8),
+       st.lists(st.text(alphabet="XY01", min_size=1, max_size=3), min_size=1, max_size=4, unique=True),
+       st.sampled_from(["reference", "disjoint"]))
+def test_infer_rules_equals_nested_loop(spark, files, names, mode):
+    from seqlake.operators.retention import infer_rules
+    samples = [(s, i) for i, s in enumerate(names)]
+    f = spark.createDataFrame([("r", p) for p in files], "run string, rel string")
+    s = spark.createDataFrame([("r", n, i) for n, i in samples], "run string, sample string, ord long")
+    got = {(r["kind"], r["pattern"]) for r in infer_rules(f, s, mode).collect()}
+    assert got == _infer_python(files, samples, mode)
