@@ -75,9 +75,17 @@ def arrow_copy(origin: str, dest: str) -> int:
     return size
 
 
-def copy_files(plan: DataFrame, copier: Copier = local_copy, origin: str = "origin", dest: str = "dest") -> DataFrame:
+def copy_files(plan: DataFrame, copier: Copier = local_copy, origin: str = "origin", dest: str = "dest",
+               parallelism: int | None = None) -> DataFrame:
     """Status of copying every ``origin`` to ``dest`` (lazy; act on it once
-    and keep the result, e.g. by writing it)."""
+    and keep the result, e.g. by writing it).
+
+    ``parallelism`` spreads the plan round-robin over that many tasks, which
+    is how many copies run at once (a store's request budget decides it);
+    by default the plan's own partitions are used.
+    """
+    if parallelism:
+        plan = plan.repartition(parallelism)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -196,5 +196,5 @@ def test_arrow_copier_matches_local_copier(spark, tmp):
     assert got[f"{tmp}/b/1/x.txt"] == (True, 5) and got[f"{tmp}/b/2/y.txt"] == (True, 6)
     assert got[f"{tmp}/b/3/z"][0] is False
     assert open(f"{tmp}/b/2/y.txt").read() == "world!"
-    again = {r["dest"]: r["ok"] for r in copy_files(plan, arrow_copy).collect()}
+    again = {r["dest"]: r["ok"] for r in copy_files(plan, arrow_copy, parallelism=3).collect()}
     assert again[f"{tmp}/b/1/x.txt"] is True
