@@ -27,6 +27,8 @@ JOB_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete checkpoint files (batch numbering) once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
