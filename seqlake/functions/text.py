@@ -60,7 +60,8 @@ def last_two_suffixes(c: Column | str) -> Column:
     Built from regular expressions only (no array lambdas), so it stays
     in generated code.
     """
-    name = F.regexp_extract(_c(c), r"([^/]*)$", 1)
+    # The name is the last component once trailing "/" and "/." are dropped.
+    name = F.regexp_extract(F.regexp_replace(_c(c), r"(/\.?)+$", ""), r"([^/]*)$", 1)
     stem_free = F.regexp_extract(F.regexp_replace(name, r"^\.+", ""), r"^[^.]*(.*)$", 1)
     last_two = F.regexp_extract(stem_free, r"((?:\.[^.]*){0,2})$", 1)
     return F.when(name.endswith("."), F.lit("")).otherwise(last_two)

@@ -42,11 +42,11 @@ def test_workflow_family_first_match_wins(spark):
     assert one(spark, normalize_workflow("v"), "mycosnp") == "mycosnp"
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="ab._/", min_size=0, max_size=12))
 def test_last_two_suffixes_equal_pathlib(spark, name):
     from seqlake.functions.text import last_two_suffixes
-    if name.endswith("/") or name in ("", ".", ".."):
+    if name == "":
         return
     want = "".join(Path(name).suffixes[-2:])
     got = one(spark, last_two_suffixes("v"), name)
