@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 # Rows per sub-group when numbering inside a group; bounds the largest
 # window partition no matter how skewed the group key is.
 DEFAULT_SPAN = 1 << 16
-# Partition-offset tables up to this many rows are broadcast.
-MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
 def group_row_number(df: DataFrame, keys: Sequence[str], order_col: str, out: str = "n",
@@ -68,9 +66,9 @@ def global_index(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataF
     # One row per partition: small by construction.
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    # Exactly one row per partition of the checkpoint: a known bound.
-    if fixed.rdd.getNumPartitions() <= MAX_BROADCAST_PARTITIONS:
-        offsets = F.broadcast(offsets)
+    # Exactly one row per partition of a range shuffle (at most
+    # spark.sql.shuffle.partitions rows): a known bound.
+    offsets = F.broadcast(offsets)
     return (tagged.join(offsets, "_part")
             .withColumn(out, (F.col("_off") + F.col("_pos")).cast("bigint"))
             .drop("_part", "_pos", "_off"))

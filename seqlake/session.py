@@ -56,7 +56,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     executor.  Only when it is unset (local runs, tests) a private folder
     is made and registered, so later ``checkpoint()`` calls work too.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:        # remote client: only the session setting is visible
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return named
     current = sc.getCheckpointDir()
     if current:
         # Spark appends a random sub-folder per context; use its parent.

@@ -57,9 +57,12 @@ def spread(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
     if not SPREAD_SMALL_INPUTS:
         return df
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:        # no classic JVM session (e.g. a remote client): leave the input as it is
+        return df
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if min_bytes <= size < slots * split:
         return df.repartition(slots)
     return df
