@@ -56,7 +56,8 @@ def infer_rules(files: DataFrame, samples: DataFrame, mode: str = "reference") -
     least one sample (so sample files also appear there when a run has two
     or more samples); ``'disjoint'`` lists the paths that contain none.
     Sample files have each contained name replaced by ``<sample>``, in
-    manifest order (names are literal text, not patterns).
+    manifest order, or longest name first in ``'disjoint'`` mode (names are
+    literal text, not patterns).
     """
     if mode not in ("reference", "disjoint"):
         raise ValueError("mode must be 'reference' or 'disjoint'")
@@ -68,8 +69,12 @@ def infer_rules(files: DataFrame, samples: DataFrame, mode: str = "reference") -
            .where(F.length("rel") >= F.col("len"))
            .select("run", "rel", F.explode(F.sequence(F.lit(1), F.length("rel") - F.col("len") + 1)).alias("pos"), "len")
            .select("run", "rel", F.substring("rel", F.col("pos"), F.col("len")).alias("sample")))
+    # Replacement order: manifest order (the lab's fold), or longest name
+    # first in disjoint mode so that S1 never eats into S10.
+    order = (F.struct(F.col("ord"), F.col("sample")) if mode == "reference"
+             else F.struct((-F.length("sample")).alias("neg_len"), F.col("ord"), F.col("sample")))
     hits = (cut.join(s, ["run", "sample"]).groupBy("run", "rel")
-            .agg(F.sort_array(F.collect_set(F.struct("ord", "sample"))).alias("found")))
+            .agg(F.sort_array(F.collect_set(order)).alias("found")))
     per_file = (f.join(hits, ["run", "rel"], "left").join(n_samples, "run", "left")
                 .withColumn("n_found", F.coalesce(F.size("found"), F.lit(0))))
     if mode == "reference":

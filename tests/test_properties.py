@@ -55,13 +55,14 @@ def test_read_pairs_equals_python(spark, rows):
 def _infer_python(files, samples, mode):
     out = set()
     names = [s for s, _ in sorted(samples, key=lambda x: x[1])]
+    order = names if mode == "reference" else sorted(names, key=lambda n: (-len(n), names.index(n)))
     for f in set(files):
         found = [s for s in names if s in f]
         if (mode == "reference" and len(found) < len(set(names))) or (mode == "disjoint" and not found):
             out.add(("run_files", f))
         if found:
             p = f
-            for s in names:          # the lab folds over every sample of the manifest, in order
+            for s in order:          # the lab folds over every sample of the manifest, in order
                 p = p.replace(s, "<sample>")
             out.add(("sample_files", p))
     return out
