@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import read_export_name
+from ..functions.paths import read_export_name, relative_to, uri_text
 from ..functions.predicates import looks_like_read
 from ..functions.timefmt import whole_seconds
 from ..operators.joins import missing_from
@@ -54,7 +54,9 @@ def export_new_reads(spark, fastq_csv: str, dest_root: str, now: int, lookback_d
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(dest_root)
     if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        listing = src.list_files(spark, dest_root).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("key"))
+        # Object keys relative to the destination root (uploads go to its top level).
+        root = uri_text(F.lit(dest_root.rstrip("/") + "/"))
+        listing = src.list_files(spark, dest_root).select(relative_to("path", root).alias("key"))
     else:
         listing = spark.createDataFrame([], "key string")
     todo = pending_uploads(reads, listing).withColumn(

@@ -58,6 +58,10 @@ def test_export_new_reads_rerun(spark, tmp):
     assert first == {"copied": 2, "skipped_rows": 1}
     assert sorted(os.listdir(f"{tmp}/ncbi")) == ["A_R1.fastq.gz", "A_R2.fastq.gz"]
     assert export_new_reads(spark, f"{tmp}/meta.fastq.csv", f"{tmp}/ncbi", now)["copied"] == 0
+    # a nested object of the same name is a different key: it does not block the upload
+    write(f"{tmp}/ncbi2/old/A_R1.fastq.gz", "x")
+    write(f"{tmp}/ncbi2/A_R2.fastq.gz", "2")
+    assert export_new_reads(spark, f"{tmp}/meta.fastq.csv", f"{tmp}/ncbi2", now)["copied"] == 1
 
 
 def test_check_submissions_and_ledger(spark, tmp):
