@@ -1,0 +1 @@
+"""seqlake: a PySpark-native engine for a genomics results lake (catalog, analysis tables, ingests)."""

@@ -1,0 +1 @@
+"""The jobs users call: ingests, catalog, analysis table, read export, submission checks."""

@@ -1,0 +1 @@
+"""Sinks: table and CSV writers, distributed copy, processed-id ledger."""

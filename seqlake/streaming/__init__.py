@@ -1,0 +1 @@
+"""Structured Streaming: file streams, ledgered exactly-once sinks, watermark dedupe, upload triggers."""
