@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .op01_bpe import op1_bpe
+from .op02_minhash import ORACLE_OP2, op2_minhash
 from .op03_chat import ORACLE_OP3, op3_chat
 from .op04_packing import op4_packing
 from .op05_warc import ORACLE_OP5, op5_warc
@@ -13,6 +14,7 @@ from .op10_fingerprint import op10_fingerprint
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_minhash": op2_minhash,
     "op3_chat": op3_chat,
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
@@ -21,4 +23,4 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_fingerprint": op10_fingerprint,
 }
-ORACLE = {"op3_chat": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_topk": ORACLE_OP8}
+ORACLE = {"op2_minhash": ORACLE_OP2, "op3_chat": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_topk": ORACLE_OP8}
