@@ -8,6 +8,7 @@ from .op03_chat import ORACLE_OP3, op3_chat
 from .op04_packing import op4_packing
 from .op05_warc import ORACLE_OP5, op5_warc
 from .op06_toxicity import op6_toxicity
+from .op07_substring import op7_substring
 from .op08_topk import ORACLE_OP8, op8_topk
 from .op09_language import op9_language
 from .op10_fingerprint import op10_fingerprint
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
+    "op7_substring": op7_substring,
     "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_fingerprint": op10_fingerprint,
