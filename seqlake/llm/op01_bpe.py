@@ -29,7 +29,7 @@ from .common import table, texts_of
 # Fixed value: the pattern by which the public vocabulary's texts are cut into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Words kept by a task before its cache starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_500_000
 #: Words longer than this many bytes are worked out each time and not kept.
 CACHE_BYTES = 256
 
@@ -65,13 +65,12 @@ class Vocabulary:
                 self.parts[made], self.rank[made] = pair, r
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self._whole()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.follow: list[dict[int, bool]] = [{} for _ in range(max(self.bytes) + 1)]      # of a token: may it follow this one
 
     def _whole(self) -> None:
-        """Keep as possible last tokens those that BPE makes of their own bytes; all their endings stop the search."""
+        """Keep as possible last tokens those that BPE makes of their own bytes; other endings of them map to -1."""
         self.reach = {t: i for t, i in self.ids.items() if len(t) == 1 or i in self.parts and self._fits(*self.parts[i], below=self.rank[i])}
-        self.endings = {t[k:] for t in self.reach for k in range(len(t))}
-        self.longest = max(map(len, self.reach))
+        self.tails = {t[k:]: -1 for t in self.reach for k in range(len(t))} | self.reach
 
     def _fits(self, left: int, right: int, below: float = float("inf")) -> bool:
         """No merge across the border of two tokens comes before the merges that made them (or before ``below``).
@@ -96,63 +95,68 @@ class Vocabulary:
                     return False
         return True
 
-    def follows(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._fits(left, right)
-        return known
+    def learn_pair(self, left: int, right: int) -> bool:
+        known = self.follow[right]
+        if len(known) > 4096:
+            known.clear()
+        known[left] = ok = self._fits(left, right)
+        return ok
 
 
 class TrieEncoder:
-    """Encodes words through one trie per call of :meth:`encode_words`."""
+    """Encodes words through one trie per call of :meth:`encode_words`.
+
+    The trie is held in its depth-first order, as the sorted words: a word
+    branches off the one before it where their common prefix ends, and the walk
+    keeps the states of the nodes from the root to where it is.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
 
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
         """Ids of distinct words; each node's last token is found once, when the walk reaches it."""
-        root: dict = {}
-        for w in words:
-            node = root
-            for b in w:
-                node = node.setdefault(b, {})
-            node[-1] = w
         out: dict[bytes, list[int]] = {}
-        reach, endings, follows, longest = self.v.reach, self.v.endings, self.v.follows, self.v.longest
-        byte = [bytes([b]) for b in range(256)]
+        tails, follow, fits = self.v.tails, self.v.follow, self.v.learn_pair
         last = [-1]                     # last[d]: last token of the prefix of length d
         size = [0]                      # its length in bytes
-        stack = [(iter(root.items()), b"")]     # children to come, and the newest bytes of the prefix
-        while stack:
-            items, recent = stack[-1]
-            for b, child in items:
-                if b == -1:
-                    ids, d = [], len(last) - 1
-                    while d:
-                        ids.append(last[d])
-                        d -= size[d]
-                    out[child] = ids[::-1]
-                    continue
-                ends = recent + byte[b]
-                d, n, k = len(last), len(ends), 1
-                while True:
-                    tail = ends[n - k:]
-                    token = reach.get(tail)
-                    if token is not None and (k == d or follows(last[d - k], token)):
-                        break
-                    k += 1
-                    if k > n or ends[n - k:] not in endings:
-                        raise ValueError(f"no token can end {ends!r}")
+        before = b""
+        for w in sorted(words):
+            m = min(len(before), len(w))
+            differ = int.from_bytes(before[:m], "big") ^ int.from_bytes(w[:m], "big")
+            shared = m - (differ.bit_length() + 7) // 8
+            del last[shared + 1:], size[shared + 1:]
+            for d in range(shared + 1, len(w) + 1):
+                k = size[d - 1] + 1                     # most often the token before goes on
+                token = tails.get(w[d - k:d], -1)
+                if token >= 0:
+                    left = last[d - k]
+                    ok = True if left < 0 else follow[token].get(left)
+                    if ok is None:
+                        ok = fits(left, token)
+                if token < 0 or not ok:
+                    k = 0
+                    while True:
+                        k += 1
+                        token = tails.get(w[d - k:d], -2) if k <= d else -2
+                        if token == -2:
+                            raise ValueError(f"no token can end {w[:d]!r}")
+                        if token >= 0:
+                            left = last[d - k]
+                            ok = True if left < 0 else follow[token].get(left)
+                            if ok is None:
+                                ok = fits(left, token)
+                            if ok:
+                                break
                 last.append(token)
                 size.append(k)
-                stack.append((iter(child.items()), ends[-longest:]))
-                break
-            else:
-                stack.pop()
-                last.pop()
-                size.pop()
+            ids, d = [], len(w)
+            while d:
+                ids.append(last[d])
+                d -= size[d]
+            ids.reverse()
+            out[w] = ids
+            before = w
         return out
 
 
@@ -177,9 +181,12 @@ class Encoder:
             at = m.end()
         return out + self.pattern.findall(text[at:])
 
-    def learn(self, new: set[str]) -> None:
+    def learn(self, used: set[str]) -> None:
+        """Put the words of a batch into the cache."""
+        new = used - self.cache.keys()
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
+            new = used
         coded = self.trie.encode_words({w.encode() for w in new if w not in self.v.added})
         for w in new:
             ids = [self.v.added[w]] if w in self.v.added else coded[w.encode()]
@@ -188,7 +195,7 @@ class Encoder:
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[int, str]]:
         """(number of ids, ids as decimal text joined by commas) of each text."""
         split = [self.words(t) for t in texts]
-        self.learn({w for ws in split for w in ws if w not in self.cache})
+        self.learn(set().union(*split))
         for ws in split:
             ids = ",".join(map(self.cache.__getitem__, ws))
             yield (ids.count(",") + 1 if ids else 0), ids
