@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, table
+from .common import new_path, table, written
 
 VERSION = "WARC/1.1\r\n"
 GAP = "\r\n\r\n"
@@ -113,11 +113,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         return df.withColumn("size", _header("Content-Length").cast("int")).withColumn("rest", F.octet_length("value") - F.octet_length("head") - len(GAP))
 
     cut = headed(raw)
-    torn = cut.where("rest < size").select("file").distinct()
-    whole = cut.join(torn, "file", "left_anti").select("value")
-    mended = (raw.join(torn, "file", "left_semi").select("file", "block", "at", F.col("value").cast("binary").alias("value"))
-              .groupBy("file").applyInPandas(_stitch, "value binary").select(F.col("value").cast("string").alias("value")))
-    rows = headed(whole.unionByName(mended)).where("value <> ''")
+    # names of files with torn records, written first: Spark knows their size when it picks the joins
+    torn = written(cut.where("rest < size").select("file").distinct(), "warc-torn")
+    rows = cut
+    if not torn.isEmpty():
+        mended = (raw.join(torn, "file", "left_semi").select("file", "block", "at", F.col("value").cast("binary").alias("value"))
+                  .groupBy("file").applyInPandas(_stitch, "value binary").select(F.col("value").cast("string").alias("value")))
+        rows = headed(cut.join(torn, "file", "left_anti").select("value").unionByName(mended))
+    rows = rows.where("value <> ''")
     return rows.select(
         F.lower(_header("WARC-Type")).alias("type"), _header("WARC-Record-ID").alias("id"), _header("WARC-Concurrent-To").alias("concurrent_to"),
         _header("WARC-Target-URI").alias("uri"), _header("WARC-Refers-To").alias("refers_to"), _header("WARC-Payload-Digest").alias("payload_digest"),
@@ -156,6 +159,7 @@ def digest(captures: DataFrame) -> DataFrame:
     page = F.regexp_extract("metadata.fields", r"(?:^|\r\n)page-id: *(-?\d*)", 1)
     rows = captures.select("capture_id", F.when(page != "", page.cast("long")).alias("page_id"), "response.payload_bytes", "response.payload_digest",
                            "response.record_type", "response.refers_to_id")
+    rows = written(rows, "warc-pages")
     named = rows.select(F.col("capture_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
     again = rows.where("refers_to_id is not null").join(named, "refers_to_id", "left")
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
