@@ -128,9 +128,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: request, response (or revisit) and metadata under the response's id.
+    """One nested row per capture: request, response (or revisit) and metadata under the response's id, and the payload.
 
-    payload is null for a revisit; payload_bytes is what the HTTP header says.
+    payload is null for a revisit; payload_bytes is what the HTTP header says. The payload stands beside the
+    response so that a query without it need not shuffle it.
     """
     main = F.col("type").isin("response", "revisit")
     top = F.expr("substring_index(cast(block as string), '\r\n\r\n', 1)")
@@ -150,7 +151,7 @@ def assemble(records: DataFrame) -> DataFrame:
     return g.select(
         "capture_id", "uri",
         F.struct(F.col("request_id").alias("id"), F.col("request_text").alias("http")).alias("request"),
-        F.struct("record_type", "payload_bytes", "payload_digest", "refers_to_id", "payload").alias("response"),
+        F.struct("record_type", "payload_bytes", "payload_digest", "refers_to_id").alias("response"), "payload",
         F.struct(F.col("metadata_id").alias("id"), F.col("metadata_text").alias("fields")).alias("metadata"))
 
 
