@@ -62,7 +62,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
     first = (rows.where(F.col("bytes") >= MIN_REVISIT_BYTES).groupBy("digest")
              .agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", "row")).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("digest", F.col("first.row").alias("first_row")))
-    rows = rows.join(first, "digest", "left").withColumn("again", F.coalesce(F.col("first_row") != F.col("row"), F.lit(False)))
+    # only digests that come again, written first: by their size Spark decides whether the pages must be shuffled to them
+    rows = rows.join(written(first, "warc-repeats"), "digest", "left").withColumn("again", F.coalesce(F.col("first_row") != F.col("row"), F.lit(False)))
 
     rid = record_id(F.col("row"), "response")
     together = F.concat(F.lit("WARC-Concurrent-To: "), rid)
