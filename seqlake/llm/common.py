@@ -55,6 +55,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows that no model may learn from (a null id counts as the text '')."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == HELD_OUT

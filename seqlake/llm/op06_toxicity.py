@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import LETTER_WORDS, Words, held_out, mix, slices, span_hash, table, texts_of
+from .common import LETTER_WORDS, Words, held_out, mix, slices, span_hash, spare, table, texts_of
 
 #: Hash buckets, length of the feature vectors, bytes of the word beginnings.
 BUCKETS = 1 << 20
@@ -156,15 +156,17 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), sc
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weight, model.vector))
     schema = StructType(docs.select(*keep).schema.fields).add(score_col, "double")
 
+    text = spare(docs, "__text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for b in batches:
             out = np.zeros(b.num_rows)
-            for lo, hi, data, off in slices(texts_of(b, "__text")):
+            for lo, hi, data, off in slices(texts_of(b, text)):
                 out[lo:hi] = sigmoid(m.logits(*features(data, off)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out)], names=[*b.schema.names[:-1], score_col])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias(text)).mapInArrow(run, schema)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

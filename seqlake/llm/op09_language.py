@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import held_out, slices, table, texts_of
+from .common import held_out, slices, spare, table, texts_of
 
 #: n-gram orders, hash buckets, added count, and the largest matrix that is broadcast.
 ORDERS = (1, 2, 3)
@@ -130,11 +130,13 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_p))
     schema = StructType(docs.select(*keep).schema.fields).add(pred_col, "string").add(score_col, "double")
 
+    text = spare(docs, "__text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, log_p = shared.value
         for b in batches:
             pred, score = np.full(b.num_rows, "und", object), np.zeros(b.num_rows)
-            for lo, hi, data, off in slices(texts_of(b, "__text")):
+            for lo, hi, data, off in slices(texts_of(b, text)):
                 bucket, doc, n_letters = grams(data, off)
                 if not languages or not len(bucket):
                     continue
@@ -147,7 +149,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
                 score[lo:hi][real] = p[real]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(pred, pa.string()), pa.array(score)], names=[*b.schema.names[:-1], pred_col, score_col])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias(text)).mapInArrow(run, schema)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ class Fingerprint:
         return np.append(np.arange(step_of(n), n, step_of(n)), n)
 
     def text(self) -> str:
-        raw = np.stack([m.astype(">u4") for m in self.marks], 1).tobytes()
+        raw = np.stack(self.marks, 1).astype(">u4").tobytes()
         return struct.pack(">I", self.n).hex() + raw.hex()
 
     @classmethod

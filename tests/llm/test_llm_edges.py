@@ -1,0 +1,46 @@
+"""Every query on edge rows and on empty tables."""
+
+import pytest
+
+from seqlake.llm.queries import QUERIES
+
+COLUMNS = {
+    "op1_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op2_minhash": {"doc_id", "n_shingles", "component_id", "kept"},
+    "op3_chat": {"conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"},
+    "op4_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
+    "op5_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
+    "op6_toxicity": {"doc_id", "held_out", "score", "predicted"},
+    "op7_substring": {"doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "match"},
+    "op8_topk": {"query_id", "rank", "vec_id", "distance"},
+    "op9_language": {"doc_id", "held_out", "lang_pred", "score"},
+    "op10_fingerprint": {"doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"},
+}
+
+
+def test_all_registered():
+    assert set(QUERIES) == set(COLUMNS)
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_edge_rows(spark, edge_dir, name):
+    df = QUERIES[name](spark, edge_dir)
+    assert COLUMNS[name] <= set(df.columns)
+    rows = df.collect()
+    one_per_doc = {"op1_bpe", "op2_minhash", "op6_toxicity", "op9_language", "op10_fingerprint"}
+    if name in one_per_doc:
+        assert len(rows) == spark.read.parquet(f"{edge_dir}/documents.parquet").count()
+    assert rows
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_empty_tables(spark, empty_dir, name):
+    rows = QUERIES[name](spark, empty_dir).collect()
+    assert [r for r in rows if "conv_id" not in r or r["conv_id"] != -1] == []
+
+
+def test_pipeline_edges(spark, edge_dir, empty_dir):
+    import corpus_pipeline
+    out = corpus_pipeline.run(spark, edge_dir).collect()
+    assert out and all(r["length"] & (r["length"] - 1) == 0 for r in out)
+    assert corpus_pipeline.run(spark, empty_dir).collect() == []
