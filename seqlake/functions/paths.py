@@ -54,7 +54,7 @@ def local_path(p: str) -> str:
 def relative_to(c: Column | str, root: Column | str) -> Column:
     """Strip a root prefix (``f.toString().replace(root, '')``)."""
     c, root = _c(c), (F.lit(root) if isinstance(root, str) else root)
-    return F.when(F.startswith(c, root), F.substring(c, F.length(root) + 1, 1 << 30)).otherwise(c)
+    return F.when(F.startswith(c, root), F.substr(c, F.length(root) + 1)).otherwise(c)
 
 
 def fill_sample(pattern: Column | str, sample: Column | str) -> Column:
@@ -70,17 +70,18 @@ def null_text(c: Column | str) -> Column:
 def lake_path(out: str, sample: Column | str, workflow: Column | str, run: Column | str,
               file: Column | str, timestamp: Column | str) -> Column:
     """Versioned destination in the Hive layout
-    ``<out>/data/id=/workflow=/run=/file=/timestamp=/<file>``."""
-    file = _c(file)
+    ``<out>/data/id=/workflow=/run=/file=/timestamp=/<file>``.  A NULL
+    part reads ``null``, so every level is always there."""
+    file = null_text(file)
     return F.concat_ws(
         "/",
         F.lit(out.rstrip("/")),
         F.lit("data"),
         F.concat(F.lit("id="), null_text(sample)),
-        F.concat(F.lit("workflow="), _c(workflow)),
-        F.concat(F.lit("run="), _c(run)),
+        F.concat(F.lit("workflow="), null_text(workflow)),
+        F.concat(F.lit("run="), null_text(run)),
         F.concat(F.lit("file="), file),
-        F.concat(F.lit("timestamp="), _c(timestamp)),
+        F.concat(F.lit("timestamp="), null_text(timestamp)),
         file,
     )
 

@@ -10,34 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Plan-size bound (bytes) up to which a join side is broadcast.
-BROADCAST_BYTES = 32 << 20
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size statistic of ``df`` (planning only, no job).
-
-    Without column statistics the estimate of a filter or aggregate is
-    its input's size, so it over-states the result: a value under the
-    limit bounds the real size.
-    """
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:        # statistics not reachable (remote client): claim no bound
-        return 1 << 62
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the plan's size bound is under
-    ``max_bytes``.  Otherwise ``df`` is returned as is: the planner picks
-    a shuffle join, and AQE can still switch to a broadcast at run time
-    once the real size is measured."""
-    if plan_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    return df
-
 
 def _on(left_cols: Sequence[str], right_cols: Sequence[str], left: DataFrame, right: DataFrame):
     if list(left_cols) == list(right_cols):

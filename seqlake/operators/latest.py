@@ -59,8 +59,9 @@ def rows_matching_latest(df: DataFrame, keys: Sequence[str], match: Sequence[str
     keys, match = list(keys), list(match)
     best = latest_by(df.select(*keys, *match, *[c for c in _names(newest_first, then_ascending)
                                                    if c not in keys + match]),
-                     keys, newest_first, then_ascending).select(*keys, *match)
-    return df.join(best, on=keys + match, how="left_semi")
+                     keys, newest_first, then_ascending).select(*[F.col(c).alias(f"_b_{c}") for c in keys + match])
+    on = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in keys + match]     # a NULL method ties with a NULL method
+    return df.join(best, on=on, how="left_semi")
 
 
 def _names(*groups) -> list[str]:
@@ -72,12 +73,12 @@ def _names(*groups) -> list[str]:
     return out
 
 
-def cap_rows(df: DataFrame, threshold: int, cap: int, order: Sequence[Column | str]) -> DataFrame:
-    """Everything when at most ``threshold`` rows, else the first ``cap``
-    rows in ``order`` (a top-k, taken per partition then merged).
+def first_rows_marked(df: DataFrame, key: str, first: int, order: Sequence[Column | str], out: str = "start") -> DataFrame:
+    """Every row, with ``out`` telling whether it is among the ``first`` rows in ``order``.
 
-    The size test reads at most ``threshold + 1`` rows.
+    The marked rows are a top-k (taken per partition, then merged) joined
+    back by ``key``; no row is dropped.
     """
-    if df.limit(threshold + 1).count() <= threshold:
-        return df
-    return df.orderBy(*order).limit(cap)
+    top = df.orderBy(*order).limit(first).select(F.col(key).alias("_key"), F.lit(True).alias("_first"))
+    return (df.join(top, F.col(key).eqNullSafe(F.col("_key")), "left")
+            .select(*df.columns, F.coalesce("_first", F.lit(False)).alias(out)))

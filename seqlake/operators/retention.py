@@ -3,7 +3,7 @@ and infer rules from an example run (JOB8: JON9, EXP6, AGG7, Q9, Q10).
 
 Rules are a table ``(workflow, kind, pattern)`` with kind ``run_files`` or
 ``sample_files``; ``<sample>`` is the only placeholder.  The rule table
-comes from a file of bounded size and is broadcast after a size check.
+comes from a file; Spark picks the join by its size.
 """
 
 from __future__ import annotations
@@ -12,27 +12,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import fill_sample
-from .joins import broadcast_if_small, present_in
+from .joins import present_in
 
 RULE_SCHEMA = "workflow string, kind string, pattern string"
 
 
 def expand_rules(runs: DataFrame, manifest: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every file a run should keep: ``(run, workflow, sample, file)``.
+    """Every file a run should keep: ``(run_path, run, workflow, sample, file)``.
 
-    ``runs``: ``(run, workflow, run_path)``; ``manifest``: ``(run, sample,
-    fastq_1, fastq_2)``.  Sample patterns are joined to the samples of a
+    ``runs``: ``(run, workflow, run_path)``; ``manifest``: ``(run_path, sample,
+    fastq_1, fastq_2)``.  A run is known by its whole path: two folders may
+    share a name.  Sample patterns are joined to the samples of a
     run on the workflow (an equi join with the small rule table, not a
     cross product); run patterns to the run; read files come from the
     manifest.  An unknown workflow keeps only its reads.
     """
-    r = broadcast_if_small(rules.select("workflow", "kind", "pattern"))
-    samples = manifest.select("run", "sample", "fastq_1", "fastq_2").join(runs.select("run", "workflow", "run_path"), "run")
+    r = rules.select("workflow", "kind", "pattern")
+    samples = manifest.select("run_path", "sample", "fastq_1", "fastq_2").join(runs.select("run", "workflow", "run_path"), "run_path")
     sample_files = samples.join(r.where(F.col("kind") == "sample_files"), "workflow").select(
-        "run", "workflow", "sample", F.concat("run_path", fill_sample("pattern", "sample")).alias("file"))
+        "run_path", "run", "workflow", "sample", F.concat("run_path", fill_sample("pattern", "sample")).alias("file"))
     run_files = runs.join(r.where(F.col("kind") == "run_files"), "workflow").select(
-        "run", "workflow", F.lit(None).cast("string").alias("sample"), F.concat("run_path", "pattern").alias("file"))
-    reads = samples.select("run", "workflow", "sample", F.explode(F.array("fastq_1", "fastq_2")).alias("file"))
+        "run_path", "run", "workflow", F.lit(None).cast("string").alias("sample"), F.concat("run_path", "pattern").alias("file"))
+    reads = samples.select("run_path", "run", "workflow", "sample", F.explode(F.array("fastq_1", "fastq_2")).alias("file"))
     reads = reads.where(F.col("file").isNotNull())
     return sample_files.unionByName(run_files).unionByName(reads)
 
@@ -63,7 +64,7 @@ def infer_rules(files: DataFrame, samples: DataFrame, mode: str = "reference") -
         raise ValueError("mode must be 'reference' or 'disjoint'")
     s = samples.select("run", "sample", "ord").where(F.length("sample") > 0)
     n_samples = s.groupBy("run").agg(F.countDistinct("sample").alias("n_samples"))
-    lengths = broadcast_if_small(s.select("run", F.length("sample").alias("len")).distinct())
+    lengths = s.select("run", F.length("sample").alias("len")).distinct()
     f = files.select("run", "rel").distinct()
     cut = (f.join(lengths, "run")
            .where(F.length("rel") >= F.col("len"))

@@ -19,6 +19,7 @@ REQUIRED_COLUMNS = ("sample", "fastq_1", "fastq_2")
 MSG_SAMPLE = "Sample input is required."
 MSG_FIRST = "At least the first FASTQ file is required."
 MSG_EXT = "The FASTQ file has an unrecognized extension: "
+MSG_FORMATS = "\nIt should be one of: " + ", ".join(FASTQ_EXTENSIONS)
 MSG_PAIR = "FASTQ pairs must have the same file extensions."
 
 
@@ -34,8 +35,8 @@ def first_error(sample: str = "sample", first: str = "fastq_1", second: str = "f
     s, f1, f2 = _txt(sample), _txt(first), _txt(second)
     return (F.when(F.length(s) <= 0, F.lit(MSG_SAMPLE))
             .when(F.length(f1) <= 0, F.lit(MSG_FIRST))
-            .when(~ends_with_any(f1, FASTQ_EXTENSIONS), F.concat(F.lit(MSG_EXT), f1))
-            .when((F.length(f2) > 0) & ~ends_with_any(f2, FASTQ_EXTENSIONS), F.concat(F.lit(MSG_EXT), f2))
+            .when(~ends_with_any(f1, FASTQ_EXTENSIONS), F.concat(F.lit(MSG_EXT), f1, F.lit(MSG_FORMATS)))
+            .when((F.length(f2) > 0) & ~ends_with_any(f2, FASTQ_EXTENSIONS), F.concat(F.lit(MSG_EXT), f2, F.lit(MSG_FORMATS)))
             .when((F.length(f2) > 0) & (last_two_suffixes(f1) != last_two_suffixes(f2)), F.lit(MSG_PAIR)))
 
 
@@ -48,6 +49,11 @@ def sheet_errors(sheet: DataFrame, line: str = "line") -> DataFrame:
     return sheet.select(F.col(line), first_error().alias("error")).where(F.col("error").isNotNull())
 
 
+def clean_lines(sheet: DataFrame) -> DataFrame:
+    """Lines that break no rule: only these are transformed."""
+    return sheet.where(first_error().isNull())
+
+
 def sheet_duplicates(sheet: DataFrame) -> DataFrame:
     """(sample, fastq_1) pairs listed more than once (after sanitising)."""
     s = sheet.withColumn("sample", F.replace(F.col("sample"), F.lit(" "), F.lit("_")))
@@ -83,7 +89,10 @@ def validate_samplesheet(spark, path: str, out_path: str | None = None) -> DataF
     from ..sinks.writers import write_csv
     from ..sources.files import read_csv, sniff_delimiters
 
-    sep = sniff_delimiters(spark, path).first()["sep"]
+    seps = [r["sep"] for r in sniff_delimiters(spark, path).select("sep").distinct().collect()]   # at most one per delimiter
+    if len(seps) > 1:
+        raise SamplesheetError(f"the files of {path} have different delimiters")
+    sep = seps[0] if seps else None
     if sep is None:
         raise SamplesheetError(f"could not detect the delimiter of {path}")
     from .ranking import line_numbers
@@ -96,7 +105,7 @@ def validate_samplesheet(spark, path: str, out_path: str | None = None) -> DataF
     parsed = lines.where(F.col("line") > 1).select(
         "line", F.from_csv("value", ", ".join(f"`{c}` string" for c in header), {"sep": sep}).alias("r"))
     parsed = parsed.where(F.length(F.col("r").cast("string")) > 0).select("line", "r.*")
-    errors = sheet_errors(parsed).orderBy("line").limit(50).collect()   # first bad lines only
+    errors = sheet_errors(parsed).orderBy("line").collect()   # every bad line of one file people wrote
     if errors:
         raise SamplesheetError("\n".join(f"{e['error']} On line {e['line']}." for e in errors))
     if sheet_duplicates(parsed).limit(1).count():

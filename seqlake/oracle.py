@@ -178,10 +178,8 @@ newest AS (
 ledger AS (SELECT CAST(event_id AS VARCHAR) AS submission_id FROM events WHERE event_id % 7 = 0),
 fresh AS (SELECT * FROM newest WHERE submission_id NOT IN (SELECT submission_id FROM ledger)),
 capped AS (
-  SELECT * FROM fresh WHERE (SELECT count(*) FROM fresh) <= 10
-  UNION ALL
-  SELECT * FROM (SELECT * FROM fresh ORDER BY submission_date, submission_id LIMIT 19)
-  WHERE (SELECT count(*) FROM fresh) > 10),
+  SELECT *, (SELECT count(*) FROM fresh) <= 10 OR row_number() OVER (ORDER BY submission_date, submission_id) <= 19 AS start
+  FROM fresh),
 summary AS (
   SELECT 'proj' AS project, CASE WHEN user_id % 2 = 0 THEN 'ws_a' ELSE 'ws_b' END AS workspace,
          submission_id AS submissionId, method AS methodConfigurationName,
@@ -191,11 +189,11 @@ summary AS (
 wsheet AS (
   SELECT 'proj' AS project, CASE WHEN n_nationkey % 2 = 0 THEN 'ws_a' ELSE 'ws_b' END AS workspace,
          concat('wf_', lower(n_name)) AS workflow, CAST(NULL AS VARCHAR) AS run
-  FROM nation WHERE n_nationkey < 4
+  FROM nation WHERE n_nationkey % 5 < 4
   UNION ALL
   SELECT 'proj', CASE WHEN n_nationkey % 2 = 0 THEN 'ws_a' ELSE 'ws_b' END,
          concat('wf_', lower(n_name)), concat('entity_', CAST(n_nationkey AS VARCHAR))
-  FROM nation WHERE n_nationkey BETWEEN 4 AND 5),
+  FROM nation WHERE n_nationkey % 5 = 4),
 wcache AS (
   SELECT project, workspace, submissionId FROM summary WHERE CAST(submissionId AS BIGINT) % 7 = 0),
 asked AS (
@@ -217,7 +215,7 @@ ORACLE["new_submissions"] = _w(SUBS, "SELECT * FROM fresh")
 ORACLE["capped_submissions"] = _w(SUBS, "SELECT * FROM capped")
 ORACLE["job_rows"] = _w(SUBS, """
     SELECT 'proj' AS project, 'ws' AS workspace, submission_id, method AS workflow, entity_type AS entity,
-           's3://results' AS outdir, concat_ws('_', 'proj', 'ws', submission_id) AS job_name
+           's3://results' AS outdir, concat_ws('_', 'proj', 'ws', submission_id) AS job_name, start
     FROM capped""")
 ORACLE["submission_diff"] = _w(SUBS, "SELECT * FROM sdiff")
 ORACLE["submission_tables"] = _w(SUBS, """
@@ -334,7 +332,8 @@ ORACLE["transfer_batches"] = _w(TRANSFER, """
 ORACLE["run_summary"] = _w(TRANSFER, """
     SELECT run, timestamp, count(*) AS files FROM pending GROUP BY run, timestamp""")
 ORACLE["transfer_catalog"] = _w(TRANSFER, """
-    SELECT coalesce(sample, 'null') AS id, workflow, run, file, timestamp, origin, dest AS current FROM pending""")
+    SELECT coalesce(sample, 'null') AS id, workflow, run, file,
+           CAST(CAST(round(CAST(timestamp AS DECIMAL(18,3)), 0) AS BIGINT) AS VARCHAR) AS timestamp, origin, dest AS current FROM pending""")
 
 # -------------------------------------------------- workspace tables
 WIDE = """
@@ -392,7 +391,9 @@ ORACLE["resolve_headers"] = """
     SELECT event_id, coalesce(nullif(regexp_extract(b, '\\d{4}JQ-\\d{5}'), ''), b) AS id,
            translate(CASE WHEN et IN ('click', 'view', 'purchase') THEN nullif(qc, '') END, ', ', ';_') AS qc,
            translate(nullif(sp, ''), ', ', ';_') AS species,
-           translate(CASE WHEN et IN ('click', 'view', 'purchase') THEN nullif(k, '') END, ', ', ';_') AS read_depth
+           translate(CASE WHEN et IN ('click', 'view', 'purchase') THEN nullif(k, '') END, ', ', ';_') AS read_depth,
+           """ + ",\n           ".join(f"CASE WHEN et IN ('click', 'view') THEN concat('{f};_', k) END AS {f}" for f in ("mlst_1", "mlst_2", "mlst_1_scheme", "mlst_2_scheme", "beta_amr", "other_amr", "plasmids", "vir_genes")) + """,
+           """ + ",\n           ".join(f"CASE WHEN et IN ('click', 'view', 'purchase') THEN concat('{f};_', k) END AS {f}" for f in ("qc_reason", "assembly_len", "n_contigs", "per_gc", "species_conf")) + """
     FROM n2"""
 
 # ------------------------------------------------------- samplesheet
@@ -417,9 +418,9 @@ ORACLE["sheet_errors"] = _w(SHEET, f"""
              CASE WHEN length(coalesce(sample, '')) <= 0 THEN 'Sample input is required.'
                   WHEN length(f1) <= 0 THEN 'At least the first FASTQ file is required.'
                   WHEN NOT (ends_with(f1, '.fq.gz') OR ends_with(f1, '.fastq.gz'))
-                       THEN 'The FASTQ file has an unrecognized extension: ' || f1
+                       THEN 'The FASTQ file has an unrecognized extension: ' || f1 || chr(10) || 'It should be one of: .fq.gz, .fastq.gz'
                   WHEN length(f2) > 0 AND NOT (ends_with(f2, '.fq.gz') OR ends_with(f2, '.fastq.gz'))
-                       THEN 'The FASTQ file has an unrecognized extension: ' || f2
+                       THEN 'The FASTQ file has an unrecognized extension: ' || f2 || chr(10) || 'It should be one of: .fq.gz, .fastq.gz'
                   WHEN length(f2) > 0 AND {_sfx('f1')} <> {_sfx('f2')}
                        THEN 'FASTQ pairs must have the same file extensions.'
              END AS error
@@ -428,7 +429,9 @@ ORACLE["sheet_valid"] = _w(SHEET, """
     SELECT concat(replace(sample, ' ', '_'), '_T',
                   CAST(row_number() OVER (PARTITION BY replace(sample, ' ', '_') ORDER BY line) AS VARCHAR)) AS sample,
            NOT (length(f1) > 0 AND length(f2) > 0) AS single_end, line, fastq_1, fastq_2
-    FROM chk""")
+    FROM chk
+    WHERE length(coalesce(sample, '')) > 0 AND (f1 LIKE '%.fq.gz' OR f1 LIKE '%.fastq.gz')
+      AND (length(f2) = 0 OR f2 LIKE '%.fq.gz' AND f1 LIKE '%.fq.gz' OR f2 LIKE '%.fastq.gz' AND f1 LIKE '%.fastq.gz')""")
 ORACLE["sheet_duplicates"] = _w(SHEET, """
     SELECT replace(sample, ' ', '_') AS sample, fastq_1, count(*) AS n FROM sheet
     GROUP BY 1, 2 HAVING count(*) > 1""")
@@ -443,7 +446,7 @@ ORACLE["stream_windowed_dedupe"] = _w(SUBS, """
 ORACLE["upload_trigger_runs"] = _w(META, """
     SELECT DISTINCT concat('s3://', regexp_extract(origin, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)/?(.*)$', 2), '/',
                            regexp_replace(regexp_extract(origin, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)/?(.*)$', 3),
-                                          '/*[^/]+/*$', '')) AS run,
+                                          '/*[^/]+/*$', ''), '/') AS run,
            'phoenix' AS workflow
     FROM meta
     WHERE regexp_extract(origin, '([^/]*)$', 1) = 'Phoenix_Summary.tsv'""")

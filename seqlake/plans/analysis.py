@@ -69,7 +69,11 @@ def export_analysis(spark: SparkSession, table: DataFrame, out_dir: str) -> dict
     ``gba.miss.csv``; both are replaced on every build and ordered by id."""
     from ..sinks.writers import write_csv
 
-    ok, miss = split_complete(table)
+    from ..session import shared_dir
+
+    path = f"{shared_dir(spark, 'analysis')}/table"          # built once, split after
+    table.write.parquet(path)
+    ok, miss = split_complete(spark.read.schema(table.schema).parquet(path))
     ok = ok.select(*[F.replace(F.col(c).cast("string"), F.lit(" "), F.lit("_")).alias(c) for c in ok.columns])
     out = out_dir.rstrip("/")
     paths = {"gba": f"{out}/gba.csv", "gba.miss": f"{out}/gba.miss.csv"}
@@ -96,17 +100,18 @@ def build_analysis_table_from_files(spark: SparkSession, data_dir: str) -> dict[
     gba = gba.where(F.col("id") == "null")
     wanted = [r[0] for r in gba.select("current").distinct().collect()]  # one summary per run
     if wanted:
-        dirs = sorted({w.rsplit("/", 1)[0] for w in wanted})
-        present = src.list_files(spark, dirs, recursive=False).select(uri_text("path").alias("current"))
+        dirs = src.existing_paths(spark, sorted({w.rsplit("/", 1)[0] for w in wanted}))   # a table may be gone with its folder
+        present = (src.list_files(spark, dirs, recursive=False).select(uri_text("path").alias("current")) if dirs
+                   else spark.createDataFrame([], "current string"))
         gba = gba.withColumn("current", uri_text("current")).join(present, "current", "left_semi")
         paths = [r[0] for r in gba.select("current").distinct().collect()]
     else:
         paths = []
     rows = src.read_tables_with_header(spark, paths).withColumn("current", uri_text("file_path"))
     rows = rows.join(gba.select("current", "workflow", "timestamp"), "current")
-    results = resolve_results(rows, keep=["workflow", "timestamp", "current", "line_no"])
+    results = resolve_results(rows, keep=["workflow", "timestamp", "current", "block", "line_no"])
     fastq = src.read_catalog(spark, f"{d}/meta.fastq.csv", with_id_alt=True)
     fasta = src.read_catalog(spark, f"{d}/meta.fasta.csv", with_id_alt=True)
-    table = analysis_table(results, fastq, fasta, tiebreak=("current", "line_no"))
+    table = analysis_table(results, fastq, fasta, tiebreak=("current", "block", "line_no"))
     table = table.select(*ANALYSIS_COLUMNS)
     return export_analysis(spark, table, d)

@@ -27,8 +27,8 @@ def new_reads(fastq: DataFrame, now: int, lookback_days: int = 30) -> DataFrame:
 
 
 def skipped_rows(fastq: DataFrame) -> DataFrame:
-    """Rows the export cannot date (non-integer time)."""
-    return fastq.where(whole_seconds("timestamp").isNull())
+    """Read files the export cannot date (non-integer time)."""
+    return fastq.where(looks_like_read("file") & whole_seconds("timestamp").isNull())
 
 
 def one_per_destination(reads: DataFrame) -> DataFrame:

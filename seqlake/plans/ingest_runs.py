@@ -108,8 +108,11 @@ def run_summary(pending: DataFrame) -> DataFrame:
 
 
 def catalog_rows(moved: DataFrame) -> DataFrame:
-    """Catalog lines ``id,workflow,run,file,timestamp,origin,current``."""
-    return moved.select(null_text("sample").alias("id"), "workflow", "run", "file", "timestamp", "origin",
+    """Catalog lines ``id,workflow,run,file,timestamp,origin,current``; the
+    time is in whole seconds, as its readers want it, while ``current``
+    keeps the version folder's exact one."""
+    whole = round_seconds(F.col("timestamp").cast("decimal(18,3)")).cast("string").alias("timestamp")
+    return moved.select(null_text("sample").alias("id"), "workflow", "run", "file", whole, "origin",
                         F.col("dest").alias("current"))
 
 
@@ -121,10 +124,9 @@ def plan_runs(run_listing: DataFrame, manifests_listing: DataFrame, manifest_row
     ``workflow_of_run``: ``(run_path, workflow)`` from the run samplesheet.
     """
     runs = runs_in_window(run_listing, manifests_listing, window).join(workflow_of_run, "run_path")
-    m = manifest_rows.join(runs.select("run_path", "run"), "run_path").select("run", "sample", "fastq_1", "fastq_2")
-    expanded = expand_rules(runs.select("run", "workflow", "run_path"), m, rules)
+    expanded = expand_rules(runs.select("run", "workflow", "run_path"), manifest_rows, rules)
     kept = existing_files(expanded, source_listing)
-    kept = kept.join(runs.select("run", "seconds"), "run")
+    kept = kept.join(runs.select("run_path", "seconds"), "run_path")
     return transfer_plan(kept, out)
 
 
@@ -184,15 +186,19 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     run_dirs = [r["run_path"] for r in runs.select("run_path").collect()]
     if not run_dirs:
         return {"run_id": run_id, "files": 0, "catalog": None}
-    m = src.read_manifests(spark, run_dirs).join(runs.select("run_path", "run"), "run_path")
+    m = src.read_manifests(spark, run_dirs)
     rules = src.read_rules_config(spark, rules_path) if rules_format == "config" else src.read_rules(spark, rules_path)
-    expanded = expand_rules(runs.select("run", "workflow", "run_path"),
-                            m.select("run", "sample", "fastq_1", "fastq_2"), rules)
-    read_dirs = [r[0] for r in expanded.select(F.regexp_replace("file", "/[^/]+$", "")).distinct().collect()]
-    present = src.list_files(spark, read_dirs, recursive=False).select(
-        uri_text("path").alias("path"), "modified_ms")  # listing of the folders that hold candidates
-    kept = existing_files(expanded.withColumn("file", uri_text("file")), present)
-    plan = transfer_plan(kept.join(runs.select("run", "seconds"), "run"), out,
+    expanded = expand_rules(runs.select("run", "workflow", "run_path"), m, rules).withColumn("file", uri_text("file"))
+    # one recursive listing of the run folders; reads may lie in other folders, which are listed too if they are there
+    outside = expanded.where(~F.startswith("file", F.concat("run_path", F.lit("/"))))
+    folders = [r[0] for r in outside.select(F.regexp_replace("file", "/[^/]+$", "")).distinct().collect()]
+    present = src.list_files(spark, run_dirs).select(uri_text("path").alias("path"), "modified_ms")
+    elsewhere = src.existing_paths(spark, [f for f in folders if not any(f"{f}/".startswith(f"{r}/") for r in run_dirs)])
+    if elsewhere:
+        present = present.unionByName(src.list_files(spark, elsewhere, recursive=False).select(uri_text("path").alias("path"), "modified_ms"))
+    present = present.dropDuplicates(["path"])
+    kept = existing_files(expanded, present)
+    plan = transfer_plan(kept.join(runs.select("run_path", "seconds"), "run_path"), out,
                          file_times=present if version_by == "file" else None)
     lake = _lake_listing(spark, f"{out}/data") if lake_index == "listing" else _catalog_index(spark, out)
     pending = pending_transfers(plan, lake)

@@ -81,8 +81,8 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
     sheet = src.read_csv(spark, samplesheet)
     if "run" not in sheet.columns:
         sheet = sheet.withColumn("run", F.lit(None).cast("string"))
-    summary = src.read_csv(spark, f"{land}/summary/*/*.tsv", sep="\t").withColumn(
-        "_src", F.col("_metadata.file_path"))
+    names = ["submissionId", "methodConfigurationName", "submissionEntity", "submissionDate", "status", "workflowStatuses"]
+    summary = src.read_named(spark, f"{land}/summary/*/*.tsv", names, sep="\t").withColumnRenamed("file_path", "_src")
     summary = summary.withColumn("project", F.regexp_extract("_src", r"/summary/([^/]+)/[^/]+\.tsv$", 1)) \
         .withColumn("workspace", F.regexp_extract("_src", r"/summary/[^/]+/([^/]+)\.tsv$", 1)).drop("_src")
     if cache is None:

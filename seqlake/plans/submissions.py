@@ -13,12 +13,11 @@ from pyspark.sql.types import MapType, StringType
 from ..functions.predicates import absent, present, summary_retained
 from ..functions.text import entity_name, strip_set
 from ..functions.timefmt import epoch_micros
-from ..operators.joins import broadcast_if_small, missing_from, present_in
-from ..operators.latest import cap_rows, rows_matching_latest
+from ..operators.joins import missing_from, present_in
+from ..operators.latest import first_rows_marked, rows_matching_latest
 
-# More than THRESHOLD new runs -> only the first CAP start.
-THRESHOLD = 10
-CAP = 19
+# Fixed value: of many new runs, the first so many start at once.
+FIRST_WAVE = 19
 
 
 def _status_map(df: DataFrame, col: str) -> Column:
@@ -33,7 +32,7 @@ def candidates(subs: DataFrame, entity_types: DataFrame) -> DataFrame:
     s = subs.withColumn("entity_type", strip_set("entity_raw"))
     keep = (F.col("status") == "Done") & F.map_contains_key(_status_map(s, "workflow_statuses"), F.lit("Succeeded"))
     s = s.where(keep).select("submission_id", "method", "entity_type", "submission_date")
-    return present_in(s, broadcast_if_small(entity_types.select("entity_type")), ["entity_type"])
+    return present_in(s, entity_types.select("entity_type"), ["entity_type"])
 
 
 def newest_per_entity(cands: DataFrame) -> DataFrame:
@@ -50,17 +49,22 @@ def not_in_ledger(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     return missing_from(rows, ledger, ["submission_id"])
 
 
-def capped(rows: DataFrame, threshold: int = THRESHOLD, cap: int = CAP) -> DataFrame:
-    return cap_rows(rows, threshold, cap, ["submission_date", "submission_id"])
+def first_wave(rows: DataFrame, size: int = FIRST_WAVE) -> DataFrame:
+    """Every new submission, with ``start``: whether it belongs to the first
+    wave (the oldest ``size``).  The others stay listed for the next check."""
+    return first_rows_marked(rows, "submission_id", size, ["submission_date", "submission_id"])
 
 
 def job_rows(rows: DataFrame, project: str, workspace: str, outdir: str) -> DataFrame:
-    """One ingest work item per new submission (nothing is submitted)."""
+    """One ingest work item per new submission (nothing is submitted);
+    ``start`` marks the first wave where the rows carry it."""
+    start = ["start"] if "start" in rows.columns else []
     return rows.select(
         F.lit(project).alias("project"), F.lit(workspace).alias("workspace"),
         F.col("submission_id"), F.col("method").alias("workflow"), F.col("entity_type").alias("entity"),
         F.lit(outdir).alias("outdir"),
         F.concat_ws("_", F.lit(project), F.lit(workspace), F.col("submission_id")).alias("job_name"),
+        *start,
     )
 
 
@@ -88,7 +92,7 @@ def tables_to_export(sheet: DataFrame, summary: DataFrame, cache: DataFrame) ->
     """
     asked = present_in(summary, sheet.where(absent("run")), ["project", "workspace"])
     new = submission_diff(asked, cache)
-    wf = broadcast_if_small(sheet.select("project", "workspace", "workflow"))
+    wf = sheet.select("project", "workspace", "workflow")
     from_monitor = new.join(wf, ["project", "workspace"], "inner").select(
         "project", "workspace", F.col("entity").alias("entity_table"), "workflow")
     explicit = sheet.where(present("run")).select("project", "workspace", F.col("run").alias("entity_table"), "workflow")
@@ -127,4 +131,4 @@ def check_submissions(spark, submissions_json: str, entity_types_json: str, ledg
     subs = submissions_from_json(read_json_docs(spark, submissions_json))
     et = entity_types_from_json(read_json_docs(spark, entity_types_json))
     fresh = not_in_ledger(newest_per_entity(candidates(subs, et)), read_ledger(spark, ledger_path, ["submission_id"]))
-    return job_rows(capped(fresh), project, workspace, outdir)
+    return job_rows(first_wave(fresh), project, workspace, outdir)

@@ -166,14 +166,15 @@ def new_submissions(spark, sf):
 
 @query("capped_submissions")
 def capped_submissions(spark, sf):
+    """All new submissions; ``start`` marks the first wave."""
     from .plans import submissions as sub
-    return sub.capped(_fresh(spark, sf))
+    return sub.first_wave(_fresh(spark, sf))
 
 
 @query("job_rows")
 def job_rows(spark, sf):
     from .plans import submissions as sub
-    return sub.job_rows(sub.capped(_fresh(spark, sf)), "proj", "ws", d.LAKE_ROOT)
+    return sub.job_rows(sub.first_wave(_fresh(spark, sf)), "proj", "ws", d.LAKE_ROOT)
 
 
 @query("submission_diff")
@@ -196,7 +197,8 @@ def submission_tables(spark, sf):
 # ---------------------------------------------------------- retention
 def _expanded(spark, sf):
     from .operators.retention import expand_rules
-    return expand_rules(d.manifest_runs(spark, sf), d.manifest(spark, sf), d.rules(spark))
+    expanded = expand_rules(d.manifest_runs(spark, sf), d.manifest_rows(spark, sf), d.rules(spark))
+    return expanded.select("run", "workflow", "sample", "file")
 
 
 @query("retention_candidates")
@@ -317,8 +319,7 @@ def extract_last_pattern(spark, sf):
 @query("resolve_headers")
 def resolve_headers(spark, sf):
     from .operators.headers import ALTERNATIVES, resolve_results
-    alts = {k: ALTERNATIVES[k] for k in ("qc", "species", "read_depth")}
-    return resolve_results(d.header_rows(spark, sf), alternatives=alts, keep=["event_id"])
+    return resolve_results(d.header_rows(spark, sf), alternatives=ALTERNATIVES, keep=["event_id"])
 
 
 # -------------------------------------------------------- samplesheet
@@ -330,8 +331,8 @@ def sheet_errors(spark, sf):
 
 @query("sheet_valid")
 def sheet_valid(spark, sf):
-    from .operators.samplesheet import sheet_valid as sv
-    return sv(d.sheet(spark, sf))
+    from .operators.samplesheet import clean_lines, sheet_valid as sv
+    return sv(clean_lines(d.sheet(spark, sf)))
 
 
 @query("sheet_duplicates")

@@ -9,7 +9,6 @@ cluster names none (local runs and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,6 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if "/" in current else current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="seqlake-ckpt-")
     sc.setCheckpointDir(named)
     return named
@@ -77,7 +78,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/seqlake/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root.rstrip('/')}/seqlake/{name}-{uuid.uuid4().hex[:12]}"

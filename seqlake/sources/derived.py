@@ -9,7 +9,6 @@ oracle SQL repeats them as CTEs.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.paths import lake_path
 from .files import local_table
 from ..functions.timefmt import epoch_seconds
+from ..operators.headers import ALTERNATIVES
 
 # Fixed values of the derived shapes.
 SOURCE_ROOT = "s3://prod"          # where workflow outputs land
@@ -28,7 +28,6 @@ NOW = 999993600                    # fixed "now" for the read export
 KNOWN_ENTITY_TYPES = 45            # entity_0 .. entity_44 exist
 LEDGER_EVERY = 7                   # submission ids already processed
 PAGE_SIZE = 1000                   # workspace entity page size
-SPREAD_SMALL_INPUTS = os.environ.get("SEQLAKE_SPREAD", "1") != "0"
 # Retention rules used with the derived manifests (workflow phoenix).
 FIXTURE_RULES = [
     ("phoenix", "run_files", "/Phoenix_Summary.tsv"),
@@ -40,40 +39,7 @@ FIXTURE_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
-    """Round-robin a mid-sized input over all task slots.
-
-    A file written as one row group is scanned by one task however many
-    splits it is cut into, so the row-wise work after the scan would run
-    on one core.  Inputs of at least ``min_bytes`` but smaller than one
-    full split per slot are redistributed (a bounded shuffle of at most
-    ``slots * maxPartitionBytes``).  Larger inputs -- any real table --
-    are split by the scan itself and returned untouched, as are tiny ones.
-    The size is Catalyst's file-size statistic (no job is run).
-    """
-    if not SPREAD_SMALL_INPUTS:
-        return df
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:        # no classic JVM session (e.g. a remote client): leave the input as it is
-        return df
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if min_bytes <= size < slots * split:
-        return df.repartition(slots)
-    return df
-
-
-def _bytes(text: str) -> int:
-    t = str(text).strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if t and t[-1] in mult:
-        return int(float(t[:-1]) * mult[t[-1]])
-    return int(t)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -128,6 +94,10 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------- F3 submissions
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workspace submissions (API form, flattened), from events."""
+    return _submissions(spark, sf_dir)
+
+
+def _submissions(spark: SparkSession, sf_dir: str, *more) -> DataFrame:
     e = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     return e.select(
@@ -138,6 +108,7 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("submission_date"),
         F.when(eid % 4 == 0, F.lit("Aborted")).otherwise(F.lit("Done")).alias("status"),
         F.when(eid % 5 == 0, F.lit('{"Failed":1}')).otherwise(F.lit('{"Succeeded":1}')).alias("workflow_statuses"),
+        *more,
     )
 
 
@@ -162,9 +133,7 @@ def monitor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``submissionEntity`` is ``<type>:<name>`` text and ``workflowStatuses``
     is text.  Users split over workspaces ``ws_a`` / ``ws_b``.
     """
-    s = submissions(spark, sf_dir).join(
-        table(spark, sf_dir, "events").select(_s(F.col("event_id")).alias("submission_id"), "user_id"),
-        "submission_id")
+    s = _submissions(spark, sf_dir, F.col("user_id"))
     return s.select(
         F.lit("proj").alias("project"),
         F.when(F.col("user_id") % 2 == 0, F.lit("ws_a")).otherwise(F.lit("ws_b")).alias("workspace"),
@@ -182,10 +151,10 @@ def workspace_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     and workflow (nation names), plus explicit-run rows."""
     n = table(spark, sf_dir, "nation")
     ws = F.when(F.col("n_nationkey") % 2 == 0, F.lit("ws_a")).otherwise(F.lit("ws_b"))
-    runless = n.where(F.col("n_nationkey") < 4).select(
+    runless = n.where(F.col("n_nationkey") % 5 < 4).select(
         F.lit("proj").alias("project"), ws.alias("workspace"),
         F.concat(F.lit("wf_"), F.lower("n_name")).alias("workflow"), F.lit(None).cast("string").alias("run"))
-    explicit = n.where(F.col("n_nationkey").between(4, 5)).select(
+    explicit = n.where(F.col("n_nationkey") % 5 == 4).select(
         F.lit("proj").alias("project"), ws.alias("workspace"),
         F.concat(F.lit("wf_"), F.lower("n_name")).alias("workflow"),
         F.concat(F.lit("entity_"), _s(F.col("n_nationkey"))).alias("run"))
@@ -343,12 +312,22 @@ def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def arr(*xs):
         return F.array(*[F.lit(x) if isinstance(x, str) else x for x in xs])
 
-    header = (F.when(et == "click", arr("ID", "Auto_QC_Outcome", "Species", "Estimated_Coverage"))
-              .when(et == "view", arr("samplename", "qc_outcome", "species", "estimated_coverage"))
-              .when(et == "purchase", arr("sample", "aa_qc_check", "fastani_genus_species", "est_coverage_clean"))
+    # the fields without a value rule of their own hold "<field>, <k>"
+    plain = [f for f in ALTERNATIVES if f not in ("qc", "species", "read_depth")]
+
+    def names(variant: int) -> list[str]:
+        return [ALTERNATIVES[f][variant] for f in plain if variant < len(ALTERNATIVES[f])]
+
+    def values(variant: int) -> list:
+        return [F.concat(F.lit(f + ", "), k) for f in plain if variant < len(ALTERNATIVES[f])]
+
+    header = (F.when(et == "click", arr("ID", "Auto_QC_Outcome", "Species", "Estimated_Coverage", *names(0)))
+              .when(et == "view", arr("samplename", "qc_outcome", "species", "estimated_coverage", *names(1)))
+              .when(et == "purchase", arr("sample", "aa_qc_check", "fastani_genus_species", "est_coverage_clean", *names(2)))
               .when(et == "error", arr("ID", "Auto_QC_Outcome", "qc_outcome", "Species"))
               .otherwise(arr("entity_id", "Species", "species")))
-    cells = (F.when(et.isin("click", "view", "purchase"), arr(sid, qc, sp, k))
+    cells = (F.when(et == "click", arr(sid, qc, sp, k, *values(0))).when(et == "view", arr(sid, qc, sp, k, *values(1)))
+             .when(et == "purchase", arr(sid, qc, sp, k, *values(2)))
              .when(et == "error", arr(sid, F.lit(""), qc, sp))
              .otherwise(arr(sid, sp, F.lit("other"))))
     return e.select(eid.alias("event_id"), header.alias("header"), cells.alias("cells"))

@@ -66,19 +66,35 @@ def read_catalog(spark: SparkSession, paths: str | Sequence[str], with_id_alt: b
     return read_csv(spark, paths, columns=cols, recursive=True)
 
 
+def read_named(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], sep: str = ",") -> DataFrame:
+    """``(file_path, *names)`` of delimited files, each column found by its
+    name in the file's own header; one that a file lacks is NULL there.
+    Outer quotes of a cell are taken off."""
+    from ..operators.headers import cell
+    rows = read_tables_with_header(spark, paths, sep)
+    bare = F.transform("header", lambda h: F.regexp_replace(F.trim(h), '^"|"$', ""))
+    value = lambda n: F.nullif(F.regexp_replace(cell(bare, F.col("cells"), n), '^"|"$', ""), F.lit(""))
+    return rows.select("file_path", *[value(n).alias(n) for n in names])
+
+
 def read_manifests(spark: SparkSession, run_paths: DataFrame | Sequence[str], name: str = "manifest.csv") -> DataFrame:
-    """One read over the manifest of every run folder (SRC4); the run
-    folder is taken from each row's source file."""
+    """One read over the manifest of every run folder (SRC4), each by its
+    own header; the run folder is taken from each row's source file."""
     if isinstance(run_paths, DataFrame):
         run_paths = [r[0] for r in run_paths.select("run_path").distinct().collect()]  # folder names only
-    files = [f"{p.rstrip('/')}/{name}" for p in run_paths]
-    if not files:
-        return spark.createDataFrame([], "run_path string, sample string, fastq_1 string, fastq_2 string")
-    df = read_csv(spark, files).withColumn("_src", F.col("_metadata.file_path"))
-    for c in ("sample", "fastq_1", "fastq_2"):
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    return df.select(F.regexp_replace(uri_text("_src"), "/[^/]+$", "").alias("run_path"), "sample", "fastq_1", "fastq_2")
+    rows = read_named(spark, [f"{p.rstrip('/')}/{name}" for p in run_paths], ["sample", "fastq_1", "fastq_2"])
+    return rows.select(F.regexp_replace("file_path", "/[^/]+$", "").alias("run_path"), "sample", "fastq_1", "fastq_2")
+
+
+def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The given folders that are there (one storage call each; run folders, not files)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for s in paths:
+        p = jvm.org.apache.hadoop.fs.Path(s)
+        if p.getFileSystem(conf).exists(p):
+            out.append(s)
+    return out
 
 
 # ------------------------------------------------------------ listings
@@ -140,42 +156,30 @@ def path_status(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------ header-per-file tables
-def read_tables_with_header(spark: SparkSession, paths: str | Sequence[str], sep: str = "\t",
-                            whole_files: bool = True) -> DataFrame:
+def read_tables_with_header(spark: SparkSession, paths: str | Sequence[str], sep: str = "\t") -> DataFrame:
     """Many delimited files, each with its own header (SRC3).
 
-    Returns ``(file_path, line_no, header, cells)``: one row per data line,
-    next to the header array of the file it came from.  Cells are split on
-    the separator (quoted separators are not supported).
-
-    ``whole_files=True`` reads each file as one value (per-run summary
-    tables are small).  ``whole_files=False`` is for large files: lines
-    are read split by split, the header of a file is the first line of
-    its split that starts at byte 0, and headers (one row per file) are
-    joined back by path; ``line_no`` is then increasing, not dense.
+    Returns ``(file_path, block, line_no, header, cells)``: one row per data
+    line, next to the header array of the file it came from.  Lines are
+    read split by split, whatever the size of a file; the header is the
+    first line of the split that starts at byte 0, and headers (one row
+    per file) are joined back by path.  ``(block, line_no)`` orders the lines of
+    a file.  Cells are split on the separator (quoted separators are not
+    supported).
     """
     files = _paths(paths)
     if not files:
-        return spark.createDataFrame([], "file_path string, line_no long, header array<string>, cells array<string>")
-    if whole_files:
-        raw = spark.read.text(files, wholetext=True).select(
-            uri_text("_metadata.file_path").alias("file_path"),
-            F.split(F.regexp_replace("value", "\r", ""), "\n", -1).alias("lines"))
-        raw = raw.select("file_path", F.split(F.col("lines")[0], sep, -1).alias("header"),
-                         F.posexplode(F.slice("lines", 2, 1 << 30)).alias("line_no", "line"))
-        return (raw.where(F.length("line") > 0)
-                .select("file_path", (F.col("line_no") + 2).cast("long").alias("line_no"), "header",
-                        F.split("line", sep, -1).alias("cells")))
+        return spark.createDataFrame([], "file_path string, block long, line_no long, header array<string>, cells array<string>")
     lines = spark.read.text(files).select(
         uri_text("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"),
         F.regexp_replace("value", "\r", "").alias("line"))
-    firsts = (lines.where(F.col("_block") == 0).groupBy("file_path")
+    firsts = (lines.where(F.col("block") == 0).groupBy("file_path")
               .agg(F.min_by("line", "line_no").alias("_h"), F.min("line_no").alias("_hno")))
     body = lines.join(firsts, "file_path").where((F.col("line_no") != F.col("_hno")) & (F.length("line") > 0))
-    return body.select("file_path", "line_no", F.split("_h", sep, -1).alias("header"),
-                       F.split("line", sep, -1).alias("cells"))
+    return body.select("file_path", "block", "line_no", F.split("_h", _re_quote(sep), -1).alias("header"),
+                       F.split("line", _re_quote(sep), -1).alias("cells"))
 
 
 def newest_file_per_key(listing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -189,25 +193,17 @@ def newest_file_per_key(listing: DataFrame, keys: Sequence[str]) -> DataFrame:
 DELIMITERS = [",", "\t", ";", "|", " "]
 
 
-def sniff_delimiters(spark: SparkSession, paths: str | Sequence[str], head: int = 10) -> DataFrame:
+def sniff_delimiters(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``(file_path, sep)``: the first candidate that occurs the same,
-    non-zero number of times on each of the first ``head`` lines (SRC17).
-    Files where no candidate qualifies get NULL."""
-    raw = spark.read.text(_paths(paths), wholetext=True).select(
-        uri_text("_metadata.file_path").alias("file_path"),
-        F.filter(F.slice(F.split(F.regexp_replace("value", "\r", ""), "\n", -1), 1, head),
-                 lambda x: F.length(x) > 0).alias("lines"))
-    choice = None
-    for d in DELIMITERS:
-        counts = F.transform("lines", _counter(d))
-        ok = (F.size("lines") > 0) & (F.array_min(counts) == F.array_max(counts)) & (F.array_min(counts) > 0)
-        choice = F.when(ok, F.lit(d)) if choice is None else choice.when(ok, F.lit(d))
-    return raw.select("file_path", choice.alias("sep"))
-
-
-def _counter(sep: str):
-    pattern = _re_quote(sep)
-    return lambda x: F.size(F.split(x, pattern, -1)) - 1
+    non-zero number of times on every line of the file outside quotes
+    (SRC17).  Files where no candidate qualifies get NULL."""
+    lines = spark.read.text(_paths(paths)).select(
+        uri_text("_metadata.file_path").alias("file_path"), F.regexp_replace("value", r'"[^"]*"|\r', "").alias("line")).where(F.length("line") > 0)
+    counts = [(F.size(F.split("line", _re_quote(d), -1)) - 1).alias(f"n{i}") for i, d in enumerate(DELIMITERS)]
+    most = lines.select("file_path", *counts).groupBy("file_path").agg(
+        *[f(f"n{i}").alias(f"{n}{i}") for i in range(len(DELIMITERS)) for n, f in (("min", F.min), ("max", F.max))])
+    same = lambda i: (F.col(f"min{i}") == F.col(f"max{i}")) & (F.col(f"min{i}") > 0)
+    return most.select("file_path", F.coalesce(*[F.when(same(i), F.lit(d)) for i, d in enumerate(DELIMITERS)]).alias("sep"))
 
 
 def _re_quote(s: str) -> str:

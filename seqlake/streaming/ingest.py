@@ -110,13 +110,15 @@ def ledgered_sink(spark: SparkSession, key: str, ledger_path: str, out_path: str
                   work: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler: rows whose ``key`` is not in the ledger are
     processed (``work``, default: kept as they are), written to
-    ``out_path/batch=<id>``, and only then their keys are written to
-    ``ledger_path/batch=<id>``.
-
-    Both writes replace the folder of their batch id.  Ledger entries of
-    the same batch id are ignored when deciding what is new, so a batch
-    replayed after a crash between the two writes redoes the same rows
-    instead of finding them "seen" and emitting nothing.
+    ``out_path/query=<query>/batch=<id>``, and only then their keys are
+    written to the same folder below ``ledger_path``.
+
+    Both writes replace the folder of their own query and batch id, so a
+    second stream or a new checkpoint, whose batch ids start at 0 again,
+    never overwrites another's rows.  Ledger entries of the same query and
+    batch are ignored when deciding what is new, so a batch replayed after
+    a crash between the two writes redoes the same rows instead of
+    finding them "seen" and emitting nothing.
     """
     jvm = spark.sparkContext._jvm
 
@@ -125,23 +127,24 @@ def ledgered_sink(spark: SparkSession, key: str, ledger_path: str, out_path: str
         return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        b = str(batch_id)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        place, b = f"query={query}/batch={batch_id}", str(batch_id)
         new = batch.dropDuplicates([key])
         if exists(ledger_path):
-            seen = spark.read.parquet(ledger_path).where(F.col("batch") != b).select(key)
+            seen = spark.read.parquet(ledger_path).where((F.col("query") != query) | (F.col("batch") != b)).select(key)
             new = new.join(seen, key, "left_anti")
         if work is not None:
             new = work(new)
-        new.write.mode("overwrite").parquet(f"{out_path}/batch={b}")
-        done = spark.read.parquet(f"{out_path}/batch={b}").select(key)   # no recomputation of the batch
-        done.write.mode("overwrite").parquet(f"{ledger_path}/batch={b}")
+        new.write.mode("overwrite").parquet(f"{out_path}/{place}")
+        done = spark.read.parquet(f"{out_path}/{place}").select(key)   # no recomputation of the batch
+        done.write.mode("overwrite").parquet(f"{ledger_path}/{place}")
 
     return handle
 
 
 def seed_ledger(ids: DataFrame, ledger_path: str, key: str) -> None:
     """Ids processed before the stream existed."""
-    ids.select(key).write.mode("overwrite").parquet(f"{ledger_path}/batch=seed")
+    ids.select(key).write.mode("overwrite").parquet(f"{ledger_path}/query=seed/batch=seed")
 
 
 # --------------------------------------------------------- uploads (STR1)
@@ -151,7 +154,7 @@ def upload_triggers(events: DataFrame, target: str | None = None, scheme: str =
     else is ignored."""
     ok = is_trigger_upload("key") if target is None else is_trigger_upload("key", target)
     return events.where(ok).select(
-        F.concat(F.lit(f"{scheme}://"), F.col("bucket"), F.lit("/"), parent_dir("key")).alias("run"),
+        F.concat(F.lit(f"{scheme}://"), F.col("bucket"), F.lit("/"), parent_dir("key"), F.lit("/")).alias("run"),
         F.lit("phoenix").alias("workflow"), "eventTime")
 
 
@@ -185,7 +188,7 @@ def stream_new_submissions(spark: SparkSession, submissions: DataFrame, entity_t
     stream = file_stream(spark, src, submissions.schema, max_files=max_files)
     run(candidates(stream, entity_types), f"{root}/checkpoint",
         sink=ledgered_sink(spark, "submission_id", ledger, out))
-    return spark.read.parquet(out).drop("batch")
+    return spark.read.parquet(out).drop("query", "batch")
 
 
 def stream_deduped_submissions(spark: SparkSession, submissions: DataFrame, lookback: str = "30 days",

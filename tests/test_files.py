@@ -102,17 +102,47 @@ def test_sniff_delimiter(spark, tmp):
     assert got == {"a.csv": ";", "b.tsv": "\t"}
 
 
-def test_header_per_file_large_mode_matches_whole(spark, tmp):
+def test_header_per_file_over_many_splits(spark, tmp):
     from seqlake.sources.files import read_tables_with_header
     body = "".join(f"S{i}\t{i}\n" for i in range(3000))
     write(f"{tmp}/a.tsv", "ID\tn\n" + body)
     write(f"{tmp}/b.tsv", "sample\tm\nX\t1\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        big = read_tables_with_header(spark, [f"{tmp}/a.tsv", f"{tmp}/b.tsv"], whole_files=False).collect()
+        big = read_tables_with_header(spark, [f"{tmp}/a.tsv", f"{tmp}/b.tsv"]).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     whole = read_tables_with_header(spark, [f"{tmp}/a.tsv", f"{tmp}/b.tsv"]).collect()
     key = lambda r: (r["file_path"], tuple(r["header"]), tuple(r["cells"]))
     assert sorted(map(key, big)) == sorted(map(key, whole))
     assert len(big) == 3001
+    lines = [r["cells"][0] for r in sorted(big, key=lambda r: (r["block"], r["line_no"])) if r["file_path"].endswith("a.tsv")]
+    assert lines == [f"S{i}" for i in range(3000)]
+
+
+def test_every_file_has_its_own_header(spark, tmp):
+    from seqlake.sources.files import read_manifests, read_named
+    write(f"{tmp}/a/manifest.csv", "sample,fastq_1,fastq_2\nS1,r1,r2\n")
+    write(f"{tmp}/b/manifest.csv", '"sample",single_end,fastq_1,fastq_2\n"S2",true,q1,\n')
+    write(f"{tmp}/c/manifest.csv", "fastq_2,fastq_1,sample\nz2,z1,S3\n")
+    got = {tuple(r)[1:] for r in read_manifests(spark, [f"{tmp}/{d}" for d in "abc"]).collect()}
+    assert got == {("S1", "r1", "r2"), ("S2", "q1", None), ("S3", "z1", "z2")}
+    write(f"{tmp}/s/1.tsv", "submissionId\tstatus\n7\tDone\n")
+    write(f"{tmp}/s/2.tsv", "status\tsubmissionId\nDone\t8\n")
+    assert sorted(r["submissionId"] for r in read_named(spark, f"{tmp}/s", ["submissionId", "status"], "\t").collect()) == ["7", "8"]
+
+
+def test_every_bad_line_is_reported(spark, tmp):
+    from seqlake.operators.samplesheet import SamplesheetError, validate_samplesheet
+    write(f"{tmp}/bad.csv", "sample,fastq_1,fastq_2\n" + "".join(f"S{i},r{i}.bam,\n" for i in range(200)))
+    with pytest.raises(SamplesheetError) as e:
+        validate_samplesheet(spark, f"{tmp}/bad.csv")
+    assert all(f"On line {i + 2}." in str(e.value) for i in range(200))
+
+
+def test_delimiter_is_judged_by_every_line(spark, tmp):
+    from seqlake.sources.files import sniff_delimiters
+    write(f"{tmp}/a.csv", "a;b\n" + "1;2\n" * 30 + "x,y;z\n" + '"q;r";s\n')
+    write(f"{tmp}/b.csv", "a,b\n" + "1,2\n" * 30 + "1;2\n")
+    got = {r["file_path"][-5:]: r["sep"] for r in sniff_delimiters(spark, f"{tmp}").collect()}
+    assert got == {"a.csv": ";", "b.csv": None}

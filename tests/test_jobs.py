@@ -144,7 +144,7 @@ def test_upload_events_stream_into_ingest(spark, tmp):
     write(f"{tmp}/events/e1.json", "\n".join(json.dumps(e) for e in events))
     stream = upload_triggers(file_stream(spark, f"{tmp}/events", UPLOAD_EVENT_SCHEMA, fmt="json"), scheme="file")
     run(stream, f"{tmp}/ckpt", sink=ingest_on_upload(spark, ingest))
-    assert seen == [("phoenix", f"file:///{key}")]
+    assert seen == [("phoenix", f"file:///{key}/")]
     moved = [p for p in os.popen(f"find {out}/data -type f").read().split() if "run=run_a" in p]
     assert len(moved) == 6   # summary + 2 tax + S1 R1/R2 + S2 R1
     run(stream, f"{tmp}/ckpt", sink=ingest_on_upload(spark, ingest))   # nothing new landed
@@ -202,3 +202,33 @@ def test_arrow_copier_matches_local_copier(spark, tmp):
     assert open(f"{tmp}/b/2/y.txt").read() == "world!"
     again = {r["dest"]: r["ok"] for r in copy_files(plan, arrow_copy, parallelism=3).collect()}
     assert again[f"{tmp}/b/1/x.txt"] is True
+
+
+def test_runs_of_one_name_and_absent_folders(spark, tmp):
+    """Two roots hold a run of the same name; a rule names a folder that no run has."""
+    from seqlake.plans.ingest_runs import ingest_runs, time_window
+    from seqlake.sources.files import read_catalog
+    for wf, s in (("phoenix", "S1"), ("mycosnp", "S2")):
+        write(f"{tmp}/{wf}/run1/manifest.csv", f"sample,fastq_1,fastq_2\n{s},{tmp}/reads/{s}_R1.fastq.gz,{tmp}/gone/{s}_R2.fastq.gz\n")
+        write(f"{tmp}/{wf}/run1/{wf}.txt", wf)
+        write(f"{tmp}/reads/{s}_R1.fastq.gz", s)
+    write(f"{tmp}/sheet.csv", f"workflow,path\nphoenix,{tmp}/phoenix\nmycosnp,{tmp}/mycosnp\n")
+    write(f"{tmp}/rules.config", "".join(f"{wf} {{\n run_files = [ '/{wf}.txt' ]\n sample_files = [ '/<sample>/assembly/x.fa' ]\n}}\n" for wf in ("phoenix", "mycosnp")))
+    res = ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", f"{tmp}/lake", time_window(now=time.time() + 60, delta=3600))
+    cat = {(r["id"], r["workflow"], r["file"]) for r in read_catalog(spark, res["catalog"]).collect()}
+    assert res["files"] == 4
+    assert cat == {("S1", "phoenix", "S1_R1.fastq.gz"), ("S2", "mycosnp", "S2_R1.fastq.gz"), ("null", "phoenix", "phoenix.txt"), ("null", "mycosnp", "mycosnp.txt")}
+    assert all(r["timestamp"].isdigit() for r in read_catalog(spark, res["catalog"]).collect())
+
+
+def test_analysis_skips_a_vanished_table(spark, tmp):
+    from seqlake.plans.analysis import build_analysis_table_from_files
+    write(f"{tmp}/lake/a/Phoenix_Summary.tsv", "ID\tAuto_QC_Outcome\tSpecies\nWA0000001\tPASS\tE c\n")
+    head = "id,workflow,run,file,timestamp,origin,current,id_alt\n"
+    write(f"{tmp}/meta.gba.csv", head + f"null,phoenix,r,f,100,o,{tmp}/lake/a/Phoenix_Summary.tsv,null\n"
+                                       f"null,phoenix,r2,f,200,o,{tmp}/lake/gone/Phoenix_Summary.tsv,null\n")
+    write(f"{tmp}/meta.fastq.csv", head)
+    write(f"{tmp}/meta.fasta.csv", head)
+    out = build_analysis_table_from_files(spark, tmp)
+    rows = [r["id"] for p in out.values() for r in spark.read.option("header", True).csv(p).collect()]
+    assert rows == ["WA0000001"]

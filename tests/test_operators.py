@@ -22,13 +22,17 @@ def test_rows_matching_latest_keeps_equal_rows(spark):
     assert got == ["1", "2"]
 
 
-def test_cap_rows(spark):
-    from seqlake.operators.latest import cap_rows
-    small = spark.range(10).withColumnRenamed("id", "x")
-    big = spark.range(11).withColumnRenamed("id", "x")
-    assert cap_rows(small, 10, 19, ["x"]).count() == 10
-    assert [r[0] for r in cap_rows(spark.range(40).withColumnRenamed("id", "x"), 10, 19, ["x"]).collect()] == list(range(19))
-    assert cap_rows(big, 10, 19, ["x"]).count() == 11
+def test_first_rows_are_marked_and_none_dropped(spark):
+    from seqlake.operators.latest import first_rows_marked
+    for n in (0, 10, 11, 19, 40):
+        got = first_rows_marked(spark.range(n).withColumnRenamed("id", "x"), "x", 19, ["x"]).collect()
+        assert sorted((r["x"], r["start"]) for r in got) == [(i, i < 19) for i in range(n)]
+
+
+def test_latest_with_null_method(spark):
+    from seqlake.operators.latest import rows_matching_latest
+    df = spark.createDataFrame([("1", None, "a", 5), ("2", "m", "a", 4), ("3", None, "a", 5)], "id string, method string, ent string, t long")
+    assert sorted(r["id"] for r in rows_matching_latest(df, ["ent"], ["method", "t"], ["t"], ["id"]).collect()) == ["1", "3"]
 
 
 def test_group_row_number_matches_brute_force_under_skew(spark):
@@ -92,8 +96,8 @@ def test_expand_rules_unknown_workflow_keeps_reads(spark):
     from seqlake.operators.retention import expand_rules
     runs = spark.createDataFrame([("r1", "phoenix", "/runs/r1"), ("r2", "other", "/runs/r2")],
                                  "run string, workflow string, run_path string")
-    man = spark.createDataFrame([("r1", "S1", "/reads/S1_1.fq.gz", None), ("r2", "S2", "/reads/S2_1.fq.gz", "/reads/S2_2.fq.gz")],
-                                "run string, sample string, fastq_1 string, fastq_2 string")
+    man = spark.createDataFrame([("/runs/r1", "S1", "/reads/S1_1.fq.gz", None), ("/runs/r2", "S2", "/reads/S2_1.fq.gz", "/reads/S2_2.fq.gz")],
+                                "run_path string, sample string, fastq_1 string, fastq_2 string")
     rules = spark.createDataFrame([("phoenix", "run_files", "/sum.tsv"), ("phoenix", "sample_files", "/<sample>/<sample>.tax")],
                                   "workflow string, kind string, pattern string")
     got = sorted((r["run"], r["sample"] or "", r["file"]) for r in expand_rules(runs, man, rules).collect())
@@ -102,13 +106,13 @@ def test_expand_rules_unknown_workflow_keeps_reads(spark):
 
 
 def test_samplesheet_rules(spark):
-    from seqlake.operators.samplesheet import MSG_EXT, MSG_FIRST, MSG_PAIR, MSG_SAMPLE, sheet_errors, sheet_valid
+    from seqlake.operators.samplesheet import MSG_EXT, MSG_FIRST, MSG_FORMATS, MSG_PAIR, MSG_SAMPLE, sheet_errors, sheet_valid
     df = spark.createDataFrame([
         (2, "a b", "x_1.fastq.gz", "x_2.fastq.gz"), (3, "", "y.fq.gz", None), (4, "c", "", None),
         (5, "d", "z.bam", None), (6, "e", "z_1.fq.gz", "z_2.fastq.gz"), (7, "a b", "w_1.fq.gz", ""),
     ], "line long, sample string, fastq_1 string, fastq_2 string")
     errs = {r["line"]: r["error"] for r in sheet_errors(df).collect()}
-    assert errs == {3: MSG_SAMPLE, 4: MSG_FIRST, 5: MSG_EXT + "z.bam", 6: MSG_PAIR}
+    assert errs == {3: MSG_SAMPLE, 4: MSG_FIRST, 5: MSG_EXT + "z.bam" + MSG_FORMATS, 6: MSG_PAIR}
     ok = {r["line"]: (r["sample"], r["single_end"]) for r in sheet_valid(df).collect()}
     assert ok[2] == ("a_b_T1", False) and ok[7] == ("a_b_T2", True)
     assert sheet_valid(df).columns[:2] == ["sample", "single_end"]

@@ -54,15 +54,3 @@ def test_rule_table_is_broadcast(spark):
     from seqlake.registry import QUERIES
     p = plan(QUERIES["retention_candidates"](spark, SF))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-
-
-def test_spread_only_mid_sized_inputs(spark):
-    from seqlake.sources.derived import spread
-    raw = spark.read.parquet(f"{SF}/lineitem.parquet")
-    assert "RoundRobinPartitioning" not in plan(spread(raw))                 # tiny: left alone
-    assert "RoundRobinPartitioning" in plan(spread(raw, min_bytes=0))        # single split, spread
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
-    try:
-        assert "RoundRobinPartitioning" not in plan(spread(raw, min_bytes=0))  # scan already splits it
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -44,11 +44,24 @@ def test_replayed_batch_is_idempotent(spark, tmp):
     assert spark.read.parquet(f"{tmp}/out").count() == 5
 
 
+def test_two_streams_on_one_ledger_keep_all_rows(spark, tmp):
+    from seqlake.streaming.ingest import file_stream, land, ledgered_sink, run
+    subs = _subs(spark, 10)
+    sink = ledgered_sink(spark, "submission_id", f"{tmp}/ledger", f"{tmp}/out")
+    land(subs.where("cast(submission_id as int) < 6"), f"{tmp}/one", 1)
+    land(subs.where("cast(submission_id as int) >= 4"), f"{tmp}/two", 1)
+    run(file_stream(spark, f"{tmp}/one", subs.schema), f"{tmp}/ckpt1", sink=sink)
+    run(file_stream(spark, f"{tmp}/two", subs.schema), f"{tmp}/ckpt2", sink=sink)     # its batch ids start at 0 again
+    got = spark.read.parquet(f"{tmp}/out")
+    assert sorted(int(r[0]) for r in got.select("submission_id").collect()) == list(range(10))
+    assert got.select("query").distinct().count() == 2
+
+
 def test_upload_trigger_filter(spark):
     from seqlake.streaming.ingest import upload_triggers
     ev = spark.createDataFrame([("b", "runs/r1/Phoenix_Summary.tsv", None), ("b", "runs/r1/other.tsv", None),
                                 ("b", "runs/r2/x/Phoenix_Summary.tsv", None)], "bucket string, key string, eventTime timestamp")
-    assert sorted(r["run"] for r in upload_triggers(ev).collect()) == ["s3://b/runs/r1", "s3://b/runs/r2/x"]
+    assert sorted(r["run"] for r in upload_triggers(ev).collect()) == ["s3://b/runs/r1/", "s3://b/runs/r2/x/"]
 
 
 def test_redelivered_records_dedupe_across_batches(spark, tmp):
