@@ -27,7 +27,6 @@ def components(links: DataFrame) -> DataFrame:
         # written, so that Spark can split the links of a node with very many neighbours in the joins
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large, "links-large")
         small = written(large.groupBy("u").agg(F.min("v").alias("m")), "links-small")
         moved = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = written(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "links")
