@@ -479,3 +479,63 @@ ORACLE["sheet_valid_skewed"] = _w(SKEWED_SHEET, """
 ORACLE["sheet_duplicates_skewed"] = _w(SKEWED_SHEET, """
     SELECT replace(sample, ' ', '_') AS sample, fastq_1, count(*) AS n FROM ssheet
     GROUP BY 1, 2 HAVING count(*) > 1""")
+
+
+# -------------------------------------------------- further operators
+ORACLE["manifest_headers"] = _w(RETENTION, "SELECT run, sample, fastq_1, fastq_2 FROM manifest")
+ORACLE["newest_cache"] = """
+    SELECT workspace, path, modified_ms FROM (
+      SELECT *, row_number() OVER (PARTITION BY workspace ORDER BY modified_ms DESC, path) AS rn FROM (
+        SELECT concat('ws_', CAST(user_id % 20 AS VARCHAR)) AS workspace,
+               concat('cache/ws_', CAST(user_id % 20 AS VARCHAR), '/', CAST(event_id AS VARCHAR), '.tsv') AS path,
+               (event_id // 2) * 1000 AS modified_ms FROM events)) WHERE rn = 1"""
+EXPORTED = """
+exported AS (
+  SELECT 'wf' AS workflow, concat('plate_', CAST(p_size % 4 AS VARCHAR)) AS run, concat('S', CAST(p_partkey AS VARCHAR)) AS sample,
+         concat('gs://bkt/', CAST(p_partkey AS VARCHAR), '.fa.gz') AS file, p_partkey FROM part)"""
+ORACLE["table_uris"] = _w(EXPORTED, "SELECT workflow, run, sample, file FROM exported")
+ORACLE["workspace_plan"] = _w(EXPORTED + """,
+kept AS (
+  SELECT DISTINCT workflow, run, sample, file AS origin, CAST(p_partkey + 1700000001 AS VARCHAR) AS timestamp
+  FROM exported WHERE p_partkey % 3 <> 0
+  UNION ALL
+  SELECT DISTINCT workflow, run, CAST(NULL AS VARCHAR), concat('/tables/', run, '.tsv'), '1700000000' FROM exported),
+named AS (SELECT *, regexp_extract(origin, '([^/]+)$', 1) AS file FROM kept)""", """
+    SELECT run, workflow, sample, origin, file, timestamp,
+           concat('s3://results/data/id=', coalesce(sample, 'null'), '/workflow=', workflow, '/run=', run, '/file=', file,
+                  '/timestamp=', timestamp, '/', file) AS dest
+    FROM named""")
+ORACLE["run_level_present"] = _w(META, """
+    SELECT DISTINCT * FROM meta WHERE id = 'null' AND CAST(regexp_extract(run, '([0-9]+)$', 1) AS INTEGER) % 3 <> 0""")
+ORACLE["tables_without_sets"] = _w(SUBS, "SELECT DISTINCT entity_raw FROM subs WHERE NOT contains(entity_raw, '_set')")
+ORACLE["entity_subset"] = """
+    SELECT s_name AS supplier_id, CAST(s_nationkey AS VARCHAR) AS nation,
+           CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE concat('gs://bkt/suppliers/', CAST(s_suppkey AS VARCHAR), '.tsv') END AS report,
+           CAST(ceil((SELECT count(*) FROM supplier) / 1000.0) AS BIGINT) AS pages
+    FROM supplier"""
+ORACLE["workspaces_checked"] = _w(SUBS, """
+    SELECT submission_id, unnest([method, entity_raw, 'ws']) AS workspace FROM subs""")
+ORACLE["text_forms"] = """
+    SELECT event_id, concat(event_type, ' ', CAST(event_id AS VARCHAR)) AS collapsed,
+           concat(CASE WHEN event_id % 3 = 2 THEN 's3://b/' ELSE '/a/' END, CAST(event_id AS VARCHAR)) AS path_text,
+           epoch_us(ts) AS micros, CAST(user_id AS VARCHAR) AS value_text
+    FROM events"""
+ORACLE["transfer_plan_shared_names"] = _w(RETENTION, """
+    SELECT concat('s3://prod/runs/', m.run) AS run_path, m.run, 'phoenix' AS workflow, m.sample,
+           regexp_extract(replace(r.pattern, '<sample>', m.sample), '([^/]+)$', 1) AS file
+    FROM manifest m JOIN rules r ON r.kind = 'sample_files' AND r.workflow = 'phoenix'
+    WHERE m.c_custkey % 3 <> 0
+    UNION ALL
+    SELECT DISTINCT concat('s3://prod/runs/', m.run), m.run, 'phoenix', CAST(NULL AS VARCHAR), regexp_extract(r.pattern, '([^/]+)$', 1)
+    FROM manifest m JOIN rules r ON r.kind = 'run_files' AND r.workflow = 'phoenix'
+    UNION ALL
+    SELECT concat('s3://prod/runs/', run), run, 'phoenix', sample, regexp_extract(fastq_1, '([^/]+)$', 1) FROM manifest WHERE c_custkey % 3 <> 0
+    UNION ALL
+    SELECT concat('s3://prod/runs/', run), run, 'phoenix', sample, regexp_extract(fastq_2, '([^/]+)$', 1) FROM manifest
+    WHERE c_custkey % 3 <> 0 AND fastq_2 IS NOT NULL
+    UNION ALL
+    SELECT concat('s3://prod/alt/run_', CAST(s_nationkey AS VARCHAR)), concat('run_', CAST(s_nationkey AS VARCHAR)), 'mycosnp', s_name,
+           concat(s_name, '_R1.fastq.gz') FROM supplier WHERE s_suppkey % 2 = 0""")
+ORACLE["results_to_analysis"] = f"""
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id DESC) AS rn FROM ({ORACLE["resolve_headers"]})) WHERE rn = 1"""

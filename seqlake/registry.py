@@ -400,3 +400,95 @@ def sheet_valid_skewed(spark, sf):
 def sheet_duplicates_skewed(spark, sf):
     from .operators.samplesheet import sheet_duplicates as sd
     return sd(d.skewed_sheet(spark, sf))
+
+
+# ------------------------------------------------------ further operators
+@query("manifest_headers")
+def manifest_headers(spark, sf):
+    """Manifest columns found by name in each file's own header."""
+    from .sources.files import named_cells
+    return named_cells(d.manifest_lines(spark, sf), ["sample", "fastq_1", "fastq_2"], keep=["run"])
+
+
+@query("newest_cache")
+def newest_cache(spark, sf):
+    from .sources.files import newest_file_per_key
+    return newest_file_per_key(d.cache_listing(spark, sf), ["workspace"])
+
+
+@query("table_uris")
+def table_uris(spark, sf):
+    from .plans.ingest_workspace import table_uris as tu
+    return tu(d.exported_tables(spark, sf))
+
+
+@query("workspace_plan")
+def workspace_plan(spark, sf):
+    from .plans.ingest_workspace import plan_workspace
+    return plan_workspace(d.exported_tables(spark, sf), d.table_files(spark, sf), d.table_objects(spark, sf), d.LAKE_ROOT)
+
+
+@query("run_level_present")
+def run_level_present(spark, sf):
+    from .operators.joins import present_in
+    m = d.meta(spark, sf).where(F.col("id") == "null").distinct()
+    return present_in(m, d.lake_objects(spark, sf), ["current"], ["path"])
+
+
+@query("tables_without_sets")
+def tables_without_sets(spark, sf):
+    from .functions.predicates import not_set_table
+    return d.submissions(spark, sf).select("entity_raw").distinct().where(not_set_table("entity_raw"))
+
+
+@query("entity_subset")
+def entity_subset(spark, sf):
+    """Attributes asked for, in source order, with the number of pages that the count makes."""
+    from .operators.reshape import entity_attributes, entity_table, page_count
+    id_name, attrs, n = entity_attributes(d.entity_type_meta(spark, sf), "supplier", ["report", "nation", "absent"])
+    return entity_table(d.entity_pages(spark, sf), id_name, attrs).withColumn("pages", F.lit(page_count(n, d.PAGE_SIZE)).cast("long"))
+
+
+@query("workspaces_checked")
+def workspaces_checked(spark, sf):
+    """A list of workspaces per user, split, and the new submissions of each."""
+    from .operators.reshape import explode_list
+    lists = d.submissions(spark, sf).select("submission_id", F.concat("method", F.lit(", "), "entity_raw", F.lit(",ws")).alias("workspaces"))
+    return explode_list(lists, "workspaces", out="workspace").select("submission_id", "workspace")
+
+
+@query("text_forms")
+def text_forms(spark, sf):
+    """Collapsed blanks, paths as text, ISO times and values as text."""
+    from .functions.paths import uri_text
+    from .functions.text import collapse_ws
+    from .functions.timefmt import epoch_micros, parse_iso
+    e = d.table(spark, sf, "events")
+    eid = F.col("event_id").cast("string")
+    path = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("file:///a/"), eid)).when(
+        F.col("event_id") % 3 == 1, F.concat(F.lit("file:/a/"), eid)).otherwise(F.concat(F.lit("s3://b/"), eid))
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    return e.select("event_id", collapse_ws(F.concat(F.lit("  "), "event_type", F.lit(" \t\n "), eid, F.lit(" "))).alias("collapsed"),
+                    uri_text(path).alias("path_text"), epoch_micros(parse_iso(iso)).alias("micros"),
+                    F.col("user_id").cast("string").alias("value_text"))
+
+
+@query("transfer_plan_shared_names")
+def transfer_plan_shared_names(spark, sf):
+    """Kept files of two roots whose run folders have the same names; one root lacks the rules' folders."""
+    from .functions.paths import base_name
+    from .operators.retention import existing_files, expand_rules
+    runs, rows, listing = d.alt_runs(spark, sf)
+    expanded = expand_rules(d.manifest_runs(spark, sf).select("run", "workflow", "run_path").unionByName(runs),
+                            d.manifest_rows(spark, sf).unionByName(rows), d.rules(spark))
+    kept = existing_files(expanded, d.source_listing(spark, sf).unionByName(listing))
+    return kept.select("run_path", "run", "workflow", "sample", base_name("file").alias("file"))
+
+
+@query("results_to_analysis")
+def results_to_analysis(spark, sf):
+    """Result rows with varying headers, all fields resolved, newest row per sample."""
+    from .operators.headers import resolve_results
+    from .operators.latest import latest_by
+    rows = resolve_results(d.header_rows(spark, sf), keep=["event_id"])
+    return latest_by(rows, ["id"], ["event_id"])

@@ -383,3 +383,69 @@ def skewed_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") % 2 == 0, F.lit(""))
          .otherwise(F.concat(F.lit("r"), _s(F.col("l_partkey") % 500), F.lit("_2.fastq.gz"))).alias("fastq_2"),
     )
+
+
+# ------------------------------------------------- rows of further operators
+def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest rows with the header of their file; three files' headers differ in order and columns."""
+    m = manifest(spark, sf_dir)
+    k = F.col("c_custkey") % 3
+    f2 = F.coalesce("fastq_2", F.lit(""))
+    lit = lambda *xs: F.array(*[F.lit(x) for x in xs])
+    return m.select(
+        "run",
+        F.when(k == 0, lit("sample", "fastq_1", "fastq_2")).when(k == 1, lit("sample", "single_end", "fastq_1", "fastq_2"))
+         .otherwise(lit("fastq_2", '"fastq_1"', "sample")).alias("header"),
+        F.when(k == 0, F.array("sample", "fastq_1", f2)).when(k == 1, F.array(F.col("sample"), F.lit("x"), F.col("fastq_1"), f2))
+         .otherwise(F.array(f2, F.concat(F.lit('"'), "fastq_1", F.lit('"')), F.col("sample"))).alias("cells"))
+
+
+def cache_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cached summary files of each workspace; two files in a row share a time."""
+    e = table(spark, sf_dir, "events")
+    ws = F.concat(F.lit("ws_"), _s(F.col("user_id") % 20))
+    return e.select(ws.alias("workspace"), F.concat(F.lit("cache/"), ws, F.lit("/"), _s(F.col("event_id")), F.lit(".tsv")).alias("path"),
+                    (F.floor(F.col("event_id") / 2) * 1000).alias("modified_ms"))
+
+
+def exported_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of exported workspace tables; the id column is named after the table and stands first or last."""
+    p = table(spark, sf_dir, "part")
+    run = F.concat(F.lit("plate_"), _s(F.col("p_size") % 4))
+    name = F.concat(F.lit("S"), _s(F.col("p_partkey")))
+    uri = F.concat(F.lit(WIDE_BUCKET + "/"), _s(F.col("p_partkey")), F.lit(".fa.gz"))
+    first = F.col("p_partkey") % 2 == 0
+    return p.select(
+        F.lit("wf").alias("workflow"), run.alias("run"), F.concat(F.lit("/tables/"), run, F.lit(".tsv")).alias("file_path"),
+        F.when(first, F.array(F.concat(run, F.lit("_id")), F.lit("fa"), F.lit("note"))).otherwise(
+            F.array(F.lit("note"), F.lit("fa"), F.concat(run, F.lit("_id")))).alias("header"),
+        F.when(first, F.array(name, uri, F.col("p_type"))).otherwise(F.array(F.col("p_type"), uri, name)).alias("cells"))
+
+
+def table_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects there are: files of parts whose key 3 does not divide, with fractional times."""
+    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 != 0)
+    return p.select(F.concat(F.lit(WIDE_BUCKET + "/"), _s(F.col("p_partkey")), F.lit(".fa.gz")).alias("path"),
+                    (F.col("p_partkey") * 1000 + 1700000000500).alias("modified_ms"))
+
+
+def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported table files themselves."""
+    t = exported_tables(spark, sf_dir).select("workflow", "run", F.col("file_path").alias("file")).distinct()
+    return t.withColumn("modified_ms", F.lit(1700000000499).cast("long"))
+
+
+def lake_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing of lake objects: those of every run but run_0, run_3, ..."""
+    m = meta(spark, sf_dir)
+    return m.where(F.regexp_extract("run", r"(\d+)$", 1).cast("int") % 3 != 0).select(F.col("current").alias("path")).distinct()
+
+
+def alt_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(runs, manifest rows, listing) of a second root whose run folders have the names of the first; its samples are suppliers."""
+    s = table(spark, sf_dir, "supplier")
+    root = F.concat(F.lit(SOURCE_ROOT + "/alt/run_"), _s(F.col("s_nationkey")))
+    reads = F.concat(F.lit(READS_ROOT + "/"), "s_name", F.lit("_R1.fastq.gz"))
+    runs = s.select(F.concat(F.lit("run_"), _s(F.col("s_nationkey"))).alias("run"), F.lit("mycosnp").alias("workflow"), root.alias("run_path")).distinct()
+    rows = s.select(root.alias("run_path"), F.col("s_name").alias("sample"), reads.alias("fastq_1"), F.lit(None).cast("string").alias("fastq_2"))
+    return runs, rows, s.where(F.col("s_suppkey") % 2 == 0).select(reads.alias("path"))

@@ -70,11 +70,16 @@ def read_named(spark: SparkSession, paths: str | Sequence[str], names: Sequence[
     """``(file_path, *names)`` of delimited files, each column found by its
     name in the file's own header; one that a file lacks is NULL there.
     Outer quotes of a cell are taken off."""
+    return named_cells(read_tables_with_header(spark, paths, sep), names, keep=["file_path"])
+
+
+def named_cells(rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Columns ``names`` of rows ``(header, cells)``, found by name in each
+    row's own header; absent or empty ones are NULL."""
     from ..operators.headers import cell
-    rows = read_tables_with_header(spark, paths, sep)
     bare = F.transform("header", lambda h: F.regexp_replace(F.trim(h), '^"|"$', ""))
     value = lambda n: F.nullif(F.regexp_replace(cell(bare, F.col("cells"), n), '^"|"$', ""), F.lit(""))
-    return rows.select("file_path", *[value(n).alias(n) for n in names])
+    return rows.select(*keep, *[value(n).alias(n) for n in names])
 
 
 def read_manifests(spark: SparkSession, run_paths: DataFrame | Sequence[str], name: str = "manifest.csv") -> DataFrame:
