@@ -44,28 +44,29 @@ def cell(header: Column, cells: Column, name: str) -> Column:
     return F.when(pos_from_end > 0, F.try_element_at(cells, idx.cast("int")))
 
 
-def first_present(header: Column, cells: Column, names: Sequence[str]) -> Column:
-    """The first header *present* decides; its empty value gives NULL
-    (no fallback to the next header)."""
-    out = None
-    for n in names:
-        cond = F.array_contains(header, F.lit(n))
-        v = F.nullif(cell(header, cells, n), F.lit(""))
-        out = F.when(cond, v) if out is None else out.when(cond, v)
-    return out
-
-
-def row_id(header: Column, cells: Column) -> Column:
-    """``ID`` column if the header has one, else the first column."""
-    return F.when(F.array_contains(header, F.lit(ID_HEADER)), cell(header, cells, ID_HEADER)) \
-        .otherwise(F.try_element_at(cells, F.lit(1)))
-
-
 def resolve_results(rows: DataFrame, header: str = "header", cells: str = "cells",
                     alternatives: Mapping[str, Sequence[str]] = ALTERNATIVES,
                     keep: Sequence[str] = ()) -> DataFrame:
     """Uniform result columns: ``id`` (normalised), then one column per
     field, each sanitised (``,`` -> ``;``, space -> ``_``)."""
     h, c = F.col(header), F.col(cells)
-    fields = [sanitize(first_present(h, c, names)).alias(out) for out, names in alternatives.items()]
-    return rows.select(*keep, normalize_sample_id(row_id(h, c)).alias("id"), *fields)
+    names = list(dict.fromkeys([ID_HEADER, *(n for alt in alternatives.values() for n in alt)]))
+    # every name is looked up once; the fields then only pick positions, which keeps the generated code small
+    place = F.transform(F.array(*[F.lit(n) for n in names]), lambda n: F.array_position(F.reverse(h), n))
+    rows = rows.withColumn("_place", place).withColumn("_last", F.size(h) + 1)
+
+    def value(name: str) -> Column:
+        return F.try_element_at(c, (F.col("_last") - F.col("_place")[names.index(name)]).cast("int"))
+
+    def there(name: str) -> Column:
+        return F.col("_place")[names.index(name)] > 0
+
+    def first(alt: Sequence[str]) -> Column:
+        out = None
+        for n in alt:
+            v = F.nullif(value(n), F.lit(""))
+            out = F.when(there(n), v) if out is None else out.when(there(n), v)
+        return out
+
+    ident = F.when(there(ID_HEADER), value(ID_HEADER)).otherwise(F.try_element_at(c, F.lit(1)))
+    return rows.select(*keep, normalize_sample_id(ident).alias("id"), *[sanitize(first(alt)).alias(out) for out, alt in alternatives.items()])
