@@ -389,8 +389,9 @@ def test_pipeline_stages(spark):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         kept[name] = {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert kept["substrings"] <= kept["near_duplicates"] <= kept["toxicity"] <= kept["language"]
-    texts = [r["text"].lower() for r in docs.collect()]
-    assert len(set(texts)) == len(texts)
+    # what is left of two cut documents may be alike if it is shorter than a passage
+    texts = [t for r in docs.collect() if len((t := r["text"].lower()).split()) >= op07_substring.MIN_WORDS]
+    assert len(set(texts)) == len(texts) > 500
     packed = corpus_pipeline.packing(spark, docs, sf)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == kept["substrings"]
 
