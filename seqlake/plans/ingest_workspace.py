@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import base_name
-from ..functions.predicates import has_uri
-from ..operators.joins import present_in
+from ..functions.predicates import absent, has_uri
+from ..sinks.ledger import read_ledger, record
+from ..operators.joins import missing_from, present_in
 from .ingest_runs import catalog_rows, pending_transfers, transfer_plan
-from .submissions import tables_to_export
+from .submissions import retained_summary, tables_to_export
 
 
 def table_uris(tables: DataFrame, marker: str = "gs://", explode_lists: bool = False) -> DataFrame:
@@ -64,12 +65,15 @@ def plan_workspace(tables: DataFrame, table_files: DataFrame, objects: DataFrame
 
 def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str, outdir: str, objects: DataFrame,
                             cache: DataFrame | None = None, copier=None, run_id: str | None = None,
-                            marker: str = "gs://") -> dict:
+                            marker: str = "gs://", ledger_path: str | None = None) -> dict:
     """Run JOB2 over landed files.
 
     Layout under ``landing``: ``summary/<project>/<workspace>.tsv`` (monitor
     summaries) and ``tables/<project>/<workspace>/<table>.tsv`` (exports).
     ``cache``: ``(project, workspace, submissionId)`` already ingested.
+    ``ledger_path``: a ledger of the same columns, read in place of ``cache``;
+    the submissions of this run are appended once every copy succeeded, so a
+    failed run is repeated and a finished one is not.
     """
     from ..sinks.copy import copy_files, local_copy
     from ..sinks.writers import append_if_any, write_table
@@ -85,6 +89,9 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
     summary = src.read_named(spark, f"{land}/summary/*/*.tsv", names, sep="\t").withColumnRenamed("file_path", "_src")
     summary = summary.withColumn("project", F.regexp_extract("_src", r"/summary/([^/]+)/[^/]+\.tsv$", 1)) \
         .withColumn("workspace", F.regexp_extract("_src", r"/summary/[^/]+/([^/]+)\.tsv$", 1)).drop("_src")
+    ids = ["project", "workspace", "submissionId"]
+    if ledger_path is not None:
+        cache = read_ledger(spark, ledger_path, ids)
     if cache is None:
         cache = spark.createDataFrame([], "project string, workspace string, submissionId string")
     wanted = tables_to_export(sheet, summary, cache)
@@ -114,6 +121,9 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
     status = spark.read.parquet(f"{out}/plans/{run_id}/status")
     moved = pending.join(status.where("ok").select("dest"), "dest", "left_semi")
     wrote = append_if_any(catalog_rows(moved), f"{out}/meta/{run_id}.csv")
+    if ledger_path is not None and status.where("NOT ok").isEmpty():
+        asked = present_in(summary, sheet.where(absent("run")), ["project", "workspace"])
+        record(missing_from(retained_summary(asked), cache, ids).select(*ids).distinct(), ledger_path, ids)
     return {"run_id": run_id, "files": moved.count(), "catalog": f"{out}/meta/{run_id}.csv" if wrote else None}
 
 

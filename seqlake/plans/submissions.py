@@ -122,6 +122,18 @@ def entity_types_from_json(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(F.map_keys(m)).alias("entity_type")).distinct()
 
 
+def check_workspaces(spark, workspaces: str, landing: str, ledger_path: str, project: str, outdir: str) -> DataFrame:
+    """JOB6 for a comma-separated list of workspaces, whose documents lie in
+    ``<landing>/<workspace>/submissions.json`` and ``entities.json``."""
+    root, out = landing.rstrip("/"), None
+    for ws in dict.fromkeys(w.strip() for w in workspaces.split(",") if w.strip()):
+        part = check_submissions(spark, f"{root}/{ws}/submissions.json", f"{root}/{ws}/entities.json", ledger_path, project, ws, outdir)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no workspace is named")
+    return out
+
+
 def check_submissions(spark, submissions_json: str, entity_types_json: str, ledger_path: str,
                       project: str, workspace: str, outdir: str) -> DataFrame:
     """JOB6 against files: the work items for new submissions (nothing is

@@ -87,6 +87,19 @@ def test_check_submissions_and_ledger(spark, tmp):
     assert check_submissions(spark, f"{tmp}/subs.json", f"{tmp}/types.json", f"{tmp}/ledger", "p", "w", "o").count() == 0
 
 
+def test_check_of_several_workspaces(spark, tmp):
+    import json
+
+    from seqlake.plans.submissions import check_workspaces
+    for ws in ("a", "b"):
+        write(f"{tmp}/{ws}/submissions.json", json.dumps([
+            {"submissionId": f"s_{ws}", "methodConfigurationName": "m", "submissionEntity": {"entityType": "sample"},
+             "submissionDate": "2024-01-02T00:00:00.000000Z", "status": "Done", "workflowStatuses": {"Succeeded": 2}}]))
+        write(f"{tmp}/{ws}/entities.json", json.dumps({"sample": {"count": 3, "idName": "sample_id"}}))
+    got = check_workspaces(spark, "a, b,a", tmp, f"{tmp}/ledger", "p", "s3://out").collect()
+    assert sorted((r["workspace"], r["submission_id"], r["start"]) for r in got) == [("a", "s_a", True), ("b", "s_b", True)]
+
+
 def test_catalog_and_analysis_table_from_files(spark, tmp):
     from seqlake.plans.analysis import build_analysis_table_from_files
     from seqlake.plans.catalog import build_catalog

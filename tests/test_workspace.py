@@ -29,6 +29,31 @@ def test_ingest_workspace_tables(spark, tmp):
     assert again["files"] == 0
 
 
+def test_workspace_ledger_is_written_after_success(spark, tmp):
+    from seqlake.plans.ingest_workspace import ingest_workspace_tables
+    from seqlake.sinks.copy import local_copy
+    from seqlake.sinks.ledger import read_ledger
+    from seqlake.sources.files import list_files
+    ids = ["project", "workspace", "submissionId"]
+    write(f"{tmp}/gs/S1.fa", "a")
+    write(f"{tmp}/sheet.csv", "project,workspace,workflow,run\np,w,wf_a,\n")
+    # columns in another order than usual
+    write(f"{tmp}/land/summary/p/w.tsv", "status\tsubmissionId\tworkflowStatuses\tsubmissionEntity\nDone\ts1\t{'Succeeded': 2}\tsample:n1\nDone\ts2\t{'Failed': 1}\tsample:n2\n")
+    write(f"{tmp}/land/tables/p/w/sample.tsv", f"sample_id\tassembly\nS1\t{tmp}/gs/S1.fa\n")
+    objects = list_files(spark, f"{tmp}/gs").select("path", "modified_ms")
+    go = lambda out, copier: ingest_workspace_tables(
+        spark, f"{tmp}/sheet.csv", f"{tmp}/land", f"{tmp}/{out}", objects, copier=copier, marker=f"{tmp}/gs", ledger_path=f"{tmp}/ledger")
+
+    def broken(origin, dest):
+        raise OSError("no space")
+
+    assert go("one", broken)["files"] == 0
+    assert read_ledger(spark, f"{tmp}/ledger", ids).count() == 0          # nothing succeeded: the run is repeated
+    assert go("one", local_copy)["files"] == 2
+    assert [tuple(r) for r in read_ledger(spark, f"{tmp}/ledger", ids).collect()] == [("p", "w", "s1")]
+    assert go("two", local_copy)["files"] == 0                            # another lake, but the submission is done
+
+
 def test_lake_catalog_keeps_text(spark, tmp):
     from seqlake.sources.files import lake_catalog
     write(f"{tmp}/lake/data/id=0001/workflow=w/run=r/file=a.tsv/timestamp=1700000000.5/a.tsv", "x")
