@@ -52,11 +52,11 @@ def resolve_results(rows: DataFrame, header: str = "header", cells: str = "cells
     h, c = F.col(header), F.col(cells)
     names = list(dict.fromkeys([ID_HEADER, *(n for alt in alternatives.values() for n in alt)]))
     # every name is looked up once; the fields then only pick positions, which keeps the generated code small
-    place = F.transform(F.array(*[F.lit(n) for n in names]), lambda n: F.array_position(F.reverse(h), n))
-    rows = rows.withColumn("_place", place).withColumn("_last", F.size(h) + 1)
+    rows = rows.withColumns({"_back": F.reverse(h), "_last": F.size(h) + 1})
+    rows = rows.withColumn("_place", F.array(*[F.array_position("_back", F.lit(n)).cast("int") for n in names]))
 
     def value(name: str) -> Column:
-        return F.try_element_at(c, (F.col("_last") - F.col("_place")[names.index(name)]).cast("int"))
+        return F.try_element_at(c, F.col("_last") - F.col("_place")[names.index(name)])
 
     def there(name: str) -> Column:
         return F.col("_place")[names.index(name)] > 0
