@@ -272,6 +272,38 @@ def test_passages_are_found_and_others_left(spark):
     assert {d for d, _ in got} == {2, 5, 8, 9, *range(100, 160)}
 
 
+def changed(text: str, at: list[int], tag: str) -> str:
+    w = text.split()
+    for k in at:
+        w[k] = f"{tag}{k}"
+    return " ".join(w)
+
+
+def test_passages_of_the_promised_share_are_found(spark):
+    """Passages of 50 to 100 words of which 80 percent match, whatever the pattern of the changed words."""
+    r = random.Random(70)
+    patterns = [(60, range(4, 60, 5)), (100, range(4, 100, 5)), (60, range(6, 60, 7)), (60, range(9, 60, 10)), (100, range(45, 55)), (60, range(40, 50))]
+    patterns += [(n, sorted(r.sample(range(n), n * share // 100))) for n in (50, 60, 100) for share in (5, 10, 15, 20) for _ in range(10)]
+    rows = []
+    for k, (n, at) in enumerate(patterns):
+        p = words(3000 + k, n)
+        rows += [(k, f"{words(4000 + k, 30)} {p} {words(5000 + k, 30)}"), (1000 + k, f"{words(6000 + k, 40)} {changed(p, at, f'x{k}y')} {words(7000 + k, 20)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {}
+    for x in op07_substring.passages(df).collect():
+        assert x["match"] >= op07_substring.MIN_MATCH and x["end_word"] - x["start_word"] >= op07_substring.MIN_WORDS
+        got.setdefault((x["doc_id"], x["source_id"]), []).append((x["start_word"], x["end_word"]))
+    missed = []
+    for k, (n, at) in enumerate(patterns):
+        # words of the passage between its first and last match that a span of 80 percent and 50 words needs
+        kept = [i for i in range(n) if i not in set(at)]
+        if kept[-1] - kept[0] + 1 >= 50 and not got.get((1000 + k, k)):
+            missed.append((k, n, len(at)))
+    assert not missed
+    assert {d - 1000 for d, _ in got} == {s for _, s in got}
+    assert got[1004, 4] == [(40, 140)] and got[1005, 5] == [(40, 100)]
+
+
 def test_removal(spark, edge):
     p = words(801, 60)
     df = spark.createDataFrame([(1, f"{p} x", 1), (2, f"a  b\n{p} c d", 2), (3, p, 3), (4, None, 4)], "doc_id long, text string, n_chars long")
