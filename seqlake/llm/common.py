@@ -26,6 +26,8 @@ SLICE_BYTES = 1 << 20
 HELD_OUT = 2
 
 
+#: Whether Spark deletes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows per Arrow batch, where the session has Spark's default: texts may be long.
 BATCH_ROWS = 1000
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
@@ -93,10 +95,15 @@ def new_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again, which cuts the lineage.
 
-    The read has the written schema, so an empty table stays readable.
+    The shuffle files of the write go when it is done.  The read has the written schema, so an empty table stays readable.
     """
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(SHUFFLE_CLEANUP)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

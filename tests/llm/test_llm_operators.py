@@ -304,6 +304,34 @@ def test_passages_of_the_promised_share_are_found(spark):
     assert got[1004, 4] == [(40, 140)] and got[1005, 5] == [(40, 100)]
 
 
+def test_every_repeated_window_is_covered(spark):
+    """Exact 50-word windows of an earlier document lie in passages, also where other documents have parts of them."""
+    r = random.Random(71)
+    pool = [words(8000 + k, 120).split() for k in range(12)]
+    rows = []
+    for k in range(300):
+        parts = []
+        for _ in range(3):
+            p = r.choice(pool)
+            n = r.choice([25, 35, 45, 49, 50, 55, 70, 98])
+            at = r.randrange(len(p) - n)
+            parts += [*words(9000 + r.randrange(10**6), r.randrange(1, 30)).split(), *p[at:at + n]]
+        rows.append((k, " ".join(parts)))
+    z, y, c = pool[0][:40], pool[0][40:80], pool[0][5:75]
+    rows += [(1000 + k, f"{words(8500 + k, 20)} {' '.join(t)} {words(8600 + k, 20)}") for k, t in enumerate((z, y, c, z, y, c))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    covered = {}
+    for x in op07_substring.passages(df).collect():
+        covered.setdefault(x["doc_id"], set()).update(range(x["start_word"], x["end_word"]))
+    seen, missed, n = set(), [], op07_substring.MIN_WORDS
+    for d, t in sorted(rows):
+        w = t.lower().split()
+        own = [tuple(w[i:i + n]) for i in range(len(w) - n + 1)]
+        missed += [(d, i) for i, x in enumerate(own) if x in seen and not set(range(i, i + n)) <= covered.get(d, set())]
+        seen.update(own)
+    assert not missed
+
+
 def test_removal(spark, edge):
     p = words(801, 60)
     df = spark.createDataFrame([(1, f"{p} x", 1), (2, f"a  b\n{p} c d", 2), (3, p, 3), (4, None, 4)], "doc_id long, text string, n_chars long")
