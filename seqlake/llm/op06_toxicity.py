@@ -65,6 +65,11 @@ class Model:
     weight: np.ndarray
     vector: np.ndarray
 
+    def knows(self, bucket: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether each text has a feature with a weight."""
+        n = np.append(0, np.cumsum(self.weight[bucket] != 0))
+        return n[bounds[1:]] > n[bounds[:-1]]
+
     def logits(self, bucket: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         n = len(bounds) - 1
         known = self.weight[bucket] != 0
@@ -151,20 +156,25 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> M
     return train([rows[i].astype(np.int64) for i in order], labels_of[order] if len(order) else labels_of)
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), score_col: str = "score") -> DataFrame:
-    """The columns ``keep`` of documents with the probability that the text is toxic."""
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), score_col: str = "score", known_col: str | None = None) -> DataFrame:
+    """The columns ``keep`` of documents with the probability that the text is toxic and, in ``known_col`` if named,
+    whether the text has any feature with a weight."""
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weight, model.vector))
     schema = StructType(docs.select(*keep).schema.fields).add(score_col, "double")
+    if known_col:
+        schema = schema.add(known_col, "boolean")
 
     text = spare(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for b in batches:
-            out = np.zeros(b.num_rows)
+            out, known = np.zeros(b.num_rows), np.zeros(b.num_rows, bool)
             for lo, hi, data, off in slices(texts_of(b, text)):
-                out[lo:hi] = sigmoid(m.logits(*features(data, off)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out)], names=[*b.schema.names[:-1], score_col])
+                found = features(data, off)
+                out[lo:hi], known[lo:hi] = sigmoid(m.logits(*found)), m.knows(*found)
+            more = [pa.array(out), pa.array(known)] if known_col else [pa.array(out)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *more], names=schema.names)
 
     return docs.select(*keep, F.col("text").alias(text)).mapInArrow(run, schema)
 

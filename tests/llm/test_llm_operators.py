@@ -456,5 +456,17 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == kept["substrings"]
 
 
+def test_pipeline_rejects_at_the_threshold_alone(spark, monkeypatch):
+    import corpus_pipeline
+    weight = np.zeros(op06_toxicity.BUCKETS, np.float32)
+    for word, x in (("mildly", -0.5), ("kindly", -3), ("badly", 1)):
+        for _, _, data, off in slices(pa.array([word])):
+            weight[op06_toxicity.features(data, off)[0]] += x / 3
+    model = op06_toxicity.Model(1.0, weight, np.zeros((op06_toxicity.BUCKETS, op06_toxicity.FACTORS), np.float32))
+    monkeypatch.setattr(op06_toxicity, "fit", lambda docs, labels: model)
+    df = spark.createDataFrame([(1, "mildly"), (2, "kindly"), (3, "badly"), (4, "other"), (5, ""), (6, None)], "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.toxicity(spark, df, "/root/testdata/sf0.01").collect()} == {2, 4, 5, 6}
+
+
 def test_crc_of_the_split():
     assert is_held_out(5) == (zlib.crc32(b"5") % 4 == 2)
