@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import Words, map_batches, mix, rolling, slices, table, texts_of, written
 from .components import components
@@ -166,7 +167,8 @@ def _compare(blocks: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def classes_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the smallest doc_id reachable over links."""
+    """(doc_id, n_shingles, component_id, cls, root): component_id is the smallest doc_id reachable over links; cls is the
+    class key of the text and root that of its component, null without words."""
     sig = written(signatures(docs), "minhash-signatures")
     one = sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     bucket = one.select(F.explode("bands").alias("key"), "cls", "rep", "n")
@@ -215,9 +217,22 @@ def classes_of(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     root = one.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     root = written(root, "minhash-roots")
     least = root.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = root.join(least, "root").select("cls", "component_id")
+    of = root.join(least, "root").select("cls", "root", "component_id")
     return sig.select("doc_id", "n", "cls").join(of, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls", "root")
+
+
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with the class key of their text as a further column."""
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = (t.as_py() for t in b.column(text))
+            keys = [word_key(t.encode()) if t and t.encode().split() else None for t in raw]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], names=[*b.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

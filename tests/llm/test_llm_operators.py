@@ -468,5 +468,17 @@ def test_pipeline_rejects_at_the_threshold_alone(spark, monkeypatch):
     assert {r["doc_id"] for r in corpus_pipeline.toxicity(spark, df, "/root/testdata/sf0.01").collect()} == {2, 4, 5, 6}
 
 
+def test_pipeline_keeps_the_unique_text_of_a_repeated_id(spark):
+    import corpus_pipeline
+    x, y, z = words(9101, 80), words(9102, 80), words(9103, 80)
+    rows = [(1, x, "a"), (2, x, "a"), (2, y, "a"), (2, y, "b"), (3, z, "a"), (3, f"{z} more", "a"), (4, None, "a"), (4, " ", "a"), (5, y, "a"), (None, x, "a"), (None, x, "a")]
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        out = corpus_pipeline.near_duplicates(spark, df, "")
+        assert out.columns == df.columns
+        got = [tuple(r) for r in out.collect()]
+        assert sorted(got, key=str) == sorted([(1, x, "a"), (2, y, "a"), (3, z, "a"), (4, None, "a"), (None, x, "a"), (None, x, "a")], key=str)
+
+
 def test_crc_of_the_split():
     assert is_held_out(5) == (zlib.crc32(b"5") % 4 == 2)
