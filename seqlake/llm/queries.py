@@ -12,6 +12,9 @@ from .op07_substring import op7_substring
 from .op08_topk import ORACLE_OP8, op8_topk
 from .op09_language import op9_language
 from .op10_fingerprint import op10_fingerprint
+from .op11_tokens import op11_tokens
+from .op12_divergence import ORACLE_OP12, op12_divergence
+from .op13_centroids import ORACLE_OP13, op13_centroids
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -24,5 +27,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_fingerprint": op10_fingerprint,
+    "op11_tokens": op11_tokens,
+    "op12_divergence": op12_divergence,
+    "op13_centroids": op13_centroids,
 }
-ORACLE = {"op2_minhash": ORACLE_OP2, "op3_chat": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_topk": ORACLE_OP8}
+ORACLE = {"op2_minhash": ORACLE_OP2, "op3_chat": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_topk": ORACLE_OP8,
+          "op12_divergence": ORACLE_OP12, "op13_centroids": ORACLE_OP13}

@@ -33,6 +33,8 @@ def edge_dir(spark, edge, tmp_path_factory):
     spark.createDataFrame(chats, "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     vectors = [(i, [float((i * 7 + j * 13) % 11 - 5) for j in range(20)], 0) for i in range(0, 400)] + [(0, [1.0] * 20, 0), (50, None, 1), (None, [1.0] * 20, 1),
                (51, [float("nan")] * 20, 1), (52, [], 1), (53, [1.0], 2)]
+    vectors += [(1000 + i % 40, [float((i * 5 + j * 3) % 17 - 8) / 16 for j in range(64)], 0) for i in range(60)] + [(1100, [None] * 64, 0), (None, [0.5] * 64, 1),
+               (1101, [float("inf")] * 64, 1), (1102, [0.25] * 63 + [float("nan")], None)]
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
     return d
 

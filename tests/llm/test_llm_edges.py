@@ -15,6 +15,9 @@ COLUMNS = {
     "op8_topk": {"query_id", "rank", "vec_id", "distance"},
     "op9_language": {"doc_id", "held_out", "lang_pred", "score"},
     "op10_fingerprint": {"doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"},
+    "op11_tokens": {"doc_id", "n_bytes", "n_tokens", "over_limit"},
+    "op12_divergence": {"lang", "source", "part", "item", "value", "rank"},
+    "op13_centroids": {"vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"},
 }
 
 
@@ -27,7 +30,7 @@ def test_edge_rows(spark, edge_dir, name):
     df = QUERIES[name](spark, edge_dir)
     assert COLUMNS[name] <= set(df.columns)
     rows = df.collect()
-    one_per_doc = {"op1_bpe", "op2_minhash", "op6_toxicity", "op9_language", "op10_fingerprint"}
+    one_per_doc = {"op1_bpe", "op2_minhash", "op6_toxicity", "op9_language", "op10_fingerprint", "op11_tokens"}
     if name in one_per_doc:
         assert len(rows) == spark.read.parquet(f"{edge_dir}/documents.parquet").count()
     assert rows
