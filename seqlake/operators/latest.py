@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -73,12 +73,21 @@ def _names(*groups) -> list[str]:
     return out
 
 
-def first_rows_marked(df: DataFrame, key: str, first: int, order: Sequence[Column | str], out: str = "start") -> DataFrame:
-    """Every row, with ``out`` telling whether it is among the ``first`` rows in ``order``.
+def first_rows_marked(df: DataFrame, key: str, first: int, order: Sequence[str], out: str = "start",
+                      by: Sequence[str] = ()) -> DataFrame:
+    """Every row once, with ``out`` telling whether it is among the ``first``
+    rows in ``order`` (then ``key``), of the table or of each ``by`` group.
 
-    The marked rows are a top-k (taken per partition, then merged) joined
-    back by ``key``; no row is dropped.
+    The last of the first rows is found by a top-k (taken per partition, then
+    merged) and every row is compared with it, so rows that repeat or lack a
+    key stay as many as they are; those equal to the last one share its mark.
     """
-    top = df.orderBy(*order).limit(first).select(F.col(key).alias("_key"), F.lit(True).alias("_first"))
-    return (df.join(top, F.col(key).eqNullSafe(F.col("_key")), "left")
-            .select(*df.columns, F.coalesce("_first", F.lit(False)).alias(out)))
+    place = F.struct(*dict.fromkeys([*order, key]))
+    if not by:
+        last = df.orderBy(place).limit(first).agg(F.max(place).alias("_last"))
+        return df.withColumn(out, F.coalesce(place <= last.scalar(), F.lit(False)))
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(place))
+    last = df.withColumn("_rank", rank).where(F.col("_rank") <= first).groupBy(*by).agg(F.max(place).alias("_last"))
+    last = last.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_last")
+    on = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    return df.join(last, on, "left").select(*df.columns, F.coalesce(place <= F.col("_last"), F.lit(False)).alias(out))

@@ -317,9 +317,21 @@ plan AS (
   SELECT DISTINCT *, concat_ws('/', 's3://results', 'data', 'id=' || coalesce(sample, 'null'), 'workflow=' || workflow,
                                'run=' || run, 'file=' || file, 'timestamp=' || timestamp, file) AS dest
   FROM plan0),
-pending AS (
-  SELECT * FROM plan
-  WHERE dest NOT IN (SELECT dest FROM plan WHERE CAST(regexp_extract(run, 'run_(\\d+)', 1) AS INTEGER) % 3 = 0))"""
+lake AS (
+  SELECT c_name AS id, unnest([c_name || '.tax', c_name || '.scaffolds.fa.gz', c_name || '_R1.fastq.gz', c_name || '_R2.fastq.gz']) AS file, n.*
+  FROM customer JOIN nation n ON c_nationkey = n_nationkey
+  UNION ALL
+  SELECT 'null', unnest(['Phoenix_Summary.tsv', 'versions.yml']), n.* FROM nation n),
+lake_t AS (
+  SELECT *, CAST(CAST((978307200 + CAST(n_nationkey AS BIGINT) * 2592000) * 1000 + CAST(n_nationkey AS BIGINT) * 250
+                      - CASE WHEN n_nationkey % 3 = 1 THEN 86400000 ELSE 0 END AS DECIMAL(20,0)) / 1000 AS DECIMAL(18,3)) AS seconds
+  FROM lake WHERE n_nationkey % 3 <> 2),
+done AS (
+  SELECT concat_ws('/', 's3://results', 'data', 'id=' || id, 'workflow=' || CASE WHEN n_regionkey = 2 THEN 'mycosnp' ELSE 'phoenix' END,
+                   'run=run_' || CAST(n_nationkey AS VARCHAR), 'file=' || file,
+                   'timestamp=' || regexp_replace(regexp_replace(CAST(seconds AS VARCHAR), '(\\.\\d*?)0+$', '\\1'), '\\.$', ''), file) AS dest
+  FROM lake_t),
+pending AS (SELECT * FROM plan WHERE dest NOT IN (SELECT dest FROM done))"""
 
 ORACLE["run_window"] = _w(TRANSFER, """
     SELECT run_path, run,
@@ -513,8 +525,40 @@ ORACLE["entity_subset"] = """
            CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE concat('gs://bkt/suppliers/', CAST(s_suppkey AS VARCHAR), '.tsv') END AS report,
            CAST(ceil((SELECT count(*) FROM supplier) / 1000.0) AS BIGINT) AS pages
     FROM supplier"""
-ORACLE["workspaces_checked"] = _w(SUBS, """
-    SELECT submission_id, unnest([method, entity_raw, 'ws']) AS workspace FROM subs""")
+ORACLE["workspaces_checked"] = _w(SUBS + """,
+wasked AS (
+  SELECT DISTINCT trim(unnest(string_split(concat('ws_', CAST(n_nationkey AS VARCHAR), ', ws_', CAST(n_nationkey * 7 % 20 AS VARCHAR),
+                                                  ',ws_', CAST(n_nationkey AS VARCHAR)), ','))) AS workspace
+  FROM nation WHERE n_nationkey % 3 = 0),
+wtypes AS (
+  SELECT DISTINCT concat('ws_', CAST(user_id % 20 AS VARCHAR)) AS workspace, concat('entity_', CAST(user_id % 50 AS VARCHAR)) AS entity_type
+  FROM events WHERE user_id % 50 < 45),
+wcands AS (
+  SELECT concat('ws_', CAST(user_id % 20 AS VARCHAR)) AS workspace, submission_id, method, regexp_replace(entity_raw, '_set$', '') AS entity_type, submission_date
+  FROM subs WHERE status = 'Done' AND json_exists(workflow_statuses, '$.Succeeded')),
+wknown AS (SELECT c.* FROM wcands c JOIN wasked USING (workspace) JOIN wtypes USING (workspace, entity_type)),
+wbest AS (
+  SELECT workspace, entity_type, method, submission_date FROM (
+    SELECT *, row_number() OVER (PARTITION BY workspace, entity_type ORDER BY submission_date DESC, submission_id) AS rn FROM wknown) WHERE rn = 1),
+wnew AS (
+  SELECT c.* FROM wknown c
+  WHERE EXISTS (SELECT 1 FROM wbest b WHERE b.workspace = c.workspace AND b.entity_type = c.entity_type AND b.method = c.method AND b.submission_date = c.submission_date)
+    AND CAST(submission_id AS BIGINT) % 7 <> 0)""", """
+    SELECT *, row_number() OVER (PARTITION BY workspace ORDER BY submission_date, submission_id) <= 19 AS start FROM wnew""")
+ORACLE["capped_repeated"] = _w(SUBS + """,
+repeated AS (
+  SELECT * FROM cands
+  UNION ALL SELECT * FROM cands WHERE CAST(submission_id AS BIGINT) % 3 = 0
+  UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS submission_id) FROM cands WHERE CAST(submission_id AS BIGINT) % 11 = 0)""", """
+    SELECT *, rank() OVER (ORDER BY submission_date, submission_id NULLS FIRST) <= 19 AS start FROM repeated""")
+ORACLE["workspace_ledger"] = _w(SUBS + """,
+landed AS (
+  SELECT 'proj' AS project, CASE WHEN user_id % 2 = 0 THEN 'ws_a' ELSE 'ws_b' END AS workspace,
+         concat('entity_', CAST(user_id % 50 AS VARCHAR)) AS entity, event_id
+  FROM events WHERE user_id % 50 % 4 <> 3),
+whole AS (SELECT project, workspace, entity FROM landed GROUP BY project, workspace, entity HAVING NOT bool_or(event_id % 401 = 0))""", """
+    SELECT DISTINCT r.project, r.workspace, r.submissionId FROM retained r JOIN whole USING (project, workspace, entity)
+    WHERE NOT EXISTS (SELECT 1 FROM wcache c WHERE c.project = r.project AND c.workspace = r.workspace AND c.submissionId = r.submissionId)""")
 ORACLE["text_forms"] = """
     SELECT event_id, concat(event_type, ' ', CAST(event_id AS VARCHAR)) AS collapsed,
            concat(CASE WHEN event_id % 3 = 2 THEN 's3://b/' ELSE '/a/' END, CAST(event_id AS VARCHAR)) AS path_text,

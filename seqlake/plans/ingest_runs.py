@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import base_name, lake_path, local_path, null_text, uri_text
+from ..functions.paths import base_name, lake_path, null_text, uri_text
 from ..functions.predicates import within
 from ..functions.timefmt import ms_to_seconds, round_seconds, seconds_text
 from ..operators.joins import missing_from, present_in
@@ -158,51 +158,49 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     from ..sinks.copy import copy_files, local_copy
     from ..sinks.writers import append_if_any, write_table
     from ..sources import files as src
+    from ..sources.listing import list_folders, paths_status
+    from ..session import send_package, shared_dir
 
+    send_package(spark)
     out = outdir.rstrip("/")
     run_id = run_id or f"{int(time.time())}-{uuid.uuid4()}"
     sheet = samplesheet if isinstance(samplesheet, DataFrame) else src.read_csv(spark, samplesheet)
     for c in ("path", "run"):
         if c not in sheet.columns:
             sheet = sheet.withColumn(c, F.lit(None).cast("string"))
-    rows = sheet.select("workflow", "path", "run").collect()  # the samplesheet: a handful of lines
-    parents = [r["path"] for r in rows if r["path"]]
-    singles = [r["run"] for r in rows if not r["path"] and r["run"]]
-    listing = src.list_children(spark, parents).select("parent", "path", "modified_ms", "is_dir")
-    single = (src.path_status(spark, singles).withColumn("parent", F.lit(None).cast("string"))
-              .withColumn("path", F.regexp_replace("path", "/+$", "")))
-    wf_by_parent = src.local_table(spark, [(r["path"], r["workflow"]) for r in rows if r["path"]],
-                                   ["parent", "workflow"])
-    wf_by_run = src.local_table(spark, [(local_path(r["run"]).rstrip("/"), r["workflow"])
-                                        for r in rows if not r["path"] and r["run"]], ["path", "workflow"])
-    cands = (listing.join(wf_by_parent, "parent").select("path", "modified_ms", "is_dir", "workflow")
-             .unionByName(single.join(wf_by_run, "path").select("path", "modified_ms", "is_dir", "workflow")))
-    cands = cands.withColumn("path", F.regexp_replace("path", "/+$", ""))
-    dirs = [r["path"] for r in cands.where("is_dir").select("path").distinct().collect()]  # run folder names
-    manifests = (src.list_files(spark, dirs, recursive=False, glob="manifest.csv").select("path")
-                 if dirs else spark.createDataFrame([], "path string"))
+    bare = lambda c: F.regexp_replace(uri_text(c), "/+$", "")
+    wanted = sheet.select("workflow", F.nullif(bare("path"), F.lit("")).alias("parent"), F.nullif(bare("run"), F.lit("")).alias("run"))
+    parents = wanted.where("parent is not null").select("parent", "workflow")
+    singles = wanted.where("parent is null and run is not null").select(F.col("run").alias("path"), "workflow")
+    # every listing is made inside tasks, from folder names held as rows
+    listing = list_folders(parents, "parent", recursive=False).join(parents.distinct(), "parent")
+    single = paths_status(singles).join(singles.withColumnRenamed("path", "parent").distinct(), "parent")
+    cands = listing.unionByName(single).select(F.regexp_replace("path", "/+$", "").alias("path"), "modified_ms", "is_dir", "workflow")
+    plan_path = f"{out}/plans/{run_id}"
+    work = shared_dir(spark, f"ingest-{run_id}")
+    write_table(cands, f"{work}/candidates")            # the store is asked once for each folder
+    cands = spark.read.parquet(f"{work}/candidates")
+    manifests = list_folders(cands.where("is_dir"), recursive=False, glob="manifest.csv").select("path")
     runs = runs_in_window(cands.select("path", "modified_ms", "is_dir"), manifests, window)
-    runs = runs.join(cands.select(F.col("path").alias("run_path"), "workflow"), "run_path")
-    run_dirs = [r["run_path"] for r in runs.select("run_path").collect()]
-    if not run_dirs:
+    write_table(runs.join(cands.select(F.col("path").alias("run_path"), "workflow"), "run_path"), f"{work}/runs")
+    runs = spark.read.parquet(f"{work}/runs")
+    if runs.isEmpty():
         return {"run_id": run_id, "files": 0, "catalog": None}
-    m = src.read_manifests(spark, run_dirs)
+    m = src.read_manifests(spark, runs.select("run_path"))
     rules = src.read_rules_config(spark, rules_path) if rules_format == "config" else src.read_rules(spark, rules_path)
-    expanded = expand_rules(runs.select("run", "workflow", "run_path"), m, rules).withColumn("file", uri_text("file"))
+    write_table(expand_rules(runs.select("run", "workflow", "run_path"), m, rules).withColumn("file", uri_text("file")), f"{work}/expanded")
+    expanded = spark.read.parquet(f"{work}/expanded")
     # one recursive listing of the run folders; reads may lie in other folders, which are listed too if they are there
     outside = expanded.where(~F.startswith("file", F.concat("run_path", F.lit("/"))))
-    folders = [r[0] for r in outside.select(F.regexp_replace("file", "/[^/]+$", "")).distinct().collect()]
-    present = src.list_files(spark, run_dirs).select(uri_text("path").alias("path"), "modified_ms")
-    elsewhere = src.existing_paths(spark, [f for f in folders if not any(f"{f}/".startswith(f"{r}/") for r in run_dirs)])
-    if elsewhere:
-        present = present.unionByName(src.list_files(spark, elsewhere, recursive=False).select(uri_text("path").alias("path"), "modified_ms"))
-    present = present.dropDuplicates(["path"])
+    elsewhere = outside.select(F.regexp_replace("file", "/[^/]+$", "").alias("path"))
+    files = list_folders(runs, "run_path").unionByName(list_folders(elsewhere, recursive=False)).where("not is_dir")
+    write_table(files.groupBy("path").agg(F.max("modified_ms").alias("modified_ms")), f"{work}/present")
+    present = spark.read.parquet(f"{work}/present")
     kept = existing_files(expanded, present)
     plan = transfer_plan(kept.join(runs.select("run_path", "seconds"), "run_path"), out,
                          file_times=present if version_by == "file" else None)
     lake = _lake_listing(spark, f"{out}/data") if lake_index == "listing" else _catalog_index(spark, out)
     pending = pending_transfers(plan, lake)
-    plan_path = f"{out}/plans/{run_id}"
     write_table(pending, f"{plan_path}/plan")           # the plan is computed once
     pending = spark.read.parquet(f"{plan_path}/plan")
     status = copy_files(pending, copier or local_copy)

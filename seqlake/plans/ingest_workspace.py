@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import base_name
+from ..functions.paths import base_name, uri_text
 from ..functions.predicates import absent, has_uri
 from ..sinks.ledger import read_ledger, record
 from ..operators.joins import missing_from, present_in
@@ -63,6 +63,34 @@ def plan_workspace(tables: DataFrame, table_files: DataFrame, objects: DataFrame
     return transfer_plan(files, out, file_times=times)
 
 
+def table_origins(tables: DataFrame, table_files: DataFrame, marker: str = "gs://") -> DataFrame:
+    """(project, workspace, run, origin): every object that a landed table
+    stands for, the table file itself included.  Both inputs carry project
+    and workspace; ``run`` is the table."""
+    scope = ["project", "workspace", "run"]
+    cells = tables.select(*scope, F.explode("cells").alias("origin")).where(has_uri("origin", marker))
+    both = cells.unionByName(table_files.select(*scope, F.col("file").alias("origin")))
+    return both.withColumn("origin", uri_text("origin")).distinct()
+
+
+def finished_submissions(new: DataFrame, landed: DataFrame, origins: DataFrame, failed: DataFrame) -> DataFrame:
+    """(project, workspace, submissionId) whose work is done and may go to
+    the ledger.
+
+    ``new``: submissions of this check ``(project, workspace, entity,
+    submissionId)``; ``landed``: tables ``(project, workspace, run)`` that were
+    read; ``origins``: :func:`table_origins`; ``failed``: ``(origin)`` of copies
+    that did not succeed.  A submission whose table has not landed yet, or
+    one of whose files failed, is left for the next run; other tables and
+    other workspaces are not held up by it.
+    """
+    scope = ["project", "workspace", "run"]
+    broken = present_in(origins, failed, ["origin"]).select(*scope)
+    done = missing_from(landed.select(*scope).distinct(), broken, scope)
+    ours = present_in(new.withColumnRenamed("entity", "run"), done, scope)
+    return ours.select("project", "workspace", "submissionId").distinct()
+
+
 def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str, outdir: str, objects: DataFrame,
                             cache: DataFrame | None = None, copier=None, run_id: str | None = None,
                             marker: str = "gs://", ledger_path: str | None = None) -> dict:
@@ -72,8 +100,9 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
     summaries) and ``tables/<project>/<workspace>/<table>.tsv`` (exports).
     ``cache``: ``(project, workspace, submissionId)`` already ingested.
     ``ledger_path``: a ledger of the same columns, read in place of ``cache``;
-    the submissions of this run are appended once every copy succeeded, so a
-    failed run is repeated and a finished one is not.
+    the submissions whose table was read and all of whose files are in the
+    lake are appended, so those that failed or whose table lands later are
+    taken up again and finished ones are not.
     """
     from ..sinks.copy import copy_files, local_copy
     from ..sinks.writers import append_if_any, write_table
@@ -121,9 +150,14 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
     status = spark.read.parquet(f"{out}/plans/{run_id}/status")
     moved = pending.join(status.where("ok").select("dest"), "dest", "left_semi")
     wrote = append_if_any(catalog_rows(moved), f"{out}/meta/{run_id}.csv")
-    if ledger_path is not None and status.where("NOT ok").isEmpty():
+    if ledger_path is not None:
         asked = present_in(summary, sheet.where(absent("run")), ["project", "workspace"])
-        record(missing_from(retained_summary(asked), cache, ids).select(*ids).distinct(), ledger_path, ids)
+        new = missing_from(retained_summary(asked), cache, ids)
+        landed = listing.select(F.col("path").alias("file"), *[F.regexp_extract("path", r"/tables/([^/]+)/([^/]+)/([^/]+)\.tsv$", i + 1).alias(c)
+                                                              for i, c in enumerate(("project", "workspace", "run"))])
+        landed = present_in(landed, new.withColumnRenamed("entity", "run"), ["project", "workspace", "run"])
+        done = finished_submissions(new, landed, table_origins(keyed, landed, marker), status.where("NOT ok").select("origin"))
+        record(done, ledger_path, ids)
     return {"run_id": run_id, "files": moved.count(), "catalog": f"{out}/meta/{run_id}.csv" if wrote else None}
 
 

@@ -238,10 +238,7 @@ def _plan(spark, sf):
 
 def _pending(spark, sf):
     from .plans.ingest_runs import pending_transfers
-    plan = _plan(spark, sf)
-    # The lake already holds the runs of every third nation.
-    done = plan.where(F.regexp_extract("run", r"run_(\d+)", 1).cast("int") % 3 == 0).select(F.col("dest").alias("path"))
-    return pending_transfers(plan, done)
+    return pending_transfers(_plan(spark, sf), d.transferred_objects(spark, sf))
 
 
 @query("run_window")
@@ -451,10 +448,31 @@ def entity_subset(spark, sf):
 
 @query("workspaces_checked")
 def workspaces_checked(spark, sf):
-    """A list of workspaces per user, split, and the new submissions of each."""
+    """A list of workspaces per user, split, and the check of each: its new submissions and their first wave."""
     from .operators.reshape import explode_list
-    lists = d.submissions(spark, sf).select("submission_id", F.concat("method", F.lit(", "), "entity_raw", F.lit(",ws")).alias("workspaces"))
-    return explode_list(lists, "workspaces", out="workspace").select("submission_id", "workspace")
+    from .plans.submissions import new_by_workspace
+    asked = explode_list(d.workspace_lists(spark, sf), "workspaces", out="workspace").select("workspace").distinct()
+    return new_by_workspace(asked, d.workspace_submissions(spark, sf), d.workspace_entity_types(spark, sf), d.workspace_ledger(spark, sf))
+
+
+@query("capped_repeated")
+def capped_repeated(spark, sf):
+    """The first wave of a list in which ids repeat or are absent: no row is added or lost."""
+    from .plans.submissions import first_wave
+    return first_wave(d.repeated_candidates(_cands(spark, sf)))
+
+
+@query("workspace_ledger")
+def workspace_ledger(spark, sf):
+    """Submissions to record after an ingest in which some tables had not landed and some copies failed."""
+    from .operators.joins import missing_from, present_in
+    from .functions.predicates import absent
+    from .plans.ingest_workspace import finished_submissions, table_origins
+    from .plans.submissions import retained_summary
+    asked = present_in(d.monitor_summary(spark, sf), d.workspace_sheet(spark, sf).where(absent("run")), ["project", "workspace"])
+    new = missing_from(retained_summary(asked), d.workspace_cache(spark, sf), ["project", "workspace", "submissionId"])
+    landed = d.landed_tables(spark, sf)
+    return finished_submissions(new, landed, table_origins(landed, landed), d.failed_copies(spark, sf))
 
 
 @query("text_forms")

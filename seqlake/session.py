@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -79,3 +81,23 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/seqlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_sent: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application:
+    functions that run inside tasks (copies, listings) are imported there.
+    Spark serves the archive itself; no shared folder is needed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _sent:
+        return
+    root = Path(__file__).resolve().parent
+    tmp = tempfile.TemporaryDirectory(prefix="seqlake-package-")
+    archive = Path(tmp.name) / f"seqlake-tasks-{sc.applicationId}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _sent[sc.applicationId] = tmp

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import lake_path
 from .files import local_table
-from ..functions.timefmt import epoch_seconds
+from ..functions.timefmt import epoch_seconds, ms_to_seconds, seconds_text
 from ..operators.headers import ALTERNATIVES
 
 # Fixed values of the derived shapes.
@@ -449,3 +449,74 @@ def alt_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     runs = s.select(F.concat(F.lit("run_"), _s(F.col("s_nationkey"))).alias("run"), F.lit("mycosnp").alias("workflow"), root.alias("run_path")).distinct()
     rows = s.select(root.alias("run_path"), F.col("s_name").alias("sample"), reads.alias("fastq_1"), F.lit(None).cast("string").alias("fastq_2"))
     return runs, rows, s.where(F.col("s_suppkey") % 2 == 0).select(reads.alias("path"))
+
+
+def transferred_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing of the versioned objects that earlier ingests left in the lake.
+
+    Runs 0, 3, 6, ... are there in their present version but for the
+    ``.synopsis`` files; runs 1, 4, 7, ... in a version of the day before.
+    """
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey").cast("bigint")
+    ms = (F.lit(978307200) + k * 2592000) * 1000 + k * 250 - F.when(k % 3 == 1, 86400000).otherwise(0)
+    runs = n.where(k % 3 != 2).select("n_nationkey", F.concat(F.lit("run_"), _s(k)).alias("run"),
+                                      F.when(F.col("n_regionkey") == 2, F.lit("mycosnp")).otherwise(F.lit("phoenix")).alias("workflow"),
+                                      seconds_text(ms_to_seconds(ms)).alias("timestamp"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_name").alias("id"))
+    names = [F.concat("id", F.lit(x)) for x in (".tax", ".scaffolds.fa.gz", "_R1.fastq.gz", "_R2.fastq.gz")]
+    sample_level = c.join(runs, "n_nationkey").select("id", "run", "workflow", "timestamp", F.explode(F.array(*names)).alias("file"))
+    run_level = runs.select(F.lit("null").alias("id"), "run", "workflow", "timestamp",
+                            F.explode(F.array(F.lit("Phoenix_Summary.tsv"), F.lit("versions.yml"))).alias("file"))
+    return sample_level.unionByName(run_level).select(lake_path(LAKE_ROOT, "id", "workflow", "run", "file", "timestamp").alias("path"))
+
+
+# ---------------------------------------------------------- workspaces
+def workspace_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The workspaces each user asks for, as comma-separated text; lists overlap."""
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 3 == 0)
+    k = F.col("n_nationkey")
+    return n.select(F.col("n_name").alias("user"), F.concat(F.lit("ws_"), _s(k), F.lit(", ws_"), _s(k * 7 % 20), F.lit(",ws_"), _s(k)).alias("workspaces"))
+
+
+def workspace_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions of 20 workspaces."""
+    return _submissions(spark, sf_dir, F.concat(F.lit("ws_"), _s(F.col("user_id") % 20)).alias("workspace"))
+
+
+def workspace_entity_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity types of each workspace; entity_45 and above are in none."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("user_id") % 50
+    return e.where(k < KNOWN_ENTITY_TYPES).select(F.concat(F.lit("ws_"), _s(F.col("user_id") % 20)).alias("workspace"),
+                                                  F.concat(F.lit("entity_"), _s(k)).alias("entity_type")).distinct()
+
+
+def workspace_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions already ingested, by workspace."""
+    e = table(spark, sf_dir, "events")
+    return e.where(F.col("event_id") % LEDGER_EVERY == 0).select(F.concat(F.lit("ws_"), _s(F.col("user_id") % 20)).alias("workspace"),
+                                                                 _s(F.col("event_id")).alias("submission_id"))
+
+
+def landed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported tables that have landed, with one object per event; those of every fourth entity have not."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("user_id") % 50
+    return e.where(k % 4 != 3).select(
+        F.lit("proj").alias("project"), F.when(F.col("user_id") % 2 == 0, F.lit("ws_a")).otherwise(F.lit("ws_b")).alias("workspace"),
+        F.concat(F.lit("entity_"), _s(k)).alias("run"),
+        F.array(F.concat(F.lit("s"), _s(F.col("event_id"))), F.concat(F.lit(WIDE_BUCKET + "/"), _s(F.col("event_id")), F.lit(".fa"))).alias("cells"),
+        F.concat(F.lit("/tables/entity_"), _s(k), F.lit(".tsv")).alias("file"))
+
+
+def failed_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Origins whose copy failed: one object in 401."""
+    e = table(spark, sf_dir, "events").where(F.col("event_id") % 401 == 0)
+    return e.select(F.concat(F.lit(WIDE_BUCKET + "/"), _s(F.col("event_id")), F.lit(".fa")).alias("origin"))
+
+
+def repeated_candidates(cands: DataFrame) -> DataFrame:
+    """Candidates of which some repeat and some lack their id."""
+    k = F.col("submission_id").cast("bigint")
+    return cands.unionByName(cands.where(k % 3 == 0)).unionByName(cands.where(k % 11 == 0).withColumn("submission_id", F.lit(None).cast("string")))

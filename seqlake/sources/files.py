@@ -84,9 +84,18 @@ def named_cells(rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ())
 
 def read_manifests(spark: SparkSession, run_paths: DataFrame | Sequence[str], name: str = "manifest.csv") -> DataFrame:
     """One read over the manifest of every run folder (SRC4), each by its
-    own header; the run folder is taken from each row's source file."""
+    own header; the run folder is taken from each row's source file.
+
+    Folders given as rows ``(run_path)`` are read inside the tasks that they
+    are dealt to; a list of folders is read by Spark's text source."""
     if isinstance(run_paths, DataFrame):
-        run_paths = [r[0] for r in run_paths.select("run_path").distinct().collect()]  # folder names only
+        from .listing import read_lines
+        files = run_paths.select(F.concat(F.regexp_replace("run_path", "/+$", ""), F.lit(f"/{name}")).alias("path"))
+        lines = read_lines(files).withColumn("line", F.regexp_replace("line", "^\ufeff", "")).where(F.length("line") > 0)
+        first = lines.groupBy("file_path").agg(F.min_by(F.split("line", ",", -1), "line_no").alias("header"), F.min("line_no").alias("_first"))
+        rows = lines.join(first, "file_path").where(F.col("line_no") > F.col("_first")).select("file_path", "header", F.split("line", ",", -1).alias("cells"))
+        rows = named_cells(rows, ["sample", "fastq_1", "fastq_2"], keep=["file_path"])
+        return rows.select(F.regexp_replace("file_path", "/[^/]+$", "").alias("run_path"), "sample", "fastq_1", "fastq_2")
     rows = read_named(spark, [f"{p.rstrip('/')}/{name}" for p in run_paths], ["sample", "fastq_1", "fastq_2"])
     return rows.select(F.regexp_replace("file_path", "/[^/]+$", "").alias("run_path"), "sample", "fastq_1", "fastq_2")
 

@@ -146,3 +146,31 @@ def test_delimiter_is_judged_by_every_line(spark, tmp):
     write(f"{tmp}/b.csv", "a,b\n" + "1,2\n" * 30 + "1;2\n")
     got = {r["file_path"][-5:]: r["sep"] for r in sniff_delimiters(spark, f"{tmp}").collect()}
     assert got == {"a.csv": ";", "b.csv": None}
+
+
+def test_folders_named_by_rows(spark, tmp):
+    from seqlake.sources.listing import list_folders, paths_status, read_lines
+    for k in range(40):
+        write(f"{tmp}/runs/run_{k:02d}/manifest.csv", f"sample,fastq_1,fastq_2\nS{k},/r/{k}_R1.fq,\n")
+        write(f"{tmp}/runs/run_{k:02d}/S{k}/S{k}.tax", "xyz")
+    folders = spark.createDataFrame([(f"{tmp}/runs/run_{k:02d}",) for k in range(40)] + [(f"{tmp}/absent",), (None,), (f"{tmp}/runs/run_00",)], "path string")
+    got = list_folders(folders).where("not is_dir").collect()
+    assert sorted(r["path"] for r in got) == sorted(f"{tmp}/runs/run_{k:02d}/{x}" for k in range(40) for x in ("manifest.csv", f"S{k}/S{k}.tax"))
+    assert {r["length"] for r in got if r["name"].endswith(".tax")} == {3} and all(r["modified_ms"] > 10**12 for r in got)
+    flat = list_folders(folders, recursive=False).collect()
+    assert sum(r["is_dir"] for r in flat) == 40 and len(flat) == 80
+    assert list_folders(folders, recursive=False, glob="manifest.csv").count() == 40
+    named = spark.createDataFrame([(f"file:{tmp}/runs/",), (f"{tmp}/absent",), (f"{tmp}/runs/run_00/manifest.csv",)], "path string")
+    assert sorted((r["path"], r["is_dir"]) for r in paths_status(named).collect()) == [(f"{tmp}/runs", True), (f"{tmp}/runs/run_00/manifest.csv", False)]
+    lines = read_lines(list_folders(folders, glob="*.csv")).collect()
+    assert len(lines) == 80 and {r["line"] for r in lines if r["line_no"] == 0} == {"sample,fastq_1,fastq_2"}
+
+
+def test_manifests_of_folders_named_by_rows(spark, tmp):
+    from seqlake.sources.files import read_manifests
+    write(f"{tmp}/a/manifest.csv", "sample,fastq_1,fastq_2\nS1,/x_R1,/x_R2\nS2,/y_R1,\n")
+    write(f"{tmp}/b/manifest.csv", 'fastq_1,extra,"sample"\r\n"/z_R1",q,S3\r\n')
+    write(f"{tmp}/c/manifest.csv", "")
+    df = spark.createDataFrame([(f"{tmp}/{x}",) for x in ("a", "b/", "c", "d")], "run_path string")
+    got = sorted(tuple(r) for r in read_manifests(spark, df).collect())
+    assert got == [(f"{tmp}/a", "S1", "/x_R1", "/x_R2"), (f"{tmp}/a", "S2", "/y_R1", None), (f"{tmp}/b", "S3", "/z_R1", None)]

@@ -163,3 +163,30 @@ def test_explode_list_and_newest_file(spark):
                                     "project string, workspace string, path string, modified_ms long")
     got = {(r["project"], r["path"]) for r in newest_file_per_key(listing, ["project", "workspace"]).collect()}
     assert got == {("p", "/c/0"), ("q", "/c/3")}
+
+
+def test_first_rows_keep_repeated_and_absent_ids(spark):
+    from seqlake.operators.latest import first_rows_marked
+    rows = [("a", 1), ("a", 1), ("b", 2), (None, 1), (None, 3), ("c", None)]
+    df = spark.createDataFrame(rows, "x string, t int")
+    got = sorted(((r["x"], r["t"], r["start"]) for r in first_rows_marked(df, "x", 3, ["t"]).collect()), key=str)
+    # null times and ids come first: (c, null), (null, 1), (a, 1) and the row that equals it
+    assert got == sorted([("a", 1, True), ("a", 1, True), ("b", 2, False), (None, 1, True), (None, 3, False), ("c", None, True)], key=str)
+    many = spark.createDataFrame([(g, i) for g in ("p", "q") for i in range(30)] + [(None, 5)], "g string, x int")
+    marked = first_rows_marked(many, "x", 19, ["x"], by=["g"]).where("start").groupBy("g").count().collect()
+    assert {r["g"]: r["count"] for r in marked} == {"p": 19, "q": 19, None: 1}
+
+
+def test_sample_hits_are_the_real_ones_in_split_groups(spark):
+    import random
+
+    from seqlake.operators.retention import sample_hits
+    r = random.Random(5)
+    names = [(f"r{k}", "".join(r.choices("ab1", k=r.randrange(1, 4))), i) for k in range(3) for i in range(15)]
+    files = list({(f"r{k}", "".join(r.choices("ab1/.", k=r.randrange(1, 12)))) for k in range(4) for _ in range(25)}) + [(None, "a")]
+    want = sorted((run, rel, n, o) for run, rel in files for m, n, o in names if m == run and n in rel)
+    f = spark.createDataFrame(files, "run string, rel string")
+    s = spark.createDataFrame([*names, (None, "a", 0)], "run string, sample string, ord long")
+    assert want
+    for per_group in ((4, 3), (50_000, 200_000)):
+        assert sorted(tuple(x) for x in sample_hits(f, s, *per_group).collect()) == want      # a row for a hit, and no other

@@ -103,3 +103,33 @@ def test_analysis_normalize_files_option(spark):
     assert plain["fastq_1"] is None and plain["assembly"] is None
     norm = analysis_table(res, files, files, normalize_files=True).first()
     assert (norm["fastq_1"], norm["fastq_2"], norm["assembly"]) == ("s3://r1", "s3://r2", "s3://a")
+
+
+def test_table_that_lands_late_and_a_failing_workspace(spark, tmp):
+    from seqlake.plans.ingest_workspace import ingest_workspace_tables
+    from seqlake.sinks.copy import local_copy
+    from seqlake.sinks.ledger import read_ledger
+    from seqlake.sources.files import list_files
+    ids = ["project", "workspace", "submissionId"]
+    for s in ("S1", "P1", "B1"):
+        write(f"{tmp}/gs/{s}.fa", s)
+    write(f"{tmp}/sheet.csv", "project,workspace,workflow,run\np,w,wf_a,\np,v,wf_a,\n")
+    head = "status\tsubmissionId\tworkflowStatuses\tsubmissionEntity\n"
+    write(f"{tmp}/land/summary/p/w.tsv", head + "Done\ts1\t{'Succeeded': 2}\tsample:n1\nDone\ts2\t{'Succeeded': 1}\tplate:n2\n")
+    write(f"{tmp}/land/summary/p/v.tsv", head + "Done\ts3\t{'Succeeded': 2}\tbad:n1\n")
+    write(f"{tmp}/land/tables/p/w/sample.tsv", f"sample_id\tassembly\nS1\t{tmp}/gs/S1.fa\n")
+    write(f"{tmp}/land/tables/p/v/bad.tsv", f"bad_id\tassembly\nB1\t{tmp}/gs/B1.fa\n")
+    objects = list_files(spark, f"{tmp}/gs").select("path", "modified_ms")
+    go = lambda copier: ingest_workspace_tables(spark, f"{tmp}/sheet.csv", f"{tmp}/land", f"{tmp}/lake", objects, copier=copier,
+                                                marker=f"{tmp}/gs", ledger_path=f"{tmp}/ledger")["files"]
+    known = lambda: sorted(r["submissionId"] for r in read_ledger(spark, f"{tmp}/ledger", ids).collect())
+
+    def no_b1(origin, dest):
+        if origin.endswith("B1.fa"):
+            raise OSError("no space")
+        return local_copy(origin, dest)
+
+    assert go(no_b1) == 3 and known() == ["s1"]            # plate.tsv is not there, a file of workspace v failed
+    write(f"{tmp}/land/tables/p/w/plate.tsv", f"plate_id\tassembly\nP1\t{tmp}/gs/P1.fa\n")
+    assert go(local_copy) == 3 and known() == ["s1", "s2", "s3"]
+    assert go(local_copy) == 0 and known() == ["s1", "s2", "s3"]
