@@ -7,8 +7,13 @@ lengths share a bucket, so a batch drawn from one bucket has no padding and
 no sequence crosses documents.  Nothing is shuffled: a task cuts the
 documents that it reads, and a lost task repeats alone.
 
+Ids come from tiktoken over the vocabulary's ranks.  Its pattern backtracks and
+its merging takes the square of a word's length, so a text with a run of
+``RUN`` bytes or more without a change between blank and other bytes is encoded
+by the trie of :mod:`op01_bpe`, whose time is in proportion to a word's length.
+
 Null and empty texts have only the closing id (one piece of length 1);
-a very long text has many pieces; repeated rows are packed each on its own;
+a very long text has many pieces, whatever runs it holds; repeated rows are packed each on its own;
 an empty table gives an empty table; other columns are not read.
 """
 
@@ -22,14 +27,16 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts_of
-from .op01_bpe import Vocabulary, default_vocabulary, groups
+from .common import BLANK_WORDS, table, texts_of
+from .op01_bpe import Vocabulary, default_vocabulary, encoder, groups
 
 # Fixed value: the public byte-level pattern that cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Longest sequence, a power of two, and the id that closes a document.
 MAX_LENGTH = 2048
 END_ID = 1
+#: Bytes of a run without a change between blank and other bytes that are too many for a backtracking pattern.
+RUN = 1 << 14
 
 _tokenizers: dict[str, tiktoken.Encoding] = {}
 
@@ -42,6 +49,24 @@ def tokenizer(path: str) -> tiktoken.Encoding:
     return _tokenizers[path]
 
 
+def has_long_run(text: str) -> bool:
+    """Whether ``RUN`` bytes in a row are all blanks or all other bytes."""
+    if len(text) * 4 < RUN:
+        return False
+    inside = BLANK_WORDS[np.frombuffer(text.encode(), np.uint8)]
+    change = np.flatnonzero(inside[1:] != inside[:-1])
+    return bool(np.diff(change, prepend=-1, append=len(inside) - 1).max(initial=0) >= RUN)
+
+
+def ids_of(text: str, path: str) -> np.ndarray:
+    """Ids of one text; strings of added tokens count as those."""
+    enc = tokenizer(path)
+    if has_long_run(text):
+        _, ids = next(encoder(path).encode_batch([text]))
+        return np.array(ids.split(","), "<u4") if ids else np.zeros(0, "<u4")
+    return enc.encode_to_numpy(text, allowed_special=set(enc.special_tokens_set), disallowed_special=())
+
+
 def lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
     """Piece lengths of a document of n ids: full pieces, then the binary digits of the rest."""
     full, rest = divmod(n, longest)
@@ -55,8 +80,6 @@ def pack(docs: DataFrame, vocabulary: str, longest: int = MAX_LENGTH, end_id: in
         raise ValueError("the longest sequence must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokenizer(vocabulary)
-        special = set(enc.special_tokens_set)
         end = np.array([end_id], "<u4")
         rests = {}
         for b in batches:
@@ -64,7 +87,7 @@ def pack(docs: DataFrame, vocabulary: str, longest: int = MAX_LENGTH, end_id: in
             for texts in groups(texts_of(b)):
                 parts, cut, pieces, totals = [], [], [], []
                 for t in texts:
-                    ids = enc.encode_to_numpy(t, allowed_special=special, disallowed_special=())
+                    ids = ids_of(t, vocabulary)
                     n = len(ids) + 1
                     parts += [ids, end]
                     full, rest = divmod(n, longest)

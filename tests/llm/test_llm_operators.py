@@ -482,3 +482,20 @@ def test_pipeline_keeps_the_unique_text_of_a_repeated_id(spark):
 
 def test_crc_of_the_split():
     assert is_held_out(5) == (zlib.crc32(b"5") % 4 == 2)
+
+
+# -- op4, long runs ---------------------------------------------------------------
+@pytest.mark.parametrize("text", [" " * 1_200_000 + "x", "\n" * 700_000, "\t" * 700_000 + " y", "a" * 300_000, "日本" * 60_000, "x y " * 9 + "!" * 200_000 + "<|endoftext|> z"])
+def test_packing_long_runs_equal_tokenizers(tokens, text):
+    assert op04_packing.ids_of(text, default_vocabulary()).tolist() == tokens.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_query_takes_millions_of_blanks(spark, tmp_path):
+    spark.createDataFrame([(1, " " * 5_000_000 + "x"), (2, "\n" * 2_000_000), (3, "a b"), (4, "　" * 100_000)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in op04_packing.op4_packing(spark, str(tmp_path)).collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
+        assert r["doc_tokens"] >= r["start"] + r["length"]
+    # the last blank and the letter are one word, and one token; each blank before is a token; then the closing id
+    assert got[1] == 4_999_999 + 1 + 1 and got[3] == 3 and set(got) == {1, 2, 3, 4}
