@@ -139,8 +139,9 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     ``samplesheet``: CSV path or DataFrame with ``workflow`` and either
     ``path`` (a folder of runs) or ``run`` (one run folder).  Steps: list runs, keep those in the
     window with a manifest, expand the rules, keep files that exist, plan
-    versioned destinations, drop those already in the lake, write the
-    plan, copy, then append catalog rows of the files that copied.
+    versioned destinations, drop those already in the lake, then
+    copy and commit (:mod:`seqlake.sinks.committed`): catalog rows of the files
+    that copied and the counters of the run become visible together.
     ``version_by='run'`` versions every file by its run folder's time (the
     production ingest); ``'file'`` by the file's own rounded time.
     ``lake_index`` says how "already in the lake" is decided: ``'listing'``
@@ -155,8 +156,9 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
         raise ValueError("version_by must be 'run' or 'file'")
     import uuid
 
-    from ..sinks.copy import copy_files, local_copy
-    from ..sinks.writers import append_if_any, write_table
+    from ..sinks.committed import arrived, carry_out, publish
+    from ..sinks.copy import local_copy
+    from ..sinks.writers import write_table
     from ..sources import files as src
     from ..sources.listing import list_folders, paths_status
     from ..session import send_package, shared_dir
@@ -176,7 +178,7 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     listing = list_folders(parents, "parent", recursive=False).join(parents.distinct(), "parent")
     single = paths_status(singles).join(singles.withColumnRenamed("path", "parent").distinct(), "parent")
     cands = listing.unionByName(single).select(F.regexp_replace("path", "/+$", "").alias("path"), "modified_ms", "is_dir", "workflow")
-    plan_path = f"{out}/plans/{run_id}"
+    publish(spark, out)                                 # what a run that was cut short left unpublished
     work = shared_dir(spark, f"ingest-{run_id}")
     write_table(cands, f"{work}/candidates")            # the store is asked once for each folder
     cands = spark.read.parquet(f"{work}/candidates")
@@ -199,19 +201,12 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     kept = existing_files(expanded, present)
     plan = transfer_plan(kept.join(runs.select("run_path", "seconds"), "run_path"), out,
                          file_times=present if version_by == "file" else None)
-    lake = _lake_listing(spark, f"{out}/data") if lake_index == "listing" else _catalog_index(spark, out)
-    pending = pending_transfers(plan, lake)
-    write_table(pending, f"{plan_path}/plan")           # the plan is computed once
-    pending = spark.read.parquet(f"{plan_path}/plan")
-    status = copy_files(pending, copier or local_copy)
-    write_table(status, f"{plan_path}/status")          # copies run once, here
-    status = spark.read.parquet(f"{plan_path}/status")
-    moved = pending.join(status.where("ok").select("dest"), "dest", "left_semi")
-    wrote = append_if_any(catalog_rows(moved), f"{out}/meta/{run_id}.csv")
-    n = moved.count()
-    return {"run_id": run_id, "files": n, "failed": status.where("NOT ok").count(),
-            "catalog": f"{out}/meta/{run_id}.csv" if wrote else None,
-            "runs": [r.asDict() for r in run_summary(moved).orderBy("run").collect()]}
+    lake = arrived(spark, out, _lake_listing(spark, f"{out}/data")) if lake_index == "listing" else _catalog_index(spark, out)
+    moved, counts = carry_out(spark, out, run_id, pending_transfers(plan, lake), copier or local_copy, catalog_rows)
+    publish(spark, out)
+    return {"run_id": run_id, "files": counts["files"], "failed": counts["failed"], "run_level": counts["run_level"], "bytes": counts["bytes"],
+            "catalog": f"{out}/meta/{run_id}.csv" if counts["files"] else None,
+            "runs": [r.asDict() for r in run_summary(moved).orderBy("run").collect()] if counts["files"] else []}
 
 
 def _catalog_index(spark, out: str) -> DataFrame:
@@ -254,10 +249,12 @@ def reconcile_catalog(spark, outdir: str, run_id: str | None = None) -> dict:
     """
     import uuid
 
+    from ..sinks.committed import publish
     from ..sinks.writers import append_if_any
     from ..sources import files as src
 
     out = outdir.rstrip("/")
+    publish(spark, out)                 # committed rows have their origin
     lake = src.lake_catalog(spark, out)
     jvm = spark.sparkContext._jvm
     meta = jvm.org.apache.hadoop.fs.Path(f"{out}/meta")

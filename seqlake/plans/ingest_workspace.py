@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import base_name, uri_text
 from ..functions.predicates import absent, has_uri
+from ..sinks.committed import arrived, carry_out, committed, publish
 from ..sinks.ledger import read_ledger, record
 from ..operators.joins import missing_from, present_in
 from .ingest_runs import catalog_rows, pending_transfers, transfer_plan
@@ -104,13 +105,15 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
     lake are appended, so those that failed or whose table lands later are
     taken up again and finished ones are not.
     """
-    from ..sinks.copy import copy_files, local_copy
-    from ..sinks.writers import append_if_any, write_table
+    from ..session import send_package
+    from ..sinks.copy import local_copy
     from ..sources import files as src
 
     out = outdir.rstrip("/")
     land = landing.rstrip("/")
     run_id = run_id or f"{int(time.time())}-{uuid.uuid4()}"
+    send_package(spark)
+    publish(spark, out)
     sheet = src.read_csv(spark, samplesheet)
     if "run" not in sheet.columns:
         sheet = sheet.withColumn("run", F.lit(None).cast("string"))
@@ -120,6 +123,7 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
         .withColumn("workspace", F.regexp_extract("_src", r"/summary/[^/]+/([^/]+)\.tsv$", 1)).drop("_src")
     ids = ["project", "workspace", "submissionId"]
     if ledger_path is not None:
+        _publish_ledger(spark, out, ledger_path, ids)       # of a run that was cut short after its commit
         cache = read_ledger(spark, ledger_path, ids)
     if cache is None:
         cache = spark.createDataFrame([], "project string, workspace string, submissionId string")
@@ -141,24 +145,31 @@ def ingest_workspace_tables(spark: SparkSession, samplesheet: str, landing: str,
                  F.lit(".tsv")).alias("path"), "workflow", F.col("entity_table").alias("run")), "path")
         .select("workflow", "run", F.col("path").alias("file"), "modified_ms"))
     plan = plan_workspace(tables, table_files, objects, out, marker)
-    lake = _lake(spark, out)
-    pending = pending_transfers(plan, lake)
-    write_table(pending, f"{out}/plans/{run_id}/plan")
-    pending = spark.read.parquet(f"{out}/plans/{run_id}/plan")
-    status = copy_files(pending, copier or local_copy)
-    write_table(status, f"{out}/plans/{run_id}/status")
-    status = spark.read.parquet(f"{out}/plans/{run_id}/status")
-    moved = pending.join(status.where("ok").select("dest"), "dest", "left_semi")
-    wrote = append_if_any(catalog_rows(moved), f"{out}/meta/{run_id}.csv")
-    if ledger_path is not None:
+    pending = pending_transfers(plan, arrived(spark, out, _lake(spark, out)))
+    landed = listing.select(F.col("path").alias("file"), *[F.regexp_extract("path", r"/tables/([^/]+)/([^/]+)/([^/]+)\.tsv$", i + 1).alias(c)
+                                                          for i, c in enumerate(("project", "workspace", "run"))])
+
+    def finished(status: DataFrame) -> DataFrame:
         asked = present_in(summary, sheet.where(absent("run")), ["project", "workspace"])
         new = missing_from(retained_summary(asked), cache, ids)
-        landed = listing.select(F.col("path").alias("file"), *[F.regexp_extract("path", r"/tables/([^/]+)/([^/]+)/([^/]+)\.tsv$", i + 1).alias(c)
-                                                              for i, c in enumerate(("project", "workspace", "run"))])
-        landed = present_in(landed, new.withColumnRenamed("entity", "run"), ["project", "workspace", "run"])
-        done = finished_submissions(new, landed, table_origins(keyed, landed, marker), status.where("NOT ok").select("origin"))
-        record(done, ledger_path, ids)
-    return {"run_id": run_id, "files": moved.count(), "catalog": f"{out}/meta/{run_id}.csv" if wrote else None}
+        read = present_in(landed, new.withColumnRenamed("entity", "run"), ["project", "workspace", "run"])
+        return finished_submissions(new, read, table_origins(keyed, read, marker), status.where("NOT ok").select("origin"))
+
+    _, counts = carry_out(spark, out, run_id, pending, copier or local_copy, catalog_rows, finished if ledger_path is not None else None)
+    publish(spark, out)
+    if ledger_path is not None:
+        _publish_ledger(spark, out, ledger_path, ids)
+    return {"run_id": run_id, "files": counts["files"], "failed": counts["failed"], "catalog": f"{out}/meta/{run_id}.csv" if counts["files"] else None}
+
+
+LEDGER_SCHEMA = "project string, workspace string, submissionId string"
+
+
+def _publish_ledger(spark: SparkSession, out: str, ledger_path: str, ids: list[str]) -> None:
+    """Bring the ledger table up to the committed runs of the lake."""
+    new = missing_from(committed(spark, out, "ledger", LEDGER_SCHEMA).select(*ids).distinct(), read_ledger(spark, ledger_path, ids), ids)
+    if not new.isEmpty():
+        record(new, ledger_path, ids)
 
 
 def _lake(spark: SparkSession, out: str) -> DataFrame:

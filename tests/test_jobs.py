@@ -184,7 +184,11 @@ def test_reconcile_catalog_after_lost_catalog_write(spark, tmp):
     out = f"{tmp}/lake"
     w = time_window(now=now + 60, delta=3600)
     first = ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w, run_id="r1")
-    shutil.rmtree(first["catalog"])            # the catalog write was lost
+    shutil.rmtree(first["catalog"])            # the catalog write was lost: the next run publishes it from the commit
+    assert ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w)["files"] == 0
+    assert read_catalog(spark, first["catalog"]).count() == 10
+    for lost in ("meta", "commits", "transfers"):      # every record of the run is lost
+        shutil.rmtree(f"{out}/{lost}")
     assert ingest_runs(spark, f"{tmp}/sheet.csv", f"{tmp}/rules.config", out, w)["files"] == 0
     fixed = reconcile_catalog(spark, out)
     assert fixed["files"] == 10
