@@ -44,29 +44,31 @@ def cell(header: Column, cells: Column, name: str) -> Column:
     return F.when(pos_from_end > 0, F.try_element_at(cells, idx.cast("int")))
 
 
+def places(header: Column, wanted: Sequence[Sequence[str]]) -> Column:
+    """For each list of names, how far from the end of ``header`` the first
+    name that it has stands (1: last cell); 0 where it has none.
+
+    One short expression over a literal table of names, so that the generated
+    code stays small enough to be compiled whatever the number of fields.
+    """
+    back = F.reverse(header)
+    lists = F.array(*[F.array(*[F.lit(n) for n in names]) for names in wanted])
+    at = lambda name: F.array_position(back, name)
+    first = lambda names: F.coalesce(F.try_element_at(F.filter(F.transform(names, at), lambda p: p > 0), F.lit(1)), F.lit(0))
+    return F.transform(lists, lambda names: first(names).cast("int"))
+
+
 def resolve_results(rows: DataFrame, header: str = "header", cells: str = "cells",
                     alternatives: Mapping[str, Sequence[str]] = ALTERNATIVES,
                     keep: Sequence[str] = ()) -> DataFrame:
     """Uniform result columns: ``id`` (normalised), then one column per
     field, each sanitised (``,`` -> ``;``, space -> ``_``)."""
-    h, c = F.col(header), F.col(cells)
-    names = list(dict.fromkeys([ID_HEADER, *(n for alt in alternatives.values() for n in alt)]))
-    # every name is looked up once; the fields then only pick positions, which keeps the generated code small
-    rows = rows.withColumns({"_back": F.reverse(h), "_last": F.size(h) + 1})
-    rows = rows.withColumn("_place", F.array(*[F.array_position("_back", F.lit(n)).cast("int") for n in names]))
-
-    def value(name: str) -> Column:
-        return F.try_element_at(c, F.col("_last") - F.col("_place")[names.index(name)])
-
-    def there(name: str) -> Column:
-        return F.col("_place")[names.index(name)] > 0
-
-    def first(alt: Sequence[str]) -> Column:
-        out = None
-        for n in alt:
-            v = F.nullif(value(n), F.lit(""))
-            out = F.when(there(n), v) if out is None else out.when(there(n), v)
-        return out
-
-    ident = F.when(there(ID_HEADER), value(ID_HEADER)).otherwise(F.try_element_at(c, F.lit(1)))
-    return rows.select(*keep, normalize_sample_id(ident).alias("id"), *[sanitize(first(alt)).alias(out) for out, alt in alternatives.items()])
+    wanted = [[ID_HEADER], *alternatives.values()]
+    at = F.col("_places")
+    # the cells of all fields in one array; a short line or an absent field gives NULL
+    picked = F.transform(at, lambda p: F.when(p > 0, F.try_element_at(F.col(cells), F.col("_end") - p)))
+    rows = rows.withColumns({"_places": places(F.col(header), wanted), "_end": F.size(header) + 1})
+    rows = rows.select(*keep, F.when(at[0] > 0, picked[0]).otherwise(F.try_element_at(F.col(cells), F.lit(1))).alias("_id"),
+                       F.transform(picked, lambda v: sanitize(F.nullif(v, F.lit("")))).alias("_values"))
+    return rows.select(*keep, normalize_sample_id(F.col("_id")).alias("id"),
+                       *[F.col("_values")[i + 1].alias(out) for i, out in enumerate(alternatives)])

@@ -5,15 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType, VariantType
 
 from ..functions.predicates import has_uri
 
 PAGE_SCHEMA = StructType([StructField("results", ArrayType(StructType([
     StructField("name", StringType()),
-    StructField("attributes", MapType(StringType(), StringType())),
+    StructField("attributes", MapType(StringType(), VariantType())),
 ])))])
 TYPE_META_SCHEMA = MapType(StringType(), StructType([
     StructField("count", LongType()),
@@ -67,13 +67,49 @@ def page_count(count: int, page_size: int) -> int:
     return -(-int(count) // int(page_size))
 
 
+# How the export writes JSON's three words, also inside lists and objects.
+WORDS = {"true": "True", "false": "False", "null": "None"}
+
+
+def nested_text(json: Column) -> Column:
+    """Text of a JSON list or object as the export writes it: single quotes
+    (double ones around a text with an apostrophe and no double quote), ``, ``
+    and ``: `` between parts, ``True``, ``False`` and ``None``."""
+    tokens = F.regexp_extract_all(json, F.lit(r'"(?:[^"\\]|\\.)*"|[\[\]{}]|[,:]|[^\[\]{},:"\s]+'), F.lit(0))
+
+    def one(t: Column) -> Column:
+        inner = F.replace(F.substring(t, F.lit(2), F.length(t) - 2), F.lit('\\"'), F.lit('"'))
+        double = F.contains(inner, F.lit("'")) & ~F.contains(inner, F.lit('"'))
+        quoted = F.when(double, F.concat(F.lit('"'), inner, F.lit('"'))).otherwise(
+            F.concat(F.lit("'"), F.replace(inner, F.lit("'"), F.lit("\\'")), F.lit("'")))
+        out = F.when(F.startswith(t, F.lit('"')), quoted).when(t.isin(",", ":"), F.concat(t, F.lit(" ")))
+        for word, text in WORDS.items():
+            out = out.when(t == word, F.lit(text))
+        return out.otherwise(t)
+
+    return F.array_join(F.transform(tokens, one), "")
+
+
+def value_text(value: Column) -> Column:
+    """Text of an attribute of any type (FN21): a text as it is, a number
+    plainly, ``True`` or ``False``, a list or an object by
+    :func:`nested_text`; an absent or null one is empty text."""
+    kind = F.schema_of_variant(value)
+    plain = F.try_variant_get(value, "$", "string")
+    return (F.when(value.isNull() | F.is_variant_null(value), F.lit(""))
+            .when(kind == "BOOLEAN", F.when(plain == "true", F.lit("True")).otherwise(F.lit("False")))
+            .when(F.startswith(kind, F.lit("ARRAY")) | F.startswith(kind, F.lit("OBJECT")), nested_text(F.to_json(value)))
+            .otherwise(plain))
+
+
 def entity_table(pages: DataFrame, id_name: str, attributes: Sequence[str], json_col: str = "json") -> DataFrame:
     """Landed entity pages -> table with the id first, then the attributes
-    in source order; an absent (or null) attribute is empty text."""
+    in source order, each as text (:func:`value_text`): booleans, numbers,
+    lists and objects included; an absent (or null) one is empty text."""
     rows = pages.select(F.explode(F.from_json(json_col, PAGE_SCHEMA)["results"]).alias("e"))
     return rows.select(
         F.col("e.name").alias(id_name),
-        *[F.coalesce(F.col("e.attributes")[a], F.lit("")).alias(a) for a in attributes],
+        *[value_text(F.col("e.attributes")[a]).alias(a) for a in attributes],
     )
 
 

@@ -583,3 +583,16 @@ ORACLE["transfer_plan_shared_names"] = _w(RETENTION, """
 ORACLE["results_to_analysis"] = f"""
     SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id DESC) AS rn FROM ({ORACLE["resolve_headers"]})) WHERE rn = 1"""
+
+ORACLE["attribute_texts"] = """
+    SELECT 'P' || k AS part_id, k AS number, CASE WHEN p_partkey % 2 = 0 THEN 'True' ELSE 'False' END AS flag,
+           CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand END AS brand,
+           CASE WHEN p_partkey % 4 = 0 THEN '[''gs://bkt/' || k || '_R1.fq'', None]'
+                ELSE '[''gs://bkt/' || k || '_R1.fq'', ''gs://bkt/' || k || '_R2.fq'']' END AS reads,
+           '{''entityName'': "it''s ' || k || '", ''entityType'': ''sample'', ''known'': ' || CASE WHEN p_partkey % 5 = 0 THEN 'True' ELSE 'False' END || '}' AS ref,
+           '[{''n'': ' || k || ', ''t'': ''say "a"''}]' AS list, '' AS absent
+    FROM (SELECT *, CAST(p_partkey AS VARCHAR) AS k FROM part)"""
+ORACLE["stream_versions"] = """
+    SELECT DISTINCT concat('run_', CAST(user_id % 20 AS VARCHAR)) AS run, concat('S', CAST(user_id AS VARCHAR)) AS sample,
+           concat(event_type, '.tsv') AS file, epoch_ms(date_trunc('day', ts)) AS modified_ms
+    FROM events"""

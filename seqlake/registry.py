@@ -510,3 +510,17 @@ def results_to_analysis(spark, sf):
     from .operators.latest import latest_by
     rows = resolve_results(d.header_rows(spark, sf), keep=["event_id"])
     return latest_by(rows, ["id"], ["event_id"])
+
+
+@query("attribute_texts")
+def attribute_texts(spark, sf):
+    """Entity pages with attributes of every JSON type, each as the export writes it."""
+    from .operators.reshape import entity_table
+    return entity_table(d.typed_pages(spark, sf), "part_id", ["number", "flag", "brand", "reads", "ref", "list", "absent"])
+
+
+@query("stream_versions")
+def stream_versions(spark, sf):
+    """Deliveries of object events, each landed twice, as a stream of versions: a new time of an object makes a version, a replay none."""
+    from .streaming.ingest import stream_file_versions
+    return stream_file_versions(spark, d.file_events(spark, sf))

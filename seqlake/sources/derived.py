@@ -520,3 +520,27 @@ def repeated_candidates(cands: DataFrame) -> DataFrame:
     """Candidates of which some repeat and some lack their id."""
     k = F.col("submission_id").cast("bigint")
     return cands.unionByName(cands.where(k % 3 == 0)).unionByName(cands.where(k % 11 == 0).withColumn("submission_id", F.lit(None).cast("string")))
+
+
+def typed_pages(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Entity pages whose attributes are texts, numbers, booleans, nulls, lists and references to other entities."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    uri = lambda i: F.concat(F.lit(f"{WIDE_BUCKET}/"), _s(k), F.lit(f"_R{i}.fq"))
+    attributes = F.struct(
+        k.alias("number"), (k % 2 == 0).alias("flag"), F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("brand"),
+        F.when(k % 4 == 0, F.array(uri(1), F.lit(None).cast("string"))).otherwise(F.array(uri(1), uri(2))).alias("reads"),
+        F.struct(F.lit("sample").alias("entityType"), F.concat(F.lit("it's "), _s(k)).alias("entityName"), (k % 5 == 0).alias("known")).alias("ref"),
+        F.array(F.struct(k.alias("n"), F.lit('say "a"').alias("t"))).alias("list"))
+    e = p.select(F.floor(k / page_size).alias("page"), F.struct(F.concat(F.lit("P"), _s(k)).alias("name"), attributes.alias("attributes")).alias("e"))
+    pages = e.groupBy("page").agg(F.collect_list("e").alias("results"))      # a page holds at most page_size entities
+    return pages.select("page", F.to_json(F.struct("results"), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Object events ``(run, sample, file, modified_ms, delivery)``: an object is written again on several days, a delivery holds six days."""
+    e = table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    ms = F.unix_date(F.to_date("ts")).cast("bigint") * 86400000
+    return e.select(F.concat(F.lit("run_"), _s(F.col("user_id") % 20)).alias("run"), F.concat(F.lit("S"), _s(F.col("user_id"))).alias("sample"),
+                    F.concat("event_type", F.lit(".tsv")).alias("file"), ms.alias("modified_ms"), F.floor((day - 1) / 6).cast("int").alias("delivery"))

@@ -172,6 +172,47 @@ def ingest_on_upload(spark: SparkSession, ingest: Callable[[list[tuple[str, str]
     return handle
 
 
+# ------------------------------------------------- versions (STR3)
+VERSION_SCHEMA = "run string, sample string, file string, modified_ms bigint"
+
+
+def newer_versions(events: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
+    """Streamed object events ``(run, sample, file, modified_ms)`` -> one row
+    for every time of an object that is newer than any seen before.
+
+    The state of an object is its newest time, one number a key, kept over
+    restarts with the stream's checkpoint.  A replayed or late older event makes
+    nothing; several new times in one micro-batch make a version each,
+    oldest first.  With ``forget_after_ms`` an event-time timer drops an object
+    from the state once the stream has seen times that much newer than its
+    newest; events older than that are late and make nothing.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    def versions(key, frames, state):
+        import pandas as pd
+        if state.hasTimedOut:
+            state.remove()
+            return
+        newest = state.get[0] if state.exists else None
+        times = set()
+        for pdf in frames:
+            times.update(int(t) for t in pdf["modified_ms"].dropna().unique())
+        new = sorted(t for t in times if newest is None or t > newest)
+        if not new:
+            return
+        state.update((new[-1],))
+        if forget_after_ms:
+            state.setTimeoutTimestamp(max(new[-1], state.getCurrentWatermarkMs()) + 1)
+        yield pd.DataFrame({"run": key[0], "sample": key[1], "file": key[2], "modified_ms": new})
+
+    rows = events.select("run", "sample", "file", "modified_ms").where("modified_ms is not null")
+    if forget_after_ms:
+        rows = rows.withColumn("_at", F.timestamp_millis("modified_ms")).withWatermark("_at", f"{forget_after_ms} milliseconds")
+    timer = GroupStateTimeout.EventTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout
+    return rows.groupBy("run", "sample", "file").applyInPandasWithState(versions, VERSION_SCHEMA, "newest bigint", "append", timer)
+
+
 # ------------------------------------------------------ registered demos
 def stream_new_submissions(spark: SparkSession, submissions: DataFrame, entity_types: DataFrame,
                            seen_ids: DataFrame, files: int = 8, max_files: int | None = 2) -> DataFrame:
@@ -203,3 +244,19 @@ def stream_deduped_submissions(spark: SparkSession, submissions: DataFrame, look
     run(dedupe_within(stream, ["submission_id"], "submission_date", lookback), f"{root}/checkpoint", path=out,
         state_partitions=spark.sparkContext.defaultParallelism, rocksdb_state=True)
     return spark.read.parquet(out)
+
+
+def stream_file_versions(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Deliveries of object events ``(..., modified_ms, delivery)``, each one
+    landed twice, in order, one micro-batch a landing.  Returns the versions
+    that the stream made."""
+    root = shared_dir(spark, "stream-versions")
+    src, out = f"{root}/landed", f"{root}/out"
+    deliveries = sorted(r[0] for r in events.select("delivery").distinct().collect())      # a handful
+    for k in deliveries:
+        for _ in range(2):                  # the second landing is a replay
+            land(events.where(F.col("delivery") == k).select("run", "sample", "file", "modified_ms"), src, 1)
+            run(newer_versions(file_stream(spark, src, VERSION_SCHEMA)), f"{root}/checkpoint", path=out, state_partitions=spark.sparkContext.defaultParallelism)
+    if not deliveries:
+        return spark.createDataFrame([], VERSION_SCHEMA)
+    return spark.read.schema(VERSION_SCHEMA).parquet(out)

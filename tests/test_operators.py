@@ -190,3 +190,16 @@ def test_sample_hits_are_the_real_ones_in_split_groups(spark):
     assert want
     for per_group in ((4, 3), (50_000, 200_000)):
         assert sorted(tuple(x) for x in sample_hits(f, s, *per_group).collect()) == want      # a row for a hit, and no other
+
+
+def test_value_text_equals_str(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from seqlake.operators.reshape import value_text
+    values = ["a b", "it's", "", 5, -7, True, False, [], {}, ["a", None, True, 3], {"k": [1, {"x": "y"}], "m": "say \"a\""}, ["it's", "x:y, z", "[b]"], "true", "None"]
+    df = spark.createDataFrame([(i, json.dumps({"v": v})) for i, v in enumerate(values)] + [(100, '{"v": null}'), (101, "{}")], "i int, j string")
+    got = {r["i"]: r["t"] for r in df.select("i", value_text(F.from_json("j", "map<string, variant>")["v"]).alias("t")).collect()}
+    assert [got[i] for i in range(len(values))] == [str(v) for v in values]
+    assert got[100] == got[101] == ""

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 
@@ -74,3 +75,20 @@ def test_redelivered_records_dedupe_across_batches(spark, tmp):
     run(stream, f"{tmp}/ckpt", path=f"{tmp}/out")
     got = spark.read.parquet(f"{tmp}/out")
     assert got.count() == 30 and got.select("submission_id").distinct().count() == 30
+
+
+@pytest.mark.parametrize("forget", [None, 10**6])
+def test_versions_of_replayed_and_late_events(spark, tmp, forget):
+    from seqlake.streaming.ingest import VERSION_SCHEMA, file_stream, land, newer_versions, run
+
+    def deliver(rows):
+        land(spark.createDataFrame(rows, VERSION_SCHEMA), f"{tmp}/in", 1)
+        stream = newer_versions(file_stream(spark, f"{tmp}/in", VERSION_SCHEMA), forget_after_ms=forget)
+        run(stream, f"{tmp}/ckpt", path=f"{tmp}/out", state_partitions=2)
+        return sorted((tuple(r) for r in spark.read.schema(VERSION_SCHEMA).parquet(f"{tmp}/out").collect()), key=str)
+
+    a, b = ("r", "S1", "x.tsv"), ("r", None, "y.tsv")
+    first = [(*a, 5), (*a, 7), (*b, 1)]
+    assert deliver([(*a, 5), (*a, 5), (*a, 7), (*b, 1)]) == sorted(first, key=str)
+    assert deliver([(*a, 7), (*b, 1), (*a, 6)]) == sorted(first, key=str)         # a replay and a late older event
+    assert deliver([(*a, 9), (*b, None)]) == sorted([*first, (*a, 9)], key=str)
