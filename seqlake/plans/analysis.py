@@ -93,20 +93,18 @@ def build_analysis_table_from_files(spark: SparkSession, data_dir: str) -> dict[
     """
     from ..functions.paths import uri_text
     from ..operators.headers import resolve_results
+    from ..session import send_package
     from ..sources import files as src
+    from ..sources.listing import list_folders
 
+    send_package(spark)
     d = data_dir.rstrip("/")
     gba = src.read_catalog(spark, f"{d}/meta.gba.csv", with_id_alt=True).distinct()
-    gba = gba.where(F.col("id") == "null")
-    wanted = [r[0] for r in gba.select("current").distinct().collect()]  # one summary per run
-    if wanted:
-        dirs = src.existing_paths(spark, sorted({w.rsplit("/", 1)[0] for w in wanted}))   # a table may be gone with its folder
-        present = (src.list_files(spark, dirs, recursive=False).select(uri_text("path").alias("current")) if dirs
-                   else spark.createDataFrame([], "current string"))
-        gba = gba.withColumn("current", uri_text("current")).join(present, "current", "left_semi")
-        paths = [r[0] for r in gba.select("current").distinct().collect()]
-    else:
-        paths = []
+    gba = gba.where(F.col("id") == "null").withColumn("current", uri_text("current"))
+    # a table may be gone, with its folder or alone
+    there = list_folders(gba.select(F.regexp_replace("current", "/[^/]+$", "").alias("path")), recursive=False)
+    gba = gba.join(there.select(F.col("path").alias("current")), "current", "left_semi")
+    paths = [r[0] for r in gba.select("current").distinct().collect()]      # one summary a run, read split by split
     rows = src.read_tables_with_header(spark, paths).withColumn("current", uri_text("file_path"))
     rows = rows.join(gba.select("current", "workflow", "timestamp"), "current")
     results = resolve_results(rows, keep=["workflow", "timestamp", "current", "block", "line_no"])

@@ -45,10 +45,16 @@ def pending_uploads(reads: DataFrame, destination: DataFrame, key: str = "key")
 def export_new_reads(spark, fastq_csv: str, dest_root: str, now: int, lookback_days: int = 30, copier=None,
                      status_path: str | None = None) -> dict:
     """JOB5 against files: read ``meta.fastq.csv``, pick new reads, skip
-    names already at ``dest_root``, copy the rest as ``<dest_root>/<name>``."""
+    names already at ``dest_root``, copy the rest as ``<dest_root>/<name>``.
+
+    The status of every copy is written, to ``status_path`` or below the shared
+    folder, and counted by the copy itself; none of it comes to the driver."""
+    from ..session import send_package, shared_dir
+    from ..sinks.committed import counted
     from ..sinks.copy import copy_files, local_copy
     from ..sources import files as src
 
+    send_package(spark)
     fastq = src.read_catalog(spark, fastq_csv, with_id_alt=True)
     reads = new_reads(fastq, now, lookback_days)
     jvm = spark.sparkContext._jvm
@@ -61,10 +67,6 @@ def export_new_reads(spark, fastq_csv: str, dest_root: str, now: int, lookback_d
         listing = spark.createDataFrame([], "key string")
     todo = pending_uploads(reads, listing).withColumn(
         "dest", F.concat(F.lit(dest_root.rstrip("/") + "/"), F.col("dest_name")))
-    status = copy_files(todo.select(F.col("source").alias("origin"), "dest"), copier or local_copy)
-    if status_path:
-        status.write.mode("overwrite").parquet(status_path)
-        status = spark.read.parquet(status_path)
-    rows = status.collect() if not status_path else None
-    ok = sum(1 for r in rows if r["ok"]) if rows is not None else status.where("ok").count()
-    return {"copied": ok, "skipped_rows": skipped_rows(fastq).count()}
+    status, seen = counted(copy_files(todo.select(F.col("source").alias("origin"), "dest"), copier or local_copy))
+    status.write.mode("overwrite").parquet(status_path or shared_dir(spark, "export-status"))
+    return {"copied": int(seen.get["files"] or 0), "skipped_rows": skipped_rows(fastq).count()}

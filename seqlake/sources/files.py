@@ -1,4 +1,5 @@
-"""File sources (SRC1-SRC9, SRC12, SRC14-SRC18).
+"""File sources (SRC1-SRC6, SRC8, SRC9, SRC12, SRC14-SRC18); folders named by
+rows are in :mod:`seqlake.sources.listing`.
 
 Everything tabular is read as text with an explicit or header-given
 schema (never inferred: ``0001`` must stay ``0001``) and cast late.
@@ -100,17 +101,6 @@ def read_manifests(spark: SparkSession, run_paths: DataFrame | Sequence[str], na
     return rows.select(F.regexp_replace("file_path", "/[^/]+$", "").alias("run_path"), "sample", "fastq_1", "fastq_2")
 
 
-def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The given folders that are there (one storage call each; run folders, not files)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for s in paths:
-        p = jvm.org.apache.hadoop.fs.Path(s)
-        if p.getFileSystem(conf).exists(p):
-            out.append(s)
-    return out
-
-
 # ------------------------------------------------------------ listings
 def list_files(spark: SparkSession, root: str | Sequence[str], recursive: bool = True, glob: str | None = None) -> DataFrame:
     """Every file below ``root``: ``(path, modified_ms, length)`` (SRC8, SRC9).
@@ -130,45 +120,6 @@ def list_files(spark: SparkSession, root: str | Sequence[str], recursive: bool =
     )
 
 
-def list_children(spark: SparkSession, parents: str | Sequence[str]) -> DataFrame:
-    """Direct children of each folder with time and kind (SRC7, SRC20):
-    ``(parent, path, name, modified_ms, is_dir)``.
-
-    Folder times are not visible through file sources, so this reads the
-    storage's own listing of the given folders (one call per folder; run
-    roots hold hundreds of entries, not millions).
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    rows = []
-    for parent in _paths(parents):
-        p = jvm.org.apache.hadoop.fs.Path(parent)
-        fs = p.getFileSystem(conf)
-        if not fs.exists(p):
-            continue
-        for st in fs.listStatus(p):
-            path = st.getPath().toString()
-            rows.append((parent, path, st.getPath().getName(), int(st.getModificationTime()), bool(st.isDirectory())))
-    df = local_table(spark, rows, ["parent", "path", "name", "modified_ms", "is_dir"],
-                     ["string", "string", "string", "bigint", "boolean"])
-    return df.withColumn("path", uri_text("path"))
-
-
-def path_status(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Status of single named paths (a run given directly, SRC20)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    rows = []
-    for s in paths:
-        p = jvm.org.apache.hadoop.fs.Path(s)
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            st = fs.getFileStatus(p)
-            rows.append((st.getPath().toString(), int(st.getModificationTime()), bool(st.isDirectory())))
-    df = local_table(spark, rows, ["path", "modified_ms", "is_dir"], ["string", "bigint", "boolean"])
-    return df.withColumn("path", uri_text("path"))
-
-
 # ------------------------------------------------ header-per-file tables
 def read_tables_with_header(spark: SparkSession, paths: str | Sequence[str], sep: str = "\t") -> DataFrame:
     """Many delimited files, each with its own header (SRC3).
