@@ -332,6 +332,46 @@ def test_every_repeated_window_is_covered(spark):
     assert not missed
 
 
+def common_text(n_docs: int, n_pairs: int, share: int, seed: int = 72) -> tuple[list[tuple], dict]:
+    """Documents of 200 words from a vocabulary of 2000 with four successors a word, so that four-word windows recur by chance,
+    and planted passages of 70 words, the later copy with ``share`` percent of its words changed: rows, {later: (earlier, start)}."""
+    r = random.Random(seed)
+    after = [[r.randrange(2000) for _ in range(4)] for _ in range(2000)]
+
+    def chain(n: int) -> list[str]:
+        w = r.randrange(2000)
+        out = []
+        for _ in range(n):
+            out.append(f"w{w}")
+            w = r.choice(after[w])
+        return out
+
+    docs = [chain(200) for _ in range(n_docs)]
+    ids = r.sample(range(n_docs), 2 * n_pairs)
+    planted = {}
+    for x, y in zip(ids[::2], ids[1::2], strict=True):
+        lo, hi = min(x, y), max(x, y)
+        p, a, b = chain(70), r.randrange(130), r.randrange(130)
+        docs[lo][a:a + 70] = p
+        q = list(p)
+        for k in r.sample(range(1, 69), 70 * share // 100):
+            q[k] = f"w{r.randrange(2000)}"
+        docs[hi][b:b + 70] = q
+        planted[hi] = (lo, b)
+    return [(k, " ".join(w)) for k, w in enumerate(docs)], planted
+
+
+@pytest.mark.parametrize("n_docs, share", [(100, 10), (1000, 10), (6000, 10), (6000, 20)])
+def test_changed_passages_are_found_where_seeds_are_common(spark, n_docs, share):
+    rows, planted = common_text(n_docs, min(n_docs // 4, 150), share)
+    got = {}
+    for x in op07_substring.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        got.setdefault((x["doc_id"], x["source_id"]), []).append((x["start_word"], x["end_word"]))
+    found = sum(any(s < b + 60 and e > b + 10 for s, e in got.get((d, o), [])) for d, (o, b) in planted.items())
+    assert found >= 0.9 * len(planted), (found, len(planted))
+    assert set(got) <= {(d, o) for d, (o, _) in planted.items()}
+
+
 def test_removal(spark, edge):
     p = words(801, 60)
     df = spark.createDataFrame([(1, f"{p} x", 1), (2, f"a  b\n{p} c d", 2), (3, p, 3), (4, None, 4)], "doc_id long, text string, n_chars long")
