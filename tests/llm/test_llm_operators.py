@@ -1,7 +1,10 @@
 """Operators against brute force, other libraries, exact round trips and held-out accuracy."""
 
+import collections
 import hashlib
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -435,6 +438,36 @@ def test_language_edges(spark):
     assert got[103][0] == "en" and got[0][0] == "en" and got[1][0] == "fr"
 
 
+def test_language_equals_naive_bayes_by_hand(spark):
+    """Predictions and scores equal those of a naive Bayes over n-grams in dictionaries."""
+    r = random.Random(90)
+    odds = {"aa": "aaab c", "bb": "abbb c", "cc": "abccc 1"}
+    rows = [(k, "".join(r.choice(odds[x]) for _ in range(r.randrange(0, 60))), x) for k, x in enumerate(r.choices(list(odds), [5, 3, 1], k=120))]
+    rows += [(200, None, "aa"), (201, "abc", None), rows[3], (202, "12 3", "bb")]
+
+    def ngrams(text: str) -> list[str]:
+        t = re.sub(r"[^a-z]+", " ", text.lower())
+        return [t[i:i + n] for n in op09_language.ORDERS for i in range(len(t) - n + 1)]
+
+    known = [(t, x) for _, t, x in rows if t is not None and x is not None]
+    count = {x: collections.Counter(g for t, y in known if y == x for g in ngrams(t)) for x in odds}
+    n_texts = {x: sum(y == x and any(c.isalpha() for c in t) for t, y in known) for x in odds}
+    add, buckets = op09_language.SMOOTHING, op09_language.BUCKETS
+    expected = []
+    for d, t, _ in rows:
+        if t is None or not any(c.isalpha() for c in t):
+            expected.append((d, "und", 0.0))
+            continue
+        log_p = {x: math.log((n_texts[x] + add) / sum(v + add for v in n_texts.values()))
+                 + sum(math.log((count[x][g] + add) / (sum(count[x].values()) + add * buckets)) for g in ngrams(t)) for x in odds}
+        best = max(sorted(odds), key=log_p.get)
+        expected.append((d, best, 1 / sum(math.exp(v - log_p[best]) for v in log_p.values())))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = sorted((x["doc_id"], x["lang_pred"], x["score"]) for x in op09_language.identify(df, op09_language.fit(df)).collect())
+    for x, y in zip(got, sorted(expected), strict=True):
+        assert x[:2] == y[:2] and abs(x[2] - y[2]) < 1e-3, (x, y)
+
+
 def test_ngrams_stay_within_texts():
     both = pa.array(["ab", "cd"])
     for _, _, data, off in slices(both):
