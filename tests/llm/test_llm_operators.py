@@ -375,6 +375,14 @@ def test_changed_passages_are_found_where_seeds_are_common(spark, n_docs, share)
     assert set(got) <= {(d, o) for d, (o, _) in planted.items()}
 
 
+def test_passages_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    df = spark.createDataFrame(common_text(60, 15, 10)[0], "doc_id long, text string").repartition(3).cache()
+    few = sorted(op07_substring.passages(df).collect())
+    monkeypatch.setattr(op07_substring, "BUCKET_WORDS", 1)
+    monkeypatch.setattr(op07_substring, "TASK_WORDS", 1500)
+    assert few and sorted(op07_substring.passages(df).collect()) == few
+
+
 def test_removal(spark, edge):
     p = words(801, 60)
     df = spark.createDataFrame([(1, f"{p} x", 1), (2, f"a  b\n{p} c d", 2), (3, p, 3), (4, None, 4)], "doc_id long, text string, n_chars long")
