@@ -26,20 +26,23 @@ def expand_rules(runs: DataFrame, manifest: DataFrame, rules: DataFrame) -> Data
 
     ``runs``: ``(run, workflow, run_path)``; ``manifest``: ``(run_path, sample,
     fastq_1, fastq_2)``.  A run is known by its whole path: two folders may
-    share a name.  Sample patterns are joined to the samples of a
-    run on the workflow (an equi join with the small rule table, not a
-    cross product); run patterns to the run; read files come from the
-    manifest.  An unknown workflow keeps only its reads.
+    share a name.  The patterns of a workflow are one list (as long as its
+    block of the rule file), which its runs carry; a sample meets the list
+    with its run and expands it where it stands.  So no sample is shuffled
+    by workflow, of which there are few and one may hold nearly all samples.
+    Read files come from the manifest.  An unknown workflow keeps only its reads.
     """
-    r = rules.select("workflow", "kind", "pattern")
-    samples = manifest.select("run_path", "sample", "fastq_1", "fastq_2").join(runs.select("run", "workflow", "run_path"), "run_path")
-    sample_files = samples.join(r.where(F.col("kind") == "sample_files"), "workflow").select(
-        "run_path", "run", "workflow", "sample", F.concat("run_path", fill_sample("pattern", "sample")).alias("file"))
-    run_files = runs.join(r.where(F.col("kind") == "run_files"), "workflow").select(
-        "run_path", "run", "workflow", F.lit(None).cast("string").alias("sample"), F.concat("run_path", "pattern").alias("file"))
-    reads = samples.select("run_path", "run", "workflow", "sample", F.explode(F.array("fastq_1", "fastq_2")).alias("file"))
-    reads = reads.where(F.col("file").isNotNull())
-    return sample_files.unionByName(run_files).unionByName(reads)
+    patterns = rules.groupBy("workflow").agg(
+        *[F.collect_list(F.when(F.col("kind") == k, F.col("pattern"))).alias(k) for k in ("run_files", "sample_files")])
+    ruled = runs.select("run", "workflow", "run_path").join(patterns, "workflow", "left")
+    run_files = ruled.select("run_path", "run", "workflow", F.lit(None).cast("string").alias("sample"),
+                             F.explode("run_files").alias("pattern")).withColumn("pattern", F.concat("run_path", "pattern"))
+    samples = manifest.select("run_path", "sample", "fastq_1", "fastq_2").join(ruled.drop("run_files"), "run_path")
+    reads = F.filter(F.array("fastq_1", "fastq_2"), lambda f: f.isNotNull())
+    kept = F.transform(F.coalesce("sample_files", F.array().cast("array<string>")),
+                       lambda p: F.concat("run_path", fill_sample(p, "sample")))
+    sample_files = samples.select("run_path", "run", "workflow", "sample", F.explode(F.concat(kept, reads)).alias("file"))
+    return sample_files.unionByName(run_files.withColumnRenamed("pattern", "file"))
 
 
 def existing_files(expanded: DataFrame, listing: DataFrame, path: str = "path") -> DataFrame:

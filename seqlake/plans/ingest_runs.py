@@ -22,6 +22,7 @@ from ..operators.ranking import batch_number
 from ..operators.retention import existing_files, expand_rules
 
 BATCH_SIZE = 20
+BATCH_SECONDS = 10.0
 DEFAULT_DELTA = 1_000_000_000
 
 
@@ -133,7 +134,8 @@ def plan_runs(run_listing: DataFrame, manifests_listing: DataFrame, manifest_row
 # ---------------------------------------------------------------- runner
 def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window,
                 copier=None, run_id: str | None = None, rules_format: str = "config",
-                version_by: str = "run", lake_index: str = "listing") -> dict:
+                version_by: str = "run", lake_index: str = "listing", batch_size: int | None = None,
+                interval: float = BATCH_SECONDS) -> dict:
     """Run the whole production ingest against real folders.
 
     ``samplesheet``: CSV path or DataFrame with ``workflow`` and either
@@ -148,7 +150,8 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     lists the lake (exact, storage is the truth); ``'catalog'`` reads the
     ``current`` column of the catalog instead, which is far cheaper than
     listing billions of objects (run :func:`reconcile_catalog` after a lost
-    catalog write).
+    catalog write).  ``batch_size`` paces the copies: so many files
+    (:data:`BATCH_SIZE` is the lab's number) every ``interval`` seconds.
     """
     if lake_index not in ("listing", "catalog"):
         raise ValueError("lake_index must be 'listing' or 'catalog'")
@@ -202,7 +205,8 @@ def ingest_runs(spark, samplesheet, rules_path: str, outdir: str, window: Window
     plan = transfer_plan(kept.join(runs.select("run_path", "seconds"), "run_path"), out,
                          file_times=present if version_by == "file" else None)
     lake = arrived(spark, out, _lake_listing(spark, f"{out}/data")) if lake_index == "listing" else _catalog_index(spark, out)
-    moved, counts = carry_out(spark, out, run_id, pending_transfers(plan, lake), copier or local_copy, catalog_rows)
+    moved, counts = carry_out(spark, out, run_id, pending_transfers(plan, lake), copier or local_copy, catalog_rows,
+                              batch_size=batch_size, interval=interval)
     publish(spark, out)
     return {"run_id": run_id, "files": counts["files"], "failed": counts["failed"], "run_level": counts["run_level"], "bytes": counts["bytes"],
             "catalog": f"{out}/meta/{run_id}.csv" if counts["files"] else None,

@@ -97,19 +97,25 @@ def counted(status: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def carry_out(spark: SparkSession, out: str, run_id: str, pending: DataFrame, copier, catalog: Callable[[DataFrame], DataFrame],
-              ledger: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, dict]:
+              ledger: Callable[[DataFrame], DataFrame] | None = None, batch_size: int | None = None,
+              interval: float = 0.0) -> tuple[DataFrame, dict]:
     """Copy a plan and commit it: ``(moved rows, counters)``.
 
     ``catalog`` makes catalog rows of moved ones; ``ledger`` makes ledger rows
     of the copy status, if the job keeps a ledger.  Every step is written
     before the next one reads it, so copies are made once and an executor
-    that is lost repeats its own tasks only.
+    that is lost repeats its own tasks only.  With ``batch_size`` the plan
+    carries batch numbers in destination order, and a batch is released
+    every ``interval`` seconds.
     """
     import time
 
+    from ..operators.ranking import batch_number
     from .copy import copy_files
+    if batch_size:
+        pending = batch_number(pending, ["dest"], batch_size)
     plan = stage(pending, out, run_id, "plan")
-    status, seen = counted(copy_files(plan, copier))
+    status, seen = counted(copy_files(plan, copier, slot="batch" if batch_size else None, interval=interval))
     status = stage(status, out, run_id, "status")
     facts = {k: int(v or 0) for k, v in seen.get.items()}
     moved = plan.join(status.where("ok").select("dest"), "dest", "left_semi")

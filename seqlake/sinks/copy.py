@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import shutil
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -76,25 +77,41 @@ def arrow_copy(origin: str, dest: str) -> int:
 
 
 def copy_files(plan: DataFrame, copier: Copier = local_copy, origin: str = "origin", dest: str = "dest",
-               parallelism: int | None = None) -> DataFrame:
+               parallelism: int | None = None, slot: str | None = None, interval: float = 0.0) -> DataFrame:
     """Status of copying every ``origin`` to ``dest`` (lazy; act on it once
     and keep the result, e.g. by writing it).
 
-    ``parallelism`` spreads the plan round-robin over that many tasks, which
-    is how many copies run at once (a store's request budget decides it);
-    by default the plan's own partitions are used.
+    ``parallelism`` spreads the plan over that many tasks, which is how many
+    copies run at once (a store's request budget decides it); by default the
+    plan's own partitions are used.
+
+    ``slot`` names a column of batch numbers from 0 (STR5): the copies of
+    batch ``k`` are released ``k * interval`` seconds after the first task's
+    plan was made, and not before.  A batch lies in one task and a task holds
+    consecutive batches, so tasks that wait for a free core start before
+    their first slot; a task that lags keeps the interval between its own batches.
     """
-    if parallelism:
+    width = parallelism or int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if slot:
+        plan = plan.repartitionByRange(width, slot).sortWithinPartitions(slot, dest)
+    elif parallelism:
         plan = plan.repartition(parallelism)
+    begin = time.time()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, free = None, 0.0
         for b in batches:
             out = []
-            for o, d in zip(b[origin], b[dest]):
+            for i, (o, d) in enumerate(zip(b[origin], b[dest])):
+                if slot and b[slot].iat[i] != last:
+                    last = b[slot].iat[i]
+                    due = max(begin + float(last) * interval, free)
+                    time.sleep(max(0.0, due - time.time()))
+                    free = max(due, time.time()) + interval
                 try:
                     out.append((o, d, True, int(copier(o, d)), None))
                 except Exception as e:  # reported per file, never fails the job
                     out.append((o, d, False, 0, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["origin", "dest", "ok", "bytes", "error"])
 
-    return plan.select(origin, dest).mapInPandas(run, STATUS_SCHEMA)
+    return plan.select(origin, dest, *([slot] if slot else [])).mapInPandas(run, STATUS_SCHEMA)
