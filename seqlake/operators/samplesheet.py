@@ -84,9 +84,9 @@ def validate_samplesheet(spark, path: str, out_path: str | None = None) -> DataF
 
     Raises :class:`SamplesheetError` listing every bad line (line numbers
     count the header as line 1) or the missing columns; otherwise returns
-    the transformed sheet and writes it as CSV when ``out_path`` is given.
+    the transformed sheet and writes it as one CSV file when ``out_path`` is given.
     """
-    from ..sinks.writers import write_csv
+    from ..sinks.onefile import write_ordered_file
     from ..sources.files import read_csv, sniff_delimiters
 
     seps = [r["sep"] for r in sniff_delimiters(spark, path).select("sep").distinct().collect()]   # at most one per delimiter
@@ -110,7 +110,7 @@ def validate_samplesheet(spark, path: str, out_path: str | None = None) -> DataF
         raise SamplesheetError("\n".join(f"{e['error']} On line {e['line']}." for e in errors))
     if sheet_duplicates(parsed).limit(1).count():
         raise SamplesheetError("The pair of sample name and FASTQ must be unique.")
-    valid = sheet_valid(parsed).orderBy("line").drop("line")
+    valid = sheet_valid(parsed)
     if out_path:
-        write_csv(valid, out_path, single_file=True)
-    return valid
+        write_ordered_file(valid, out_path, ["line"], [c for c in valid.columns if c != "line"])
+    return valid.orderBy("line").drop("line")

@@ -372,6 +372,13 @@ ORACLE["entity_pages"] = """
                 ELSE concat('gs://bkt/suppliers/', CAST(s_suppkey AS VARCHAR), '.tsv') END AS report
     FROM supplier"""
 
+ORACLE["entity_file"] = f"""
+    WITH entities AS ({ORACLE["entity_pages"]})
+    SELECT 1 AS line, concat_ws(chr(9), 'supplier_id', 'nation', 'suppkey', 'report') AS text
+    UNION ALL
+    SELECT 1 + row_number() OVER (ORDER BY supplier_id), concat_ws(chr(9), supplier_id, nation, suppkey, report)
+    FROM entities"""
+
 # ----------------------------------------------------------- id text
 ORACLE["normalize_ids"] = _w(META + """,
 ids AS (
@@ -444,6 +451,13 @@ ORACLE["sheet_valid"] = _w(SHEET, """
     FROM chk
     WHERE length(coalesce(sample, '')) > 0 AND (f1 LIKE '%.fq.gz' OR f1 LIKE '%.fastq.gz')
       AND (length(f2) = 0 OR f2 LIKE '%.fq.gz' AND f1 LIKE '%.fq.gz' OR f2 LIKE '%.fastq.gz' AND f1 LIKE '%.fastq.gz')""")
+ORACLE["sheet_file"] = f"""
+    WITH valid AS ({ORACLE["sheet_valid"]})
+    SELECT 1 AS line, 'sample,single_end,fastq_1,fastq_2' AS text
+    UNION ALL
+    SELECT 1 + row_number() OVER (ORDER BY line),
+           concat_ws(',', sample, CASE WHEN single_end THEN 'true' ELSE 'false' END, fastq_1, fastq_2)
+    FROM valid"""
 ORACLE["sheet_duplicates"] = _w(SHEET, """
     SELECT replace(sample, ' ', '_') AS sample, fastq_1, count(*) AS n FROM sheet
     GROUP BY 1, 2 HAVING count(*) > 1""")

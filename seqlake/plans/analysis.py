@@ -66,10 +66,9 @@ def split_complete(table: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def export_analysis(spark: SparkSession, table: DataFrame, out_dir: str) -> dict[str, str]:
     """Write ``gba.csv`` (spaces -> ``_`` in every value) and
-    ``gba.miss.csv``; both are replaced on every build and ordered by id."""
-    from ..sinks.writers import write_csv
-
+    ``gba.miss.csv``, one named file each; both are replaced on every build and ordered by id."""
     from ..session import shared_dir
+    from ..sinks.onefile import write_ordered_file
 
     path = f"{shared_dir(spark, 'analysis')}/table"          # built once, split after
     table.write.parquet(path)
@@ -77,8 +76,8 @@ def export_analysis(spark: SparkSession, table: DataFrame, out_dir: str) -> dict
     ok = ok.select(*[F.replace(F.col(c).cast("string"), F.lit(" "), F.lit("_")).alias(c) for c in ok.columns])
     out = out_dir.rstrip("/")
     paths = {"gba": f"{out}/gba.csv", "gba.miss": f"{out}/gba.miss.csv"}
-    write_csv(ok.orderBy("id"), paths["gba"])
-    write_csv(miss.orderBy("id"), paths["gba.miss"])
+    write_ordered_file(ok, paths["gba"], ["id"])
+    write_ordered_file(miss, paths["gba.miss"], ["id"])
     return paths
 
 

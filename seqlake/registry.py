@@ -524,3 +524,27 @@ def stream_versions(spark, sf):
     """Deliveries of object events, each landed twice, as a stream of versions: a new time of an object makes a version, a replay none."""
     from .streaming.ingest import stream_file_versions
     return stream_file_versions(spark, d.file_events(spark, sf))
+
+
+@query("entity_file")
+def entity_file(spark, sf):
+    """Entity pages written as one ordered table file, and its lines read back with their numbers."""
+    from .operators.ranking import line_numbers
+    from .plans.export_entities import write_entities
+    from .session import shared_dir
+    path = f"{shared_dir(spark, 'entities')}/supplier.tsv"
+    write_entities(d.entity_pages(spark, sf), d.entity_type_meta(spark, sf), "supplier", path)
+    return line_numbers(spark.read.text(path)).select("line", F.col("value").alias("text"))
+
+
+@query("sheet_file")
+def sheet_file(spark, sf):
+    """A checked samplesheet written as one CSV file in line order, and its lines read back with their numbers."""
+    from .operators.ranking import line_numbers
+    from .operators.samplesheet import clean_lines, sheet_valid as sv
+    from .session import shared_dir
+    from .sinks.onefile import write_ordered_file
+    valid = sv(clean_lines(d.sheet(spark, sf)))
+    path = f"{shared_dir(spark, 'sheet')}/sheet.csv"
+    write_ordered_file(valid, path, ["line"], [c for c in valid.columns if c != "line"])
+    return line_numbers(spark.read.text(path)).select("line", F.col("value").alias("text"))

@@ -17,9 +17,13 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 STATUS_SCHEMA = "origin string, dest string, ok boolean, bytes long, error string"
 
+# Tasks that share the slots of a paced plan when the caller names no number.
+PACED_TASKS = 4
+
 Copier = Callable[[str, str], int]
 
 
@@ -85,33 +89,40 @@ def copy_files(plan: DataFrame, copier: Copier = local_copy, origin: str = "orig
     copies run at once (a store's request budget decides it); by default the
     plan's own partitions are used.
 
-    ``slot`` names a column of batch numbers from 0 (STR5): the copies of
-    batch ``k`` are released ``k * interval`` seconds after the first task's
-    plan was made, and not before.  A batch lies in one task and a task holds
-    consecutive batches, so tasks that wait for a free core start before
-    their first slot; a task that lags keeps the interval between its own batches.
+    ``slot`` names a column of batch numbers from 0 (STR5).  Time is cut in
+    slots of ``interval`` seconds, which belong to the tasks in turn; a task
+    releases one batch in each slot of its own and none in another's.  So
+    no slot sees two releases, also when tasks start late, lag or are repeated
+    after the loss of their executor (clocks must agree within a part of a
+    slot).  A task without a core leaves its slots unused: ask for no more
+    tasks than run at once.
     """
-    width = parallelism or int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lanes = parallelism or PACED_TASKS
     if slot:
-        plan = plan.repartitionByRange(width, slot).sortWithinPartitions(slot, dest)
+        plan = (plan.withColumn("_lane", F.pmod(F.col(slot), F.lit(lanes)).cast("int"))
+                .repartition(lanes, "_lane").sortWithinPartitions(slot, dest))
     elif parallelism:
         plan = plan.repartition(parallelism)
-    begin = time.time()
+
+    def own_slot(lane: int, after: int) -> int:
+        """Wait for the next slot of a lane; its number."""
+        first = max(int(time.time() // interval) + 1, after + 1)
+        turn = first + (lane - first) % lanes
+        time.sleep(max(0.0, turn * interval - time.time()))
+        return turn
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, free = None, 0.0
+        last, used = None, -1
         for b in batches:
             out = []
             for i, (o, d) in enumerate(zip(b[origin], b[dest])):
-                if slot and b[slot].iat[i] != last:
+                if slot and interval > 0 and b[slot].iat[i] != last:
                     last = b[slot].iat[i]
-                    due = max(begin + float(last) * interval, free)
-                    time.sleep(max(0.0, due - time.time()))
-                    free = max(due, time.time()) + interval
+                    used = own_slot(int(b["_lane"].iat[i]), used)
                 try:
                     out.append((o, d, True, int(copier(o, d)), None))
                 except Exception as e:  # reported per file, never fails the job
                     out.append((o, d, False, 0, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["origin", "dest", "ok", "bytes", "error"])
 
-    return plan.select(origin, dest, *([slot] if slot else [])).mapInPandas(run, STATUS_SCHEMA)
+    return plan.select(origin, dest, *([slot, "_lane"] if slot else [])).mapInPandas(run, STATUS_SCHEMA)

@@ -1,7 +1,7 @@
 """Table and file sinks (SNK3-SNK8, SNK10, SNK13, SNK14).
 
-Exports are folders of CSV part files written by many tasks; a single
-file is produced only on request and only for small, final exports.
+Exports are folders of CSV part files written by many tasks; one named,
+ordered file comes from :mod:`seqlake.sinks.onefile`.
 """
 
 from __future__ import annotations
@@ -23,22 +23,12 @@ def save_as_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).saveAsTable(name)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", single_file: bool = False) -> None:
-    """CSV with a header; every value quoted only where needed.
-
-    ``single_file`` merges into one task and is meant for small final
-    exports only (an empty frame still writes its header).
-    """
-    if single_file:
-        df = df.coalesce(1)
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
+    """CSV with a header; every value quoted only where needed."""
     (df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"')
      .option("escape", '"').option("emptyValue", "").csv(path))
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
-    write_csv(df, path, sep="\t", mode=mode, single_file=single_file)
-
-
 def append_if_any(df: DataFrame, path: str, fmt: str = "csv") -> bool:
     """Append ``df`` only when it has at least one row (the catalog file
     of an ingest exists only if something moved).  Returns whether it wrote."""
