@@ -6,6 +6,10 @@ weight for every pair of features in a text, so that two harmless terms can
 weigh together.  The sum over pairs is worked out as
 ``(sum v)**2 - sum v**2``, in time proportional to the features.
 
+A feature is learned if its own share of toxic texts stands out, or if it is
+in a pair whose share is not what the shares of its two features explain:
+so terms that mean nothing alone and much together are learned too.
+
 The machine is fitted on a sample of labelled rows of fixed size
 (``MAX_TRAIN_ROWS``, those with the smallest hash of doc_id), on the driver;
 its tables have a fixed size and are broadcast.  Every whole text is scored.
@@ -35,10 +39,15 @@ BUCKETS = 1 << 20
 FACTORS = 4
 BEGINNINGS = (4, 5)
 #: Labelled rows the machine is fitted on; a feature gets a weight if this many of them share it and its share
-#: of toxic rows is this many standard deviations from the overall share.
+#: of toxic rows is this many standard deviations from the overall share,
 MAX_TRAIN_ROWS = 12_000
 MIN_ROWS = 4
 MIN_DEVIATIONS = 4.0
+#: or if it is in a pair that is in this many rows and whose share is this many standard deviations from what
+#: the two features' own shares make together.  Pairs are counted among so many features, the most frequent ones.
+PAIR_ROWS = 16
+PAIR_DEVIATIONS = 10.0
+PAIR_TERMS = 4096
 EPOCHS, BATCH, RATE, SHRINK = 20, 64, 0.3, 1e-2
 THRESHOLD = 0.3
 
@@ -86,6 +95,50 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def pair_features(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Buckets of features whose pairs stand out from the sum of their own weights.
+
+    The pair counts are two products of 0-1 matrices (all rows, toxic
+    rows), made of blocks of rows.  Rows of equal features and label count
+    once: the terms of a text that was copied often go together anyway.
+    """
+    distinct = {(r.tobytes(), y): i for i, (r, y) in enumerate(zip(rows, labels))}
+    at = sorted(distinct.values())
+    rows, labels = [rows[i] for i in at], labels[at]
+    flat = np.concatenate(rows)
+    seen = np.bincount(flat, minlength=BUCKETS)
+    toxic = np.bincount(flat, np.repeat(labels, [len(r) for r in rows]), minlength=BUCKETS)
+    share = np.clip(labels.mean(), 1e-4, 1 - 1e-4)
+    common = np.flatnonzero(seen >= PAIR_ROWS)
+    common = np.sort(common[np.lexsort((common, -seen[common]))[:PAIR_TERMS]])
+    k = len(common)
+    if k < 2:
+        return common[:0]
+    index = np.full(BUCKETS, -1, np.int64)
+    index[common] = np.arange(k)
+    both, bad = np.zeros((k, k), np.float32), np.zeros((k, k), np.float32)
+    for at in range(0, len(rows), 1024):
+        block = rows[at:at + 1024]
+        x = np.zeros((len(block), k), np.float32)
+        col = index[np.concatenate(block)]
+        line = np.repeat(np.arange(len(block)), [len(r) for r in block])
+        x[line[col >= 0], col[col >= 0]] = 1
+        both += x.T @ x
+        x = x[labels[at:at + 1024] > 0]
+        bad += x.T @ x
+    own = np.clip((toxic[common] + 2 * share) / (seen[common] + 2), 1e-4, 1 - 1e-4)
+    log_odds = np.log(own / (1 - own))
+    found = np.zeros(k, bool)
+    for at in range(0, k, 256):
+        p = sigmoid(log_odds[at:at + 256, None] + log_odds - np.log(share / (1 - share)))
+        n = both[at:at + 256]
+        off = np.abs(bad[at:at + 256] - n * p) >= PAIR_DEVIATIONS * np.sqrt(n * p * (1 - p))
+        off &= n >= PAIR_ROWS
+        off[np.arange(len(off)), at + np.arange(len(off))] = False
+        found[at:at + 256] = off.any(1)
+    return common[found]
+
+
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     """AdaGrad over mini-batches; rows are arrays of distinct buckets."""
     weight, vector = np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32)
@@ -95,7 +148,8 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     seen = np.bincount(flat, minlength=BUCKETS)
     toxic = np.bincount(flat, np.repeat(labels, [len(r) for r in rows]), minlength=BUCKETS)
     share = np.clip(labels.mean(), 1e-4, 1 - 1e-4)
-    known = np.flatnonzero((seen >= MIN_ROWS) & (np.abs(toxic - share * seen) >= MIN_DEVIATIONS * np.sqrt(share * (1 - share) * seen)))
+    alone = np.flatnonzero((seen >= MIN_ROWS) & (np.abs(toxic - share * seen) >= MIN_DEVIATIONS * np.sqrt(share * (1 - share) * seen)))
+    known = np.union1d(alone, pair_features(rows, labels))
     index = np.full(BUCKETS, -1, np.int64)
     index[known] = np.arange(len(known))
     rows = [(i := index[r])[i >= 0] for r in rows]

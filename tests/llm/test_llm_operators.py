@@ -234,6 +234,40 @@ def test_factorization_machine_learns_a_pair():
     assert abs(pair) > 0
 
 
+@pytest.mark.parametrize("rule", ["exclusive or", "insult with a group"])
+def test_factorization_machine_learns_neutral_terms(rule):
+    """Every single term has the same share of toxic rows as all others; only pairs tell."""
+    r = np.random.default_rng(9)
+    rows, labels = [], []
+    for _ in range(5000):
+        f = set(r.integers(100, 400, 30).tolist())
+        a, b = r.random() < 0.5, r.random() < 0.5
+        f |= ({1} if a else set()) | ({2} if b else set())
+        if rule == "exclusive or":
+            y = a != b
+        else:                                       # an insult is toxic with one group's name and not with the other's
+            f |= {3} if (c := r.random() < 0.5) else {4}
+            f |= {5} if a else {6}
+            y = a == c
+        rows.append(np.array(sorted(f)))
+        labels.append(float(y))
+    y = np.array(labels)
+    for t in (1, 2):
+        has = np.array([t in x for x in rows])
+        assert abs(y[has].mean() - y.mean()) < 0.03
+    m = op06_toxicity.train(rows[:4000], y[:4000])
+    p = op06_toxicity.sigmoid(np.concatenate([m.logits(x, np.array([0, len(x)])) for x in rows[4000:]]))
+    assert ((p >= 0.5) == y[4000:]).mean() > 0.95
+
+
+def test_pair_counts_find_the_pair_only():
+    """The matrix products equal counting by hand: of 60 features only the two that interact are found."""
+    r = np.random.default_rng(10)
+    rows = [np.flatnonzero(r.random(60) < 0.4) for _ in range(2500)]
+    y = np.array([float((7 in x) != (41 in x)) for x in rows])
+    assert op06_toxicity.pair_features(rows, y).tolist() == [7, 41]
+
+
 def test_logits_equal_all_pairs():
     r = np.random.default_rng(6)
     w, v = np.zeros(op06_toxicity.BUCKETS, np.float32), np.zeros((op06_toxicity.BUCKETS, op06_toxicity.FACTORS), np.float32)
