@@ -116,26 +116,26 @@ def pair_features(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
         return common[:0]
     index = np.full(BUCKETS, -1, np.int64)
     index[common] = np.arange(k)
-    both, bad = np.zeros((k, k), np.float32), np.zeros((k, k), np.float32)
-    for at in range(0, len(rows), 1024):
-        block = rows[at:at + 1024]
-        x = np.zeros((len(block), k), np.float32)
-        col = index[np.concatenate(block)]
-        line = np.repeat(np.arange(len(block)), [len(r) for r in block])
-        x[line[col >= 0], col[col >= 0]] = 1
-        both += x.T @ x
-        x = x[labels[at:at + 1024] > 0]
-        bad += x.T @ x
     own = np.clip((toxic[common] + 2 * share) / (seen[common] + 2), 1e-4, 1 - 1e-4)
     log_odds = np.log(own / (1 - own))
     found = np.zeros(k, bool)
-    for at in range(0, k, 256):
-        p = sigmoid(log_odds[at:at + 256, None] + log_odds - np.log(share / (1 - share)))
-        n = both[at:at + 256]
-        off = np.abs(bad[at:at + 256] - n * p) >= PAIR_DEVIATIONS * np.sqrt(n * p * (1 - p))
-        off &= n >= PAIR_ROWS
-        off[np.arange(len(off)), at + np.arange(len(off))] = False
-        found[at:at + 256] = off.any(1)
+    for lo in range(0, k, 1024):                    # so many features against all, to hold no whole table
+        size = min(1024, k - lo)
+        both, bad = np.zeros((size, k), np.float32), np.zeros((size, k), np.float32)
+        for at in range(0, len(rows), 1024):
+            block = rows[at:at + 1024]
+            x = np.zeros((len(block), k), np.float32)
+            col = index[np.concatenate(block)]
+            line = np.repeat(np.arange(len(block)), [len(r) for r in block])
+            x[line[col >= 0], col[col >= 0]] = 1
+            both += x[:, lo:lo + size].T @ x
+            x = x[labels[at:at + 1024] > 0]
+            bad += x[:, lo:lo + size].T @ x
+        for i in range(size):
+            n, p = both[i], sigmoid(log_odds[lo + i] + log_odds - np.log(share / (1 - share)))
+            off = (n >= PAIR_ROWS) & (np.abs(bad[i] - n * p) >= PAIR_DEVIATIONS * np.sqrt(n * p * (1 - p)))
+            off[lo + i] = False
+            found[lo + i] = off.any()
     return common[found]
 
 
