@@ -12,14 +12,28 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _ends_in_break(c: Column) -> Column:
+    """Texts that end in a line break: there ``$`` also matches before the break."""
+    return F.endswith(c, F.lit("\n")) | F.endswith(c, F.lit("\r")) | F.endswith(c, F.lit("\u0085")) | F.endswith(c, F.lit("\u2028")) | F.endswith(c, F.lit("\u2029"))
+
+
 def base_name(c: Column | str) -> Column:
-    """Last non-empty path segment (``Path.getName()``, ``basename``)."""
-    return F.regexp_extract(_c(c), r"([^/]+)/*$", 1)
+    """Last non-empty path segment (``Path.getName()``, ``basename``).
+
+    As ``([^/]+)/*$`` has it, without a search that tries every place of every segment."""
+    c = _c(c)
+    return F.when(_ends_in_break(c), F.regexp_extract(c, r"([^/]+)/*$", 1)).otherwise(F.substring_index(F.rtrim(c, F.lit("/")), "/", -1))
 
 
 def parent_dir(c: Column | str) -> Column:
-    """Everything before the last segment, without a trailing slash."""
-    return F.regexp_replace(_c(c), r"/*[^/]+/*$", "")
+    """Everything before the last segment, without a trailing slash.
+
+    As if ``/*[^/]+/*$`` were removed, without a search that tries every place of every segment."""
+    c = _c(c)
+    path = F.rtrim(c, F.lit("/"))
+    before = F.left(path, F.length(path) - F.length(F.substring_index(path, "/", -1)))
+    return (F.when(_ends_in_break(c), F.regexp_replace(c, r"/*[^/]+/*$", ""))
+            .when(path == "", c).otherwise(F.rtrim(before, F.lit("/"))))
 
 
 def uri_scheme(c: Column | str) -> Column:

@@ -110,3 +110,18 @@ def test_collapse_ws_and_entity_name(spark):
     assert one(spark, entity_name("v"), "sample_set:abc:d") == "sample_set"
     assert one(spark, strip_set("v"), "sample_set") == "sample"
     assert one(spark, strip_set("v"), "set_sample") == "set_sample"
+
+
+def test_last_segment_as_the_patterns_have_it(spark):
+    """Names and parents equal those of the patterns, and no pattern is searched where the text ends in no line break."""
+    from seqlake.functions.paths import base_name, parent_dir
+    texts = ["", "/", "///", "a", "a/", "/a", "//a//", "a/b", "a//b", "/a/b//", "s3://b/k/x.tsv", "s3://b/k/x/", "é/ü", "a/\n", "a\n", "a/b\r\n/", "a/b/\n", "\n", "/\n", "a b/ c", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    rows = df.select("v", base_name("v").alias("n"), parent_dir("v").alias("p"), F.regexp_extract("v", r"([^/]+)/*$", 1).alias("n0"),
+                     F.regexp_replace("v", r"/*[^/]+/*$", "").alias("p0")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r.n, r.p) == (r.n0, r.p0), r
+    # one segment of a million characters before a break within the text: the patterns try every place of it
+    long = spark.range(1).select(F.concat(F.lit("a\n"), F.repeat(F.lit("b"), 1 << 20), F.lit("/c")).alias("v"))
+    assert tuple(long.select(base_name("v"), F.length(parent_dir("v"))).first()) == ("c", 2 + (1 << 20))
