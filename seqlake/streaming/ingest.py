@@ -176,12 +176,18 @@ def ingest_on_upload(spark: SparkSession, ingest: Callable[[list[tuple[str, str]
 VERSION_SCHEMA = "run string, sample string, file string, modified_ms bigint"
 
 
+#: Groups of objects that share a state; each is worked on at once, whatever number of objects it has.
+OBJECT_GROUPS = 256
+
+
 def newer_versions(events: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
     """Streamed object events ``(run, sample, file, modified_ms)`` -> one row
     for every time of an object that is newer than any seen before.
 
-    The state of an object is its newest time, one number a key, kept over
-    restarts with the stream's checkpoint.  A replayed or late older event makes
+    The state of an object is its newest time, kept over
+    restarts with the stream's checkpoint.  Objects are dealt by the hash of their names to
+    ``OBJECT_GROUPS`` groups, and a group's objects are compared with its state all at
+    once.  A replayed or late older event makes
     nothing; several new times in one micro-batch make a version each,
     oldest first.  With ``forget_after_ms`` an event-time timer drops an object
     from the state once the stream has seen times that much newer than its
@@ -189,28 +195,55 @@ def newer_versions(events: DataFrame, forget_after_ms: int | None = None) -> Dat
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    names = ["run", "sample", "file"]
+
+    # defined here, so that tasks get them with the function
+    def packed(newest) -> bytes:
+        """Newest time of each object of a group (a frame) as compressed Arrow."""
+        import pyarrow as pa
+        kinds = pa.schema([*((n, pa.string()) for n in names), ("modified_ms", pa.int64())])
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, kinds, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(pa.Table.from_pandas(newest, schema=kinds, preserve_index=False))
+        return out.getvalue().to_pybytes()
+
+    def unpacked(raw: bytes):
+        import pyarrow as pa
+        return pa.ipc.open_stream(raw).read_all().to_pandas()
+
     def versions(key, frames, state):
         import pandas as pd
+        held = unpacked(bytes(state.get[0])) if state.exists else None
         if state.hasTimedOut:
-            state.remove()
-            return
-        newest = state.get[0] if state.exists else None
-        times = set()
-        for pdf in frames:
-            times.update(int(t) for t in pdf["modified_ms"].dropna().unique())
-        new = sorted(t for t in times if newest is None or t > newest)
-        if not new:
+            held = held[held["modified_ms"] + 1 > state.getCurrentWatermarkMs()]
+            if len(held):
+                state.update((packed(held),))
+                state.setTimeoutTimestamp(max(int(held["modified_ms"].min()), state.getCurrentWatermarkMs()) + 1)
+            else:
+                state.remove()
             return
-        state.update((new[-1],))
-        if forget_after_ms:
-            state.setTimeoutTimestamp(max(new[-1], state.getCurrentWatermarkMs()) + 1)
-        yield pd.DataFrame({"run": key[0], "sample": key[1], "file": key[2], "modified_ms": new})
+        new = pd.concat([pdf[[*names, "modified_ms"]].drop_duplicates() for pdf in frames], ignore_index=True).drop_duplicates()
+        new["modified_ms"] = new["modified_ms"].astype("int64")
+        if held is not None:
+            # names may be null, and equal ones match
+            new = new.merge(held.rename(columns={"modified_ms": "newest"}), "left", names)
+            new = new[new["newest"].isna() | (new["modified_ms"] > new["newest"])]
+            new = new[[*names, "modified_ms"]]
+        if len(new):
+            both = new if held is None else pd.concat([held, new], ignore_index=True)
+            held = both.groupby(names, dropna=False, sort=False, as_index=False)["modified_ms"].max()
+            state.update((packed(held),))
+        if forget_after_ms and held is not None:
+            state.setTimeoutTimestamp(max(int(held["modified_ms"].min()), state.getCurrentWatermarkMs()) + 1)
+        if len(new):
+            yield new.sort_values([*names, "modified_ms"], ignore_index=True)
 
     rows = events.select("run", "sample", "file", "modified_ms").where("modified_ms is not null")
     if forget_after_ms:
         rows = rows.withColumn("_at", F.timestamp_millis("modified_ms")).withWatermark("_at", f"{forget_after_ms} milliseconds")
     timer = GroupStateTimeout.EventTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout
-    return rows.groupBy("run", "sample", "file").applyInPandasWithState(versions, VERSION_SCHEMA, "newest bigint", "append", timer)
+    group = F.pmod(F.xxhash64(*names), F.lit(OBJECT_GROUPS)).cast("int")
+    return rows.withColumn("_group", group).groupBy("_group").applyInPandasWithState(versions, VERSION_SCHEMA, "newest binary", "append", timer)
 
 
 # ------------------------------------------------------ registered demos
@@ -255,7 +288,7 @@ def stream_file_versions(spark: SparkSession, events: DataFrame) -> DataFrame:
     deliveries = sorted(r[0] for r in events.select("delivery").distinct().collect())      # a handful
     for k in deliveries:
         for _ in range(2):                  # the second landing is a replay
-            land(events.where(F.col("delivery") == k).select("run", "sample", "file", "modified_ms"), src, 1)
+            land(events.where(F.col("delivery") == k).select("run", "sample", "file", "modified_ms"), src)
             run(newer_versions(file_stream(spark, src, VERSION_SCHEMA)), f"{root}/checkpoint", path=out, state_partitions=spark.sparkContext.defaultParallelism)
     if not deliveries:
         return spark.createDataFrame([], VERSION_SCHEMA)

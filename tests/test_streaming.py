@@ -92,3 +92,34 @@ def test_versions_of_replayed_and_late_events(spark, tmp, forget):
     assert deliver([(*a, 5), (*a, 5), (*a, 7), (*b, 1)]) == sorted(first, key=str)
     assert deliver([(*a, 7), (*b, 1), (*a, 6)]) == sorted(first, key=str)         # a replay and a late older event
     assert deliver([(*a, 9), (*b, None)]) == sorted([*first, (*a, 9)], key=str)
+
+
+def test_versions_of_many_objects_share_states(spark, tmp):
+    """Thousands of objects make no more states than groups, and their versions are those of each object alone."""
+    from seqlake.streaming.ingest import OBJECT_GROUPS, VERSION_SCHEMA, file_stream, land, newer_versions, run
+    ids = spark.range(3000)
+    base = ids.select(F.lit("r").alias("run"), F.concat(F.lit("S"), "id").alias("sample"), F.when(F.col("id") % 3 > 0, "x.tsv").alias("file"),
+                      (F.col("id") % 7).alias("modified_ms"))
+    for rows in (base, base, base.withColumn("modified_ms", F.col("modified_ms") + F.when(F.col("sample").endswith("5"), 1).otherwise(-1))):
+        land(rows, f"{tmp}/in", 2)
+        q = run(newer_versions(file_stream(spark, f"{tmp}/in", VERSION_SCHEMA)), f"{tmp}/ckpt", path=f"{tmp}/out", state_partitions=2)
+        assert 0 < q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= OBJECT_GROUPS
+    got = sorted((r["sample"], r["file"] or "", r["modified_ms"]) for r in spark.read.schema(VERSION_SCHEMA).parquet(f"{tmp}/out").collect())
+    want = [(f"S{i}", "x.tsv" if i % 3 else "", i % 7 + more) for i in range(3000) for more in ((0, 1) if i % 10 == 5 else (0,))]
+    assert got == sorted(want)
+
+
+def test_forgotten_objects_leave_the_groups(spark, tmp):
+    """Objects that the watermark has passed go from their groups' states; newer ones stay and replays of them make nothing."""
+    from seqlake.streaming.ingest import VERSION_SCHEMA, file_stream, land, newer_versions, run
+
+    def deliver(rows):
+        land(spark.createDataFrame(rows, VERSION_SCHEMA), f"{tmp}/in", 1)
+        q = run(newer_versions(file_stream(spark, f"{tmp}/in", VERSION_SCHEMA), forget_after_ms=1000), f"{tmp}/ckpt", path=f"{tmp}/out", state_partitions=2)
+        return q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+
+    deliver([("r", f"S{i}", "x", 10) for i in range(40)])
+    deliver([("r", "late", "x", 100_000)])
+    assert deliver([("r", "late", "x", 100_000), ("r", "S1", "x", 20)]) == 1
+    got = {(r["sample"], r["modified_ms"]) for r in spark.read.schema(VERSION_SCHEMA).parquet(f"{tmp}/out").collect()}
+    assert got == {*((f"S{i}", 10) for i in range(40)), ("late", 100_000)}
