@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ MIN_DEVIATIONS = 4.0
 PAIR_ROWS = 16
 PAIR_DEVIATIONS = 10.0
 PAIR_TERMS = 4096
+#: Features and rows whose pairs are counted at once.
+TILE = 512
 EPOCHS, BATCH, RATE, SHRINK = 20, 64, 0.3, 1e-2
 THRESHOLD = 0.3
 
@@ -95,6 +98,17 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def shares(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, toxic rows) of each bucket, counted over blocks of rows: numpy widens what it counts."""
+    seen, toxic = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS)
+    for at in range(0, len(rows), 1024):
+        block = rows[at:at + 1024]
+        flat = np.concatenate(block)
+        seen += np.bincount(flat, minlength=BUCKETS)
+        toxic += np.bincount(flat, np.repeat(labels[at:at + 1024], [len(r) for r in block]), minlength=BUCKETS)
+    return seen, toxic
+
+
 def pair_features(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Buckets of features whose pairs stand out from the sum of their own weights.
 
@@ -102,12 +116,10 @@ def pair_features(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     rows), made of blocks of rows.  Rows of equal features and label count
     once: the terms of a text that was copied often go together anyway.
     """
-    distinct = {(r.tobytes(), y): i for i, (r, y) in enumerate(zip(rows, labels))}
+    distinct = {(sha256(r.tobytes()).digest(), y): i for i, (r, y) in enumerate(zip(rows, labels))}
     at = sorted(distinct.values())
     rows, labels = [rows[i] for i in at], labels[at]
-    flat = np.concatenate(rows)
-    seen = np.bincount(flat, minlength=BUCKETS)
-    toxic = np.bincount(flat, np.repeat(labels, [len(r) for r in rows]), minlength=BUCKETS)
+    seen, toxic = shares(rows, labels)
     share = np.clip(labels.mean(), 1e-4, 1 - 1e-4)
     common = np.flatnonzero(seen >= PAIR_ROWS)
     common = np.sort(common[np.lexsort((common, -seen[common]))[:PAIR_TERMS]])
@@ -119,17 +131,17 @@ def pair_features(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     own = np.clip((toxic[common] + 2 * share) / (seen[common] + 2), 1e-4, 1 - 1e-4)
     log_odds = np.log(own / (1 - own))
     found = np.zeros(k, bool)
-    for lo in range(0, k, 1024):                    # so many features against all, to hold no whole table
-        size = min(1024, k - lo)
+    for lo in range(0, k, TILE):                    # so many features against all, to hold no whole table
+        size = min(TILE, k - lo)
         both, bad = np.zeros((size, k), np.float32), np.zeros((size, k), np.float32)
-        for at in range(0, len(rows), 1024):
-            block = rows[at:at + 1024]
+        for at in range(0, len(rows), TILE):
+            block = rows[at:at + TILE]
             x = np.zeros((len(block), k), np.float32)
             col = index[np.concatenate(block)]
             line = np.repeat(np.arange(len(block)), [len(r) for r in block])
             x[line[col >= 0], col[col >= 0]] = 1
             both += x[:, lo:lo + size].T @ x
-            x = x[labels[at:at + 1024] > 0]
+            x = x[labels[at:at + TILE] > 0]
             bad += x[:, lo:lo + size].T @ x
         for i in range(size):
             n, p = both[i], sigmoid(log_odds[lo + i] + log_odds - np.log(share / (1 - share)))
@@ -144,9 +156,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     weight, vector = np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32)
     if not len(rows):
         return Model(-40.0, weight, vector)
-    flat = np.concatenate(rows)
-    seen = np.bincount(flat, minlength=BUCKETS)
-    toxic = np.bincount(flat, np.repeat(labels, [len(r) for r in rows]), minlength=BUCKETS)
+    seen, toxic = shares(rows, labels)
     share = np.clip(labels.mean(), 1e-4, 1 - 1e-4)
     alone = np.flatnonzero((seen >= MIN_ROWS) & (np.abs(toxic - share * seen) >= MIN_DEVIATIONS * np.sqrt(share * (1 - share) * seen)))
     known = np.union1d(alone, pair_features(rows, labels))
@@ -201,13 +211,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> M
               .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(max_rows))
     # the sample has at most max_rows rows of two numbers, so it may be broadcast
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic", F.xxhash64("doc_id").alias("h"), "doc_id")
-    got = picked.mapInArrow(lambda it: (x for b in it for x in run([b])), "features array<int>, toxic int").toArrow().combine_chunks()
-    lists = got.column("features").combine_chunks() if got.num_rows else None
-    rows = [np.asarray(x.values) for x in lists] if lists is not None else []
+    got = picked.mapInArrow(lambda it: (x for b in it for x in run([b])), "features array<int>, toxic int").toArrow()
+    # the rows are views of what arrived, in whatever chunks
+    rows = [x.values.to_numpy() for chunk in got.column("features").chunks for x in chunk]
     # the order of arrival may differ from run to run
     order = sorted(range(len(rows)), key=lambda i: (len(rows[i]), rows[i].tobytes()))
     labels_of = np.asarray(got.column("toxic").to_numpy(), float)
-    return train([rows[i].astype(np.int64) for i in order], labels_of[order] if len(order) else labels_of)
+    return train([rows[i] for i in order], labels_of[order] if len(order) else labels_of)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), score_col: str = "score", known_col: str | None = None) -> DataFrame:

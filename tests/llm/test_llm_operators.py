@@ -614,3 +614,19 @@ def test_packing_query_takes_millions_of_blanks(spark, tmp_path):
         assert r["doc_tokens"] >= r["start"] + r["length"]
     # the last blank and the letter are one word, and one token; each blank before is a token; then the closing id
     assert got[1] == 4_999_999 + 1 + 1 and got[3] == 3 and set(got) == {1, 2, 3, 4}
+
+
+def test_toxicity_is_fitted_within_a_few_copies_of_its_sample():
+    """The fit holds no widened copies of the whole sample beside it."""
+    import tracemalloc
+    from seqlake.llm import op06_toxicity as op
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, op.BUCKETS, 1000)).astype(np.int32) for _ in range(10_000)]
+    labels = (np.arange(len(rows)) % 20 == 0).astype(float)
+    tracemalloc.start()
+    try:
+        op.train(rows, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 120e6, peak
