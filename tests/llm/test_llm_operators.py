@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -436,6 +437,41 @@ def test_changed_passages_are_found_where_all_seeds_have_many_holders(spark, mon
     assert got[0][1] <= 21 and got[0][2] >= 69 and got[0][6] >= op07_substring.MIN_MATCH
 
 
+def test_runs_of_two_documents_are_aligned_together():
+    """Twenty runs on one diagonal are one segment; another diagonal is one of its own, and both are a chain."""
+    segs = [x for k in range(20) for x in (100 + 12 * k, 40 + 12 * k, 5)] + [400, 350, 9]
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([3]), pa.array([segs], pa.list_(pa.int32()))], names=op07_substring.ALIKE)
+    got = [tuple(x) for b in op07_substring._chained(batch) for x in b.column(2).to_pylist()]
+    assert {(100, 40, 233), (400, 350, 9)} <= set(got) and len(got) <= 3
+
+
+def test_holders_out_of_step_are_not_aligned():
+    """Word pairs of a row are met at the same distance from the seed, up to DRIFT words, not anywhere around it."""
+    x = np.arange(96, dtype=np.int64)
+    shifted, turned = np.concatenate([x[:50], x[:10] + 900, x[50:86]]), np.concatenate([x[60:], x[:60]])
+    got = op07_substring.in_step(0, np.arange(1, 4), [x, shifted, turned, x[10:]], np.array([46, 46, 46, 36]))
+    assert got.tolist() == [1, 3]
+
+
+def test_held_seeds_and_anchors_are_packed_as_they_were():
+    """Blocks give back every row, in the order of documents, whatever the ids; seeds need less than 110 bytes a row in all."""
+    rng = np.random.default_rng(5)
+    doc, n = np.sort(rng.integers(-1 << 60, 1 << 60, 400)).repeat(50), 20000
+    cols = [doc, np.tile(np.arange(50), 400).astype(np.int32), rng.integers(-1 << 62, 1 << 62, n), rng.integers(0, 1 << 32, n).astype(np.uint32), rng.integers(0, 40, n).astype(np.uint8)]
+    mixed = rng.permutation(n)
+    batch = op07_substring.packed((doc % 7)[mixed], [c[mixed] for c in cols], op07_substring.ANCHOR_BYTES, 0, False)
+    got = np.concatenate([op07_substring.unpacked(k, b, op07_substring.ANCHOR_BYTES, 0) for _, k, b in zip(*(c.to_pylist() for c in batch.columns), strict=True)], 1)
+    assert sorted(zip(*got.tolist(), strict=True)) == sorted(zip(*(c.astype(np.int64).tolist() for c in cols), strict=True))
+
+    texts = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([words(7000 + k, 400) for k in range(200)])], names=["doc_id", "text"])
+    list(op07_substring._seeds(iter([texts]), 16))
+    tracemalloc.start()
+    rows = sum(sum(b.column(1).to_pylist()) for b in op07_substring._seeds(iter([texts] * 5), 16))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 300_000 and peak < 110 * rows
+
+
 def test_passages_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
     df = spark.createDataFrame(common_text(60, 15, 10)[0], "doc_id long, text string").repartition(3).cache()
     few = sorted(op07_substring.passages(df).collect())
