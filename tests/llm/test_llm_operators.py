@@ -453,6 +453,30 @@ def test_holders_out_of_step_are_not_aligned():
     assert got.tolist() == [1, 3]
 
 
+def test_holders_that_cover_nothing_new_are_not_listed():
+    """Forty documents around one seed: a passage of 60 words in all, 30 words after it in every second one, and one without either."""
+    rng = np.random.default_rng(6)
+    body, tail = rng.integers(0, 1 << 16, 60), rng.integers(0, 1 << 16, 30)
+    rows = []
+    for k in range(41):
+        w = rng.integers(0, 1 << 16, 96).astype("<u2")
+        if k != 20:
+            w[6:66] = body
+            w[66:] = tail if k % 2 else w[66:]
+        rows.append((9, 0, 0, k, 100, 100, 0, w.tobytes(), np.packbits(np.ones(96, bool)).tobytes()))
+    for parts in (1, 2):
+        rows = [(*r[:2], parts - 1, *r[3:6], r[3] // 20 % parts, *r[7:]) for r in rows]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), op07_substring.HOOD_TYPES, strict=True)], names=op07_substring.HOOD)
+        got = [r for b in op07_substring._alike(iter([batch.slice(0, 7), batch.slice(7)])) for r in b.to_pylist()]
+        # two parts: those of the first have no earlier holder in the second but the last one, which follows them
+        asking = [k for k in range(1, 41) if k != 20] if parts == 1 else [k for k in range(21, 40)]
+        assert sorted({r["doc_id"] for r in got} - {40}) == [k for k in asking if k != 40] and len(got) <= 2 * len(asking) + 2
+        for d in asking:
+            mine = [r for r in got if r["doc_id"] == d]
+            assert mine and all(r["source_id"] < d and (r["lo"], r["hi"], r["olo"], r["ohi"]) == (54, 150, 54, 150) for r in mine)
+            assert d % 2 == 0 or d == 1 or any(r["source_id"] % 2 for r in mine)
+
+
 def test_held_seeds_and_anchors_are_packed_as_they_were():
     """Blocks give back every row, in the order of documents, whatever the ids; seeds need less than 110 bytes a row in all."""
     rng = np.random.default_rng(5)
