@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import tracemalloc
@@ -496,6 +497,37 @@ def test_held_seeds_and_anchors_are_packed_as_they_were():
     assert rows > 300_000 and peak < 110 * rows
 
 
+def test_seeds_anchors_and_holders_are_shuffled_in_parts(spark, monkeypatch):
+    """Each part of the seeds has its own buckets, together they are all; passages are the same, whatever the parts."""
+    texts = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array([words(7000 + k, 400) for k in range(20)])], names=["doc_id", "text"])
+
+    def seeds(*args):
+        return sorted((bucket, r) for b in op07_substring._seeds(iter([texts]), 64, *args) for bucket, n, block in zip(*(c.to_pylist() for c in b.columns), strict=True)
+                      for r in zip(*op07_substring.unpacked(n, block, op07_substring.SEED_BYTES, op07_substring.SEED_DOC).tolist(), strict=True))
+
+    parts = [seeds(3, k) for k in range(3)]
+    assert all({bucket % 3 for bucket, _ in p} == {k} for k, p in enumerate(parts)) and sorted(sum(parts, [])) == seeds()
+
+    line, own = words(1, 30), [words(100 + k, 40) for k in range(6)]
+    rows = [(k, f"{words(200 + k, 60)} {line} {own[k % 6]} {words(300 + k, 60)}") for k in range(18)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    want = sorted(map(tuple, op07_substring.passages(df).collect()))
+    names, parts, write = [], [], op07_substring.written
+
+    def noted(df, name):
+        names.append(name)
+        out = write(df, name)
+        parts.extend(f.removeprefix("file://") for f in out.inputFiles() if name == "substring-anchors")
+        return out
+
+    monkeypatch.setattr(op07_substring, "written", noted)
+    monkeypatch.setattr(op07_substring, "ROUND_WORDS", 0)
+    monkeypatch.setattr(op07_substring, "HOOD_BYTES", 10_000)
+    assert want and sorted(map(tuple, op07_substring.passages(df).collect())) == want
+    assert names.count("substring-anchors") == names.count("substring-chains") == 2 and names.count("substring-holders") > 1
+    assert parts and not any(os.path.exists(f) for f in parts)
+
+
 def test_passages_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
     df = spark.createDataFrame(common_text(60, 15, 10)[0], "doc_id long, text string").repartition(3).cache()
     few = sorted(op07_substring.passages(df).collect())
