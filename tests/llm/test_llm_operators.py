@@ -528,6 +528,34 @@ def test_seeds_anchors_and_holders_are_shuffled_in_parts(spark, monkeypatch):
     assert parts and not any(os.path.exists(f) for f in parts)
 
 
+def test_many_chains_and_holders_are_judged_together(monkeypatch):
+    """What is told of a batch or of all pairs of runs at once equals what is told of each alone."""
+    rng, op = np.random.default_rng(11), op07_substring
+    texts, others = [], []
+    for _ in range(400):
+        a = rng.integers(0, rng.choice([30, 3000]), rng.integers(0, 200)).astype("<u4")
+        texts.append(a)
+        others.append(np.where(rng.random(len(a)) < rng.choice([0.5, 0.78, 0.85]), a, 99_999).astype("<u4")[rng.integers(0, 30):])
+    alone = [np.isin(a, b) for a, b in zip(texts, others, strict=True)]
+    want = [bool(op.may_cover(k[None], k).any()) for k in alone]
+    assert op.may_match([a.tobytes() for a in texts], [b.tobytes() for b in others]).tolist() == want and 50 < sum(want) < 350
+    assert op.may_match([], []).tolist() == []
+
+    pairs, row = np.array([5, 7, 5, 5, 7, 9]), np.array([0, 0, 0, 1, 1, 1])
+    got, bare = op.sets_of(pairs, row, np.array([False, False, True, False, False, True]))
+    assert len(set(got[:3].tolist())) == 3 and len(set(got[:3].tolist()) & set(got[3:].tolist())) == 2 and bare.tolist() == [True, True, False, False, False, True]
+
+    spans = []
+    for at_once in (op.AT_ONCE, 0):
+        monkeypatch.setattr(op, "AT_ONCE", at_once)
+        r, found = np.random.default_rng(12), []
+        for _ in range(300):
+            at = np.flatnonzero(r.random(r.integers(50, 260)) < r.choice([0.7, 0.8, 0.85, 0.95]))
+            found.append(op.shared_spans(at, at + np.cumsum(r.random(len(at)) < 0.05)))
+        spans.append(found)
+    assert spans[0] == spans[1] and sum(map(len, spans[0])) > 100
+
+
 def test_passages_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
     df = spark.createDataFrame(common_text(60, 15, 10)[0], "doc_id long, text string").repartition(3).cache()
     few = sorted(op07_substring.passages(df).collect())
